@@ -70,19 +70,19 @@ def clipped_micros(start: Column, end: Column) -> Column:
 
 
 @functools.cache
-def known_zones() -> tuple[str, ...]:
+def _known_zones() -> str:
     names = {z for z in zoneinfo.available_timezones() if "/" in z and z.split("/")[0] not in ("posix", "right")}
-    return tuple(sorted(names | {"UTC", "GMT"}))
+    return ", ".join(f"'{z}'" for z in sorted(names | {"UTC", "GMT"}))
 
 
-def zone_or_default(zone: Column, default: str = DEFAULT_ZONE) -> Column:
-    """A missing or unknown zone falls back to the default (Spark raises on an unknown one)."""
-    return F.when(zone.isin(*known_zones()), zone).otherwise(default)
+def zone_or_default(zone: str, default: str = DEFAULT_ZONE) -> Column:
+    """Zone column by name; a missing or unknown zone falls back (Spark raises on an unknown one)."""
+    return F.expr(f"case when {zone} in ({_known_zones()}) then {zone} else '{default}' end")
 
 
-def to_utc(local: Column, zone: Column, default: str = DEFAULT_ZONE) -> Column:
-    return F.convert_timezone(zone_or_default(zone, default), F.lit("UTC"), local)
+def to_utc(local: str, zone: str, default: str = DEFAULT_ZONE) -> Column:
+    return F.convert_timezone(zone_or_default(zone, default), F.lit("UTC"), F.col(local))
 
 
-def to_local(utc: Column, zone: Column, default: str = DEFAULT_ZONE) -> Column:
-    return F.convert_timezone(F.lit("UTC"), zone_or_default(zone, default), utc)
+def to_local(utc: str, zone: str, default: str = DEFAULT_ZONE) -> Column:
+    return F.convert_timezone(F.lit("UTC"), zone_or_default(zone, default), F.col(utc))

@@ -8,84 +8,31 @@ has been reading for an hour, and `operators.quality.cast_failures` counts them.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _trimmed(c: Column) -> Column:
-    return F.trim(c.cast("string"))
-
-
-def ident(c: Column) -> Column:
-    """Identifier: trimmed, and a blank identifier is no identifier."""
-    return F.nullif(_trimmed(c), F.lit(""))
-
-
-def text(c: Column) -> Column:
-    """Free text: trimmed, blank becomes null."""
-    return F.nullif(_trimmed(c), F.lit(""))
-
-
-def label(c: Column) -> Column:
-    """Label kept in source case."""
-    return _trimmed(c)
-
-
-def code(c: Column) -> Column:
-    """Code value: trimmed and upper-cased."""
-    return F.upper(_trimmed(c))
-
-
-def version(c: Column) -> Column:
-    """Version marker: trimmed and lower-cased."""
-    return F.lower(_trimmed(c))
-
-
-def email(c: Column) -> Column:
-    return F.nullif(F.lower(_trimmed(c)), F.lit(""))
-
-
-def money(c: Column) -> Column:
-    return c.try_cast("decimal(18,2)")
-
-
-def coordinate(c: Column) -> Column:
-    return c.try_cast("decimal(9,6)")
-
-
-def whole(c: Column) -> Column:
-    """Integer with half-up rounding (a bare cast would truncate)."""
-    return F.round(c.try_cast("decimal(18,6)"), 0).try_cast("int")
-
-
-def whole_or_zero(c: Column) -> Column:
-    return F.coalesce(whole(c), F.lit(0))
-
-
-def wall_time(c: Column) -> Column:
-    """Timestamp without zone: the wall-clock reading the source recorded."""
-    return c.try_cast("timestamp_ntz")
-
-
-def day(c: Column) -> Column:
-    return c.try_cast("date")
-
-
-KINDS: dict[str, Callable[[Column], Column]] = {
-    "id": ident,
-    "text": text,
-    "label": label,
-    "code": code,
-    "version": version,
-    "email": email,
-    "money": money,
-    "coordinate": coordinate,
-    "int": whole,
-    "int0": whole_or_zero,
-    "time": wall_time,
-    "date": day,
+_TRIMMED = "trim(cast({c} as string))"
+_WHOLE = "try_cast(round(try_cast({c} as decimal(18,6)), 0) as int)"
+
+# Kind -> SQL expression over the raw column {c}.
+KINDS: dict[str, str] = {
+    # Identifiers and free text: trimmed, and a blank one is none.
+    "id": f"nullif({_TRIMMED}, '')",
+    "text": f"nullif({_TRIMMED}, '')",
+    # Labels keep their case; codes are upper case, version markers lower case.
+    "label": _TRIMMED,
+    "code": f"upper({_TRIMMED})",
+    "version": f"lower({_TRIMMED})",
+    "email": f"nullif(lower({_TRIMMED}), '')",
+    "money": "try_cast({c} as decimal(18,2))",
+    "coordinate": "try_cast({c} as decimal(9,6))",
+    # Half-up rounding; a bare cast would truncate.
+    "int": _WHOLE,
+    "int0": f"coalesce({_WHOLE}, 0)",
+    # Wall-clock reading the source recorded, without zone.
+    "time": "try_cast({c} as timestamp_ntz)",
+    "date": "try_cast({c} as date)",
 }
 
 # Kinds whose cast can fail; used by the cast-failure check.

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_of
-from .stack import stack
 
 
 
@@ -37,44 +36,15 @@ def account_month_base(accounts: DataFrame, start: date, end: date, opened: str
 
 
 def monthly_measures(
-    df: DataFrame,
-    at: Column,
-    sums: Mapping[str, Column] | None = None,
-    distincts: Mapping[str, str] | None = None,
-    latest: Mapping[str, str] | None = None,
-    account: str = "account_id",
+    df: DataFrame, at: Column, measures: Mapping[str, Column], account: str = "account_id"
 ) -> DataFrame:
-    """Contributions of one event table to (account_id, month_start).
+    """Aggregate one event table to (account_id, month_start); events without either are left out.
 
-    The result may hold several rows per key; `operators.stack.stack_sum` adds them
-    up (`latest` by max) together with those of other tables in one shuffle. A
-    distinct count is made addable first: one row per distinct value, counting 1.
+    Rows are partially aggregated before the shuffle, so an account or month that
+    owns a large share of the events is no heavier than any other afterwards.
     """
-    sums, distincts, latest = dict(sums or {}), dict(distincts or {}), dict(latest or {})
-    keyed = df.select(
-        F.col(account).alias("account_id"),
-        month_of(at).alias("month_start"),
-        *[e.alias(n) for n, e in sums.items()],
-        *[F.col(c).alias(n) for n, c in latest.items()],
-        *[F.col(c).alias(f"__d_{n}") for n, c in distincts.items()],
-    ).where(F.col("account_id").isNotNull() & F.col("month_start").isNotNull())
-    if not distincts:
-        return keyed
-    keys = ["account_id", "month_start"]
-    frames = []
-    for i, name in enumerate(distincts):
-        value = f"__d_{name}"
-        one = F.when(F.col(value).isNotNull(), F.lit(1).cast("long")).alias(name)
-        if i == 0:
-            # The first distinct value carries the sums along: one pass for the common case.
-            aggs = [F.sum(n).alias(n) for n in sums] + [F.max(n).alias(n) for n in latest]
-            groups = keyed.groupBy(*keys, value)
-            per_value = groups.agg(*aggs) if aggs else keyed.select(*keys, value).distinct()
-            frames.append(per_value.select(*keys, one, *sums, *latest))
-        else:
-            frames.append(keyed.select(*keys, value).distinct().select(*keys, one))
-    return stack(frames)
-
-
-def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in columns})
+    keyed = df.withColumn("month_start", month_of(at))
+    if account != "account_id":
+        keyed = keyed.withColumn("account_id", F.col(account))
+    keyed = keyed.where("account_id is not null and month_start is not null")
+    return keyed.groupBy("account_id", "month_start").agg(*[e.alias(n) for n, e in measures.items()])

@@ -67,7 +67,7 @@ def modal_value(df: DataFrame, column: str, out: str, account: str = "account_id
         .groupBy(F.col(account).alias("account_id"), F.col(column).alias(out))
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    return latest_per_key(counts, "account_id", ["__n", F.asc(out)]).drop("__n")
+    return latest_per_key(counts, "account_id", ["__n", f"{out} asc"]).drop("__n")
 
 
 def event_count_band(df: DataFrame, edges: Sequence[int], labels: Sequence[str], out: str) -> DataFrame:

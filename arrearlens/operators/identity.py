@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import day_number
@@ -13,7 +13,7 @@ from .lookup import lookup
 from .stack import stack
 
 
-def canonical_id(df: DataFrame, id_col: str, business_key: str, order: Sequence[str | Column], out: str) -> DataFrame:
+def canonical_id(df: DataFrame, id_col: str, business_key: str, order: Sequence[str], out: str) -> DataFrame:
     """Add `out`: the id of the latest row sharing the business key.
 
     Rows without a business key share one canonical id among themselves, as rows of
@@ -27,7 +27,7 @@ def canonical_id(df: DataFrame, id_col: str, business_key: str, order: Sequence[
     candidates = keyed.where(F.col(id_col).isNotNull()).select(
         probe, F.col(id_col).alias(out), *[c for c in df.columns if c not in (probe, out)]
     )
-    winner = latest_per_key(candidates, probe, [*order, F.asc_nulls_last(out)], ties=())
+    winner = latest_per_key(candidates, probe, [*order, f"{out} asc nulls last"], ties=())
     return lookup(keyed, winner, probe, [out]).drop(probe)
 
 

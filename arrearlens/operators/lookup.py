@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Keys = str | Sequence[str]
@@ -26,14 +25,15 @@ def _join(events: DataFrame, keyed: DataFrame, keys: list[str], take: Sequence[s
       which AQE can split a partition made heavy by one hot key, and a later
       aggregate cannot insist on the unsplit partitioning either.
     """
-    right = keyed.select(
-        *[F.col(k).alias(f"__key_{k}") for k in keys], F.xxhash64(*keys).alias("__key_hash"), *take
-    )
+    names = ", ".join(keys)
+    right = keyed.selectExpr(*[f"{k} as __key_{k}" for k in keys], f"xxhash64({names}) as __key_hash", *take)
+    missing = " or ".join(f"{k} is null" for k in keys)
     spread = next((c for c in events.columns if c not in keys), keys[0])
-    event_hash = F.when(missing_any(keys), F.xxhash64(spread)).otherwise(F.xxhash64(*keys))
-    left = events.withColumn("__event_hash", event_hash)
-    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__key_{k}") for k in keys])
-    joined = left.join(right, on & (F.col("__event_hash") == F.col("__key_hash")), how)
+    left = events.withColumn(
+        "__event_hash", F.expr(f"case when {missing} then xxhash64({spread}) else xxhash64({names}) end")
+    )
+    on = " and ".join(f"{k} = __key_{k}" for k in keys) + " and __event_hash = __key_hash"
+    joined = left.join(right, F.expr(on), how)
     return joined.drop("__event_hash", "__key_hash", *[f"__key_{k}" for k in keys])
 
 
@@ -51,6 +51,3 @@ def attach_account(events: DataFrame, accounts: DataFrame) -> DataFrame:
     """Replace the event's own (distrusted) borrower with the account's borrower."""
     return lookup(events.drop("borrower_id_raw"), accounts, "account_id", ["borrower_id"])
 
-
-def missing_any(keys: Keys) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in as_list(keys)])

@@ -155,12 +155,12 @@ def cast_failures(raw: DataFrame, table: str) -> DataFrame:
     """Per typed column: values present in the source that the lenient cast turned to null."""
     fields = [f for f in TABLES[table] if f.kind in CASTING_KINDS]
 
-    def failed(f):
+    def failed(f) -> str:
         kind = "int" if f.kind == "int0" else f.kind
-        present = F.trim(F.col(f.raw).cast("string")) != ""
-        return present & KINDS[kind](F.col(f.raw)).isNull()
+        present = f"trim(cast({f.raw} as string)) <> ''"
+        return f"count_if({present} and {KINDS[kind].format(c=f.raw)} is null) as {f.staged}"
 
-    counts = raw.agg(*[F.coalesce(F.sum(count_if(failed(f))), F.lit(0)).alias(f.staged) for f in fields])
+    counts = raw.selectExpr(*[failed(f) for f in fields])
     rows = [
         F.struct(F.lit(table).alias("table"), F.lit(f.staged).alias("column"), F.col(f.staged).alias("failed"))
         for f in fields

@@ -57,6 +57,7 @@ class Book:
         self.raw = raw
         self.start = start
         self.end = end
+        self._staged: dict[str, DataFrame] = {}
         self._stored: dict[tuple[str, str], Callable[[], DataFrame]] = {}
 
     def _frame(self, layer: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
@@ -66,7 +67,9 @@ class Book:
     # staging
 
     def stg(self, table: str) -> DataFrame:
-        return stage(self.raw(table), table)
+        if table not in self._staged:
+            self._staged[table] = stage(self.raw(table), table)
+        return self._staged[table]
 
     # dimensions
 

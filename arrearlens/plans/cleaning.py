@@ -142,7 +142,7 @@ def clean_events(stg: DataFrame, table: str, need: Sequence[str] = (), keep: str
         asked = [*need, "timezone"] if "event_at_utc" in need else list(need)
         df = dedupe(stg, table, [c for c in asked if c != "event_at_utc"], keep)
         if not need or "event_at_utc" in need:
-            df = df.withColumn("event_at_utc", to_utc(F.col("event_at_local"), F.col("timezone")))
+            df = df.withColumn("event_at_utc", to_utc("event_at_local", "timezone"))
         return _conform(df)
     df = _conform(dedupe(stg, table, need, keep))
     if table == "promises_to_pay":

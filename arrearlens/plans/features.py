@@ -74,7 +74,7 @@ def enrich_cohort(features: DataFrame, cohort: DataFrame) -> DataFrame:
 
 def call_hours(calls: DataFrame) -> DataFrame:
     """Calls by account, UTC month and hour of day in the caller's own zone."""
-    local = to_local(F.col("event_at_utc"), F.col("timezone"))
+    local = to_local("event_at_utc", "timezone")
     answered = F.col("call_status") == ANSWERED
     return calls.groupBy(
         "account_id",

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..functions.conform import KINDS
 from ..sources.schemas import TABLES
 
 
 def stage(raw: DataFrame, table: str) -> DataFrame:
-    return raw.select(*[KINDS[f.kind](F.col(f.raw)).alias(f.staged) for f in TABLES[table]])
+    return raw.selectExpr(*[f"{KINDS[f.kind].format(c=f.raw)} as {f.staged}" for f in TABLES[table]])

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The gold plan alone compiles more classes than the default cache of 100 holds.
+    "spark.sql.codegen.cache.maxEntries": "2000",
     "spark.ui.enabled": "false",
 }
 

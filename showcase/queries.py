@@ -189,7 +189,7 @@ def call_hours(b: Book) -> DataFrame:
 def local_call_times(b: Book) -> DataFrame:
     calls = b.events("calls", "event_at_utc")
     return calls.select(
-        "call_id", "event_at_utc", to_local(F.col("event_at_utc"), F.col("timezone")).alias("event_at_caller")
+        "call_id", "event_at_utc", to_local("event_at_utc", "timezone").alias("event_at_caller")
     )
 
 
@@ -403,7 +403,7 @@ _modal_driver("vendor", lambda b: b.events("calls", "account_id", "vendor_id_raw
 _modal_driver(
     "call_hour",
     lambda b: b.events("calls", "account_id", "event_at_utc").withColumn(
-        "local_hour", F.hour(to_local(F.col("event_at_utc"), F.col("timezone")))
+        "local_hour", F.hour(to_local("event_at_utc", "timezone"))
     ),
     "local_hour",
 )
