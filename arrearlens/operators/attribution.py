@@ -77,7 +77,7 @@ def window_sensitivity(
     per_account = window_recovery(first, payments, days)
     return per_account.groupBy(month_of(F.col("target_date")).alias("month_start")).agg(
         *[F.sum(f"r{n}").alias(f"r{n}") for n in days]
-    )
+    ).orderBy("month_start")
 
 
 def channel_conversion(targeting: DataFrame, payments: DataFrame, days: int = 14) -> DataFrame:

@@ -41,12 +41,14 @@ def latest_per_key(
     return df.where(present).withColumn(_RANK, F.expr(rank)).where(f"{_RANK} = 1").drop(_RANK)
 
 
-def flag_repeated(df: DataFrame, key: str, out: str) -> DataFrame:
+def flag_repeated(df: DataFrame, key: str, out: str, population: DataFrame | None = None) -> DataFrame:
     """Add a boolean: does more than one row of `df` share this (non-null) `key`?
 
+    `population` may hold the same rows with fewer columns, to count from.
     Counted by a partially aggregated group-by and looked up, not by a window over
     the whole group, so a key shared by a third of the rows is never gathered.
     """
-    repeated = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
+    counted = df if population is None else population
+    repeated = counted.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > 1)
     flagged = lookup(df, repeated.withColumn(out, F.lit(True)), key, [out])
     return flagged.withColumn(out, F.coalesce(out, F.lit(False)))

@@ -56,6 +56,7 @@ def selection_bias(enriched: DataFrame) -> DataFrame:
             safe_div(F.sum(F.col("payer_flag").cast("long")), F.count(F.lit(1))).alias("payer_rate"),
             exact_mean(F.col("__rate")).alias("recovery_rate_proxy"),
         )
+        .orderBy("month_start", "ever_targeted_flag")
     )
 
 
@@ -70,6 +71,7 @@ def dpd_strata(account_months: DataFrame, banded: bool = False) -> DataFrame:
             F.sum("recovered_amount").alias("recovery"),
             exact_mean(F.col("__rate")).alias("recovery_rate"),
         )
+        .orderBy("month_start", F.asc_nulls_last("dpd_band" if banded else "dpd"))
     )
 
 
@@ -84,6 +86,7 @@ def cohort_tenure(enriched: DataFrame, months: int = 5) -> DataFrame:
             safe_div(F.sum("recovered_amount"), F.count(F.lit(1))).alias("recovery_per_account"),
             safe_div(F.sum(F.col("payer_flag").cast("long")), F.count(F.lit(1))).alias("payer_rate"),
         )
+        .orderBy("target_cohort_month", "months_since_first_target")
     )
 
 
@@ -98,6 +101,7 @@ def denominator_check(account_months: DataFrame) -> DataFrame:
             F.sum(F.when(F.col("recovered_amount") > 0, F.lit(1).cast("long"))).alias("paid_accounts"),
         )
         .withColumn("payer_rate", safe_div(F.col("paid_accounts"), F.col("n")))
+        .orderBy("month_start")
     )
 
 
@@ -107,6 +111,7 @@ def call_hour_contact(call_hours: DataFrame) -> DataFrame:
         call_hours.groupBy("month_start", "local_hour")
         .agg(F.sum("calls").alias("calls"), F.sum("answered_calls").alias("answered"))
         .withColumn("contact_rate", safe_div(F.col("answered"), F.col("calls")))
+        .orderBy("month_start", "local_hour")
     )
 
 
@@ -147,6 +152,7 @@ def agent_tenure(
         .groupBy(bands.alias("tenure_band"))
         .agg(F.sum("recovery").alias("recovery"), (F.sum("seconds") / 3600.0).alias("handled_hours"))
         .withColumn("recovery_per_agent_hour", safe_div(F.col("recovery"), F.col("handled_hours")))
+        .orderBy("tenure_band")
     )
 
 
@@ -168,9 +174,9 @@ def vendor_stability(calls: DataFrame, vendors: DataFrame, dispositions: DataFra
             F.coalesce(F.sum(F.when(answered, F.col("d"))), F.lit(0)).alias("answered_dispositions"),
         )
     )
-    return grouped.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left").select(
-        "month_start", "vendor_id", "vendor_name", "calls", "answered", "dispositions", "answered_dispositions"
-    )
+    columns = ["month_start", "vendor_id", "vendor_name", "calls", "answered", "dispositions", "answered_dispositions"]
+    named = grouped.join(vendors.select("vendor_id", "vendor_name"), "vendor_id", "left")
+    return named.select(*columns).orderBy(F.asc_nulls_last("month_start"), F.asc_nulls_last("vendor_id"))
 
 
 def targeted_vs_never(

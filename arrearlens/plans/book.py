@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators.attribution import first_targets
 from ..operators.quality import count_conflicts, quarantine_orphans
 from ..functions.codes import SUCCESS
-from ..sources.layers import read_layer, write_layer
+from ..sources.layers import read_layer, shared_root, write_layer
 from ..sources.raw import RawReader
 from . import cleaning, features, gold, metrics
 from .staging import stage
@@ -131,7 +131,7 @@ class Book:
         if name == "agent_sessions":
             return self.events("agent_sessions")
         if name == "payments":
-            return cleaning.clean_payments(cleaning.clean_events(self.stg("payments"), "payments"), self.accounts())
+            return cleaning.clean_payments(self.stg("payments"), self.accounts())
         if name == "call_dispositions":
             return cleaning.attach_account(self.dispositions(), self.accounts())
         if name == "daily_targeting":
@@ -221,9 +221,11 @@ CLEAN_TABLES = (
 def materialise(book: Book, spark: SparkSession, root: str | None = None) -> None:
     """Write all 26 layer tables in dependency order, each reading the ones before it.
 
-    `root` is a path in shared storage; without it catalog tables are written (the
+    `root` is a path in shared storage. Without it the folder the cluster names in
+    `spark.checkpoint.dir` is used, and without that catalog tables are written (the
     namespaces must exist, see `sources.layers.create_namespaces`).
     """
+    root = root or shared_root(spark)
 
     def store(layer: str, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         write_layer(df, layer, name, root, partition_by)

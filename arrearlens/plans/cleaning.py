@@ -161,9 +161,12 @@ def with_call_status(dispositions: DataFrame, calls: DataFrame) -> DataFrame:
     ).drop("call_status")
 
 
-def clean_payments(payments: DataFrame, accounts: DataFrame) -> DataFrame:
+def clean_payments(stg: DataFrame, accounts: DataFrame) -> DataFrame:
     """Payment ledger: the payment id is the event key, the reference never is one."""
-    return attach_account(flag_repeated(payments, "payment_reference", "repeated_reference_flag"), accounts)
+    ledger = clean_events(stg, "payments")
+    references = clean_events(stg, "payments", ["payment_reference"]).select("payment_reference")
+    flagged = flag_repeated(ledger, "payment_reference", "repeated_reference_flag", references)
+    return attach_account(flagged, accounts)
 
 
 def enrich_targeting(targeting: DataFrame, accounts: DataFrame, campaigns: DataFrame) -> DataFrame:

@@ -9,6 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 LAYERS = ("stg", "clean", "gold", "feat", "metrics")
 
 
+def shared_root(spark: SparkSession) -> str | None:
+    """Layer folder in the shared storage the cluster names, if it names one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return f"{folder.rstrip('/')}/arrearlens_layers" if folder else None
+
+
 def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS) -> None:
     for layer in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrearlens.functions.calendar import month_label, to_local
+from arrearlens.functions.calendar import months_apart, to_local
+from arrearlens.functions.codes import DPD_LABELS, INVESTMENT_COST
+from arrearlens.functions.ratio import band
 from arrearlens.operators import attribution, drivers, experiment, identity, quality
 from arrearlens.operators.calendar import month_spine
-from arrearlens.operators.lookup import attach_account
+from arrearlens.operators.lookup import attach_account, lookup
 from arrearlens.operators.stack import stack
 from arrearlens.plans import analysis, cleaning, metrics, report
 from arrearlens.plans.book import CLEAN_TABLES, Book
@@ -35,6 +37,10 @@ def book(spark: SparkSession, sf_dir: str) -> Book:
     return Book(raw_frames(spark, sf_dir), START, END)
 
 
+def month_text(day: date) -> str:
+    return day.strftime("%Y-%m")
+
+
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles, so that results compare by value across engines."""
     return df.select(
@@ -239,12 +245,8 @@ def investment_scenarios(b: Book) -> DataFrame:
 
 @query
 def investment_scenarios_ledger(b: Book) -> DataFrame:
-    complete = month_of_label(END)
-    return metrics.published_scenarios(metrics.monthly_kpis(b.payments()), (0.0, 0.02, 0.05, 0.08), 100_000_000, complete)
-
-
-def month_of_label(day: date) -> str:
-    return day.strftime("%Y-%m")
+    complete = month_text(END)
+    return metrics.published_scenarios(metrics.monthly_kpis(b.payments()), (0.0, 0.02, 0.05, 0.08), INVESTMENT_COST, complete)
 
 
 @query
@@ -257,8 +259,8 @@ def growth_decomposition(b: Book) -> DataFrame:
     kpis = metrics.monthly_kpis(b.payments())
     return metrics.growth(
         kpis,
-        month_of_label(FROM_MONTH),
-        month_of_label(TO_MONTH),
+        month_text(FROM_MONTH),
+        month_text(TO_MONTH),
         ["recovery", "payers", "recovery_per_payer"],
         "month",
     )
@@ -362,13 +364,10 @@ def age_cohort(b: Book) -> DataFrame:
 @query
 def step_check(b: Book) -> DataFrame:
     return metrics.step_check(
-        metrics.monthly_kpis(b.payments()), month_label_text(FROM_MONTH), month_label_text(TO_MONTH)
+        metrics.monthly_kpis(b.payments()), month_text(FROM_MONTH), month_text(TO_MONTH)
     )
 
 
-month_label_text = month_of_label
-
-
 # Drivers.
 
 
@@ -376,7 +375,7 @@ def account_attributes(b: Book) -> DataFrame:
     """Account dimension with its bands and its borrower's place."""
     accounts = b.accounts().withColumn("dpd_band", drivers.dpd_band())
     places = b.borrowers().select("borrower_id", "city", "state")
-    return accounts.join(places, "borrower_id", "left")
+    return lookup(accounts, places, "borrower_id", ["city", "state"])
 
 
 for _dim in ("loan_type", "risk_segment", "state"):
@@ -385,8 +384,6 @@ for _dim in ("loan_type", "risk_segment", "state"):
 
 @query
 def driver_dpd_band(b: Book) -> DataFrame:
-    from arrearlens.functions.codes import DPD_LABELS
-
     return drivers.driver_table(b.payments(), account_attributes(b), "dpd_band", labels=DPD_LABELS)
 
 
@@ -423,18 +420,12 @@ def driver_attempt_intensity(b: Book) -> DataFrame:
 @query
 def driver_borrower_segment(b: Book) -> DataFrame:
     """Segment proxy: size of the account's outstanding amount."""
-    from arrearlens.functions.ratio import band
-
     accounts = b.accounts().withColumn("borrower_segment", band(F.col("outstanding_amount"), *SEGMENT))
     return drivers.driver_table(b.payments(), accounts, "borrower_segment")
 
 
 @query
 def driver_agent_tenure(b: Book) -> DataFrame:
-    from arrearlens.functions.calendar import months_apart
-    from arrearlens.functions.ratio import band
-    from arrearlens.operators.lookup import lookup
-
     agents = cleaning.one_per_agent(b.identity())
     calls = lookup(
         b.events("calls", "account_id", "agent_id_raw", "event_at_utc"), agents, "agent_id", ["joined_at"]

@@ -8,7 +8,14 @@ from arrearlens.operators import quality
 from arrearlens.plans import metrics
 from arrearlens.plans.book import CLEAN_TABLES, materialise
 from arrearlens.plans.cleaning import dedupe
-from arrearlens.sources.layers import register_views, write_result_csv
+from arrearlens.sources.layers import (
+    create_namespaces,
+    read_layer,
+    register_views,
+    shared_root,
+    write_layer,
+    write_result_csv,
+)
 from arrearlens.sources.raw import raw_reader, read_raw
 from arrearlens.sources.schemas import TABLES
 from showcase.frames import RAW_SQL
@@ -114,6 +121,18 @@ def test_layers_round_trip(spark, tmp_path):
     assert months[0] == "month_start=1995-01-01" and len(months) == 84
 
 
+def test_catalog_layers(spark):
+    create_namespaces(spark)
+    rows = spark.createDataFrame([("a", date(2026, 1, 1)), ("b", date(2026, 2, 1))], "account_id string, month_start date")
+    write_layer(rows, "gold", "tiny", partition_by=("month_start",))
+    write_layer(rows, "gold", "tiny", partition_by=("month_start",))  # replaces
+    assert sorted(r.account_id for r in read_layer(spark, "gold", "tiny").collect()) == ["a", "b"]
+    raw = read_raw(spark, "gold", "tiny", "table")
+    assert raw.where("month_start = date'2026-02-01'").first().account_id == "b"
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared_root(spark) == (f"{named}/arrearlens_layers" if named else None)
+
+
 def test_csv_source_and_sinks(spark, tmp_path):
     path = str(tmp_path)
     rows = [(" 1 ", "a", "B", "2026-01-05 10:00:00", "r", "10.5", "success", "upi", "p", "extra")]
