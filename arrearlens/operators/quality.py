@@ -32,36 +32,38 @@ def count_conflicts(sources: dict[str, DataFrame], accounts: DataFrame) -> DataF
     """Per source: rows of known accounts whose own borrower differs from the account's.
 
     No join. Account rows and event rows are laid together and grouped by
-    (account, borrower): a group holding the account's own pair agrees, any other
-    conflicts, and grouping treats two missing borrowers as equal. All sources share
-    the two aggregations, both of which shrink before they shuffle.
+    (account, borrower, source): a group holding the account's own pair agrees, any
+    other conflicts, and grouping treats two missing borrowers as equal. All sources
+    share these aggregations, each of which shrinks before it shuffles.
     """
-    names = list(sources)
-    reference = accounts.select("account_id", F.col("borrower_id").alias("borrower"), F.lit(1).alias("own"))
+    names = F.array(*[F.lit(n) for n in sources])
+    own = accounts.select(
+        "account_id",
+        F.col("borrower_id").alias("borrower"),
+        F.explode(F.sequence(F.lit(0), F.lit(len(sources) - 1))).alias("src"),
+        F.lit(1).alias("own"),
+    )
     events = [
         df.where(F.col("account_id").isNotNull()).select(
             "account_id", F.col("borrower_id_raw").alias("borrower"), F.lit(i).alias("src")
         )
         for i, df in enumerate(sources.values())
     ]
-    pairs = (
-        stack([reference, *events])
-        .groupBy("account_id", "borrower")
-        .agg(F.max("own").alias("own"), *[F.sum(count_if(F.col("src") == i)).alias(f"n{i}") for i in range(len(names))])
+    pairs = stack([own, *events]).groupBy("account_id", "borrower", "src").agg(
+        F.max("own").alias("own"), F.count_if(F.col("own").isNull()).alias("n")
     )
-    per_account = pairs.groupBy("account_id").agg(
+    per_account = pairs.groupBy("account_id", "src").agg(
         F.max("own").alias("known"),
-        *[F.sum(f"n{i}").alias(f"all{i}") for i in range(len(names))],
-        *[F.sum(F.when(F.col("own").isNull(), F.col(f"n{i}")).otherwise(0)).alias(f"bad{i}") for i in range(len(names))],
+        F.sum("n").alias("total_rows"),
+        F.sum(F.when(F.col("own").isNull(), F.col("n")).otherwise(0)).alias("conflict_rows"),
     )
-    totals = per_account.where(F.col("known") == 1).agg(
-        *[F.coalesce(F.sum(f"{side}{i}"), F.lit(0)).alias(f"{side}{i}") for side in ("bad", "all") for i in range(len(names))]
+    # Every account has a row per source, so a source without events still reports zero.
+    return (
+        per_account.where("known = 1")
+        .groupBy("src")
+        .agg(F.sum("conflict_rows").alias("conflict_rows"), F.sum("total_rows").alias("total_rows"))
+        .select(F.element_at(names, F.col("src") + 1).alias("source"), "conflict_rows", "total_rows")
     )
-    rows = [
-        F.struct(F.lit(name).alias("source"), F.col(f"bad{i}").alias("conflict_rows"), F.col(f"all{i}").alias("total_rows"))
-        for i, name in enumerate(names)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
 
 
 def quarantine_orphans(sources: dict[str, tuple[DataFrame, str]], accounts: DataFrame) -> DataFrame:

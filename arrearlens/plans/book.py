@@ -73,8 +73,13 @@ class Book:
 
     # dimensions
 
-    def accounts(self) -> DataFrame:
-        return self._frame("clean", "accounts", lambda: cleaning.clean_accounts(self.stg("accounts")))
+    def accounts(self, *need: str) -> DataFrame:
+        """Account dimension, limited to `need` (staged names) when given."""
+        return self._frame("clean", "accounts", lambda: cleaning.clean_accounts(self.stg("accounts"), need))
+
+    def owners(self) -> DataFrame:
+        """Which borrower each account belongs to."""
+        return self.accounts("borrower_id_raw").select("account_id", "borrower_id")
 
     def borrowers(self) -> DataFrame:
         return self._frame("clean", "borrowers", lambda: cleaning.dedupe(self.stg("borrowers"), "borrowers"))
@@ -121,7 +126,7 @@ class Book:
     def _build_clean(self, name: str) -> DataFrame:
         sources = {v: k for k, v in EVENT_TABLES.items()}
         if name in sources:
-            return cleaning.attach_account(cleaning.clean_events(self.stg(sources[name]), sources[name]), self.accounts())
+            return cleaning.attach_account(cleaning.clean_events(self.stg(sources[name]), sources[name]), self.owners())
         if name == "accounts":
             return self.accounts()
         if name == "borrowers":
@@ -131,15 +136,15 @@ class Book:
         if name == "agent_sessions":
             return self.events("agent_sessions")
         if name == "payments":
-            return cleaning.clean_payments(self.stg("payments"), self.accounts())
+            return cleaning.clean_payments(self.stg("payments"), self.owners())
         if name == "call_dispositions":
-            return cleaning.attach_account(self.dispositions(), self.accounts())
+            return cleaning.attach_account(self.dispositions(), self.owners())
         if name == "daily_targeting":
-            return cleaning.enrich_targeting(self.stg("daily_targeting"), self.accounts(), self.stg("campaigns"))
+            return cleaning.enrich_targeting(self.stg("daily_targeting"), self.owners(), self.stg("campaigns"))
         if name == "dq_account_borrower_conflicts":
-            return count_conflicts({s: self.stg(s) for s in BORROWER_SOURCES}, self.accounts())
+            return count_conflicts({s: self.stg(s) for s in BORROWER_SOURCES}, self.owners())
         if name == "quarantine_orphans":
-            return quarantine_orphans({k: (self.stg(t), i) for k, (t, i) in ORPHAN_SOURCES.items()}, self.accounts())
+            return quarantine_orphans({k: (self.stg(t), i) for k, (t, i) in ORPHAN_SOURCES.items()}, self.accounts("account_id"))
         raise KeyError(name)
 
     # gold and features

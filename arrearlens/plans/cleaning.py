@@ -108,6 +108,9 @@ def dedupe(stg: DataFrame, table: str, need: Sequence[str] = (), keep: str = "la
     rule = RULES[table]
     ties = rule.ties
     if need:
+        unknown = set(need) - {rule.key, *rule.order, *ties}
+        if unknown:
+            raise ValueError(f"{table} has no column {sorted(unknown)}")
         last = max((ties.index(c) for c in need if c in ties), default=-1)
         ties = ties[: last + 1]
     carried = stg.select(rule.key, *rule.order, *ties)
@@ -118,9 +121,9 @@ def _conform(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(_RENAMES)
 
 
-def clean_accounts(stg: DataFrame) -> DataFrame:
+def clean_accounts(stg: DataFrame, need: Sequence[str] = ()) -> DataFrame:
     """Account dimension: the authority for which borrower an account belongs to."""
-    return dedupe(stg, "accounts").withColumnRenamed("borrower_id_raw", "borrower_id")
+    return dedupe(stg, "accounts", need).withColumnRenamed("borrower_id_raw", "borrower_id")
 
 
 def clean_agent_identity(stg: DataFrame) -> DataFrame:

@@ -126,7 +126,7 @@ def dq_report(book: Book) -> DataFrame:
     payment_ids = stack([duplicates, removed])
     payment_ids = payment_ids.agg(*[F.sum(c).alias(c) for c in payment_ids.columns])
 
-    conflicts = quality.count_conflicts({s: book.stg(s) for s in BORROWER_SOURCES}, book.accounts()).select(
+    conflicts = quality.count_conflicts({s: book.stg(s) for s in BORROWER_SOURCES}, book.owners()).select(
         "source", F.col("conflict_rows").alias("affected"), F.col("total_rows").alias("total")
     )
     source = F.col("source")

@@ -18,9 +18,27 @@ SETTINGS = {
 }
 
 
-def get_session(app: str = "arrearlens", master: str | None = None, **extra: str) -> SparkSession:
-    """Build (or get) a session; on a cluster leave `master` unset and size it by submit options."""
+# Shuffled bytes one task should receive: fits an executor core's share of memory, so
+# sorts and hash tables rarely spill.
+TASK_BYTES = 200 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Shuffle partitions for a job over `input_bytes` of source data.
+
+    AQE merges partitions that turn out small but never splits one that is not skewed,
+    so the count errs on the high side.
+    """
+    return max(200, -(-input_bytes // TASK_BYTES))
+
+
+def get_session(
+    app: str = "arrearlens", master: str | None = None, input_bytes: int | None = None, **extra: str
+) -> SparkSession:
+    """Build (or get) a session; on a cluster leave `master` unset and pass the input size."""
     builder = SparkSession.builder.appName(app)
+    if input_bytes is not None:
+        extra = {"spark.sql.shuffle.partitions": str(shuffle_partitions(input_bytes)), **extra}
     if master:
         builder = builder.master(master)
     for key, value in {**SETTINGS, **extra}.items():

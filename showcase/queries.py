@@ -343,12 +343,12 @@ def channel_conversion_ranked(b: Book) -> DataFrame:
 
 @query
 def targeted_vs_never(b: Book) -> DataFrame:
-    return analysis.targeted_vs_never(b.accounts(), b.targeting(), b.payments(), b.start, b.end)
+    return analysis.targeted_vs_never(b.accounts("outstanding_amount"), b.targeting(), b.payments(), b.start, b.end)
 
 
 @query
 def channel_yield(b: Book) -> DataFrame:
-    return attribution.channel_yield(b.targeting(), b.payments(), b.accounts())
+    return attribution.channel_yield(b.targeting(), b.payments(), b.accounts("outstanding_amount"))
 
 
 @query
@@ -420,7 +420,7 @@ def driver_attempt_intensity(b: Book) -> DataFrame:
 @query
 def driver_borrower_segment(b: Book) -> DataFrame:
     """Segment proxy: size of the account's outstanding amount."""
-    accounts = b.accounts().withColumn("borrower_segment", band(F.col("outstanding_amount"), *SEGMENT))
+    accounts = b.accounts("outstanding_amount").withColumn("borrower_segment", band(F.col("outstanding_amount"), *SEGMENT))
     return drivers.driver_table(b.payments(), accounts, "borrower_segment")
 
 
@@ -458,7 +458,7 @@ def identity_scd2(b: Book) -> DataFrame:
 
 @query
 def borrower_asof(b: Book) -> DataFrame:
-    paid = attach_account(b.events("payments", "account_id"), b.accounts()).select(
+    paid = attach_account(b.events("payments", "account_id"), b.owners()).select(
         "payment_id", "event_at", "borrower_id"
     )
     return identity.as_of(paid, b.stg("borrowers"), "borrower_id", "event_at", "updated_at", ["phone", "state"])
