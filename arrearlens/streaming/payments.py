@@ -30,18 +30,24 @@ def payment_stream(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return stage(reader.options(enforceSchema="false", **options).csv(path), "payments")
 
 
+_DAY_MICROS = 86_400_000_000
+
+
 def daily_recovery(payments: DataFrame, delay: str = "24 hours") -> DataFrame:
     """Successful cash per day, each payment id counted once within the watermark."""
-    # Watermarks need a zoned timestamp; reading the day back in the same session zone
-    # returns the wall-clock day.
+    # A watermark needs a zoned timestamp: read the wall clock as if it were UTC, and the
+    # window's day back the same way, so the session zone has no part in it.
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    as_utc = F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch, F.col("event_at")))
+    day = F.date_from_unix_date(F.floor(F.unix_micros(F.col("window.start")) / _DAY_MICROS).cast("int"))
     return (
-        payments.withColumn("event_at", F.col("event_at").cast("timestamp"))
+        payments.withColumn("event_at", as_utc)
         .withWatermark("event_at", delay)
         .dropDuplicatesWithinWatermark(["payment_id"])
         .where(F.col("payment_status") == SUCCESS)
         .groupBy(F.window("event_at", "1 day"))
         .agg(F.sum("amount").alias("recovery"), F.count(F.lit(1)).alias("payments"))
-        .select(F.col("window.start").cast("date").alias("day"), "recovery", "payments")
+        .select(day.alias("day"), "recovery", "payments")
     )
 
 

@@ -1,4 +1,6 @@
-from datetime import date, datetime
+import random
+from collections import Counter
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -219,6 +221,42 @@ def test_window_recovery_includes_both_ends(spark, targeting, ledger):
     ]
 
 
+def test_attribution_against_brute_force(spark):
+    """The day-axis windows against all pairs, on random rows with one account owning a third."""
+    rng = random.Random(7)
+
+    def account():
+        return "hot" if rng.random() < 1 / 3 else f"a{rng.randrange(30)}"
+
+    start = datetime(2026, 1, 1)
+    paid = [(i, account(), start + timedelta(minutes=rng.randrange(120 * 1440)), rng.randrange(1, 500)) for i in range(600)]
+    aimed = [(i, account(), (start + timedelta(days=rng.randrange(120))).date(), rng.choice("XYZ")) for i in range(500)]
+    payments = spark.createDataFrame(paid, "payment_id int, account_id string, event_at timestamp_ntz, n int").selectExpr(
+        "*", "cast(n as decimal(18,2)) as amount"
+    )
+    targets = spark.createDataFrame(aimed, "target_id int, account_id string, target_date date, recommended_channel string")
+
+    want = {}
+    for a, d, c in {(a, d, c) for _, a, d, c in aimed}:
+        hits = [n for _, pa, t, n in paid if pa == a and 0 <= (t.date() - d).days <= 14]
+        want[a, d, c] = sum(hits) if hits else None
+    got = window_recovery(targets, payments, [14], ["recommended_channel"]).collect()
+    assert {(r.account_id, r.target_date, r.recommended_channel): r.r14 for r in got} == want and len(got) == len(want)
+
+    touches = Counter()
+    for _, a, t, _n in paid:
+        k = sum(1 for _, ta, d, _c in aimed if ta == a and 0 <= (t.date() - d).days <= 14)
+        touches["many" if k > 1 else str(k)] += 1
+    assert {r.candidate_touches: r.payments for r in touch_multiplicity(targets, payments).collect()} == dict(touches)
+
+    cash = Counter()
+    for _, a, t, n in paid:
+        for c in {c for _, ta, d, c in aimed if ta == a and 0 <= (t.date() - d).days <= 14}:
+            cash[c] += n
+    accounts = targets.select("account_id").distinct().withColumn("outstanding_amount", F.lit(1))
+    assert {r.channel: r.recovery for r in channel_yield(targets, payments, accounts).collect()} == dict(cash)
+
+
 def test_channel_tables(spark, targeting, ledger):
     got = {r.recommended_channel: r for r in channel_conversion(targeting, ledger).collect()}
     sms = got["SMS"]

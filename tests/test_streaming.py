@@ -1,6 +1,8 @@
 from datetime import date
 from decimal import Decimal
 
+import pytest
+
 from arrearlens.streaming.payments import (
     current_ledger,
     daily_recovery,
@@ -53,9 +55,19 @@ def test_ledger_backfills_late_events(spark, tmp_path):
     assert {r.day: r.recovery for r in daily_totals(spark, root).collect()} == got
 
 
-def test_watermarked_daily_totals(spark, tmp_path):
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_watermarked_daily_totals(spark, tmp_path, zone):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        check_watermarked_daily_totals(spark, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def check_watermarked_daily_totals(spark, tmp_path):
     source = tmp_path / "in"
-    drop_file(source, "1.csv", [("p1", "2026-01-01 10:00:00", 10, "SUCCESS"), ("p1", "2026-01-01 12:00:00", 10, "SUCCESS"), ("p2", "2026-01-01 23:00:00", 5, "FAILED")])
+    drop_file(source, "1.csv", [("p1", "2026-01-01 10:00:00", 10, "SUCCESS"), ("p1", "2026-01-01 12:00:00", 10, "SUCCESS"), ("p2", "2026-01-01 23:00:00", 5, "FAILED"), ("p3", "2026-01-01 23:30:00", 2, "SUCCESS")])
     stream = daily_recovery(payment_stream(spark, str(source), maxFilesPerTrigger="1"))
 
     drop_file(source, "2.csv", [("p9", "2026-01-05 10:00:00", 1, "SUCCESS")])
@@ -64,4 +76,4 @@ def test_watermarked_daily_totals(spark, tmp_path):
     )
     query.awaitTermination()
     got = {r.day: (r.recovery, r.payments) for r in spark.table("daily").collect()}
-    assert got == {date(2026, 1, 1): (Decimal("10.00"), 1)}
+    assert got == {date(2026, 1, 1): (Decimal("12.00"), 2)}
