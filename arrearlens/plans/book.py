@@ -102,14 +102,18 @@ class Book:
         paid = self.events("payments", "account_id", "amount", "payment_status", *need, keep=keep)
         return paid.where(F.col("payment_status") == SUCCESS)
 
-    def dispositions(self, *need: str) -> DataFrame:
-        """Deduplicated dispositions with standard code and answered flag."""
+    def dispositions(self, *need: str, calls: DataFrame | None = None) -> DataFrame:
+        """Deduplicated dispositions with standard code and answered flag.
+
+        A plan that deduplicates calls anyway passes them as `calls`, so that Spark
+        finds the same shuffle twice and runs it once.
+        """
         return self._frame(
             "clean",
             "call_dispositions",
             lambda: cleaning.with_call_status(
                 cleaning.clean_events(self.stg("call_dispositions"), "call_dispositions", need),
-                self.events("calls", "call_status"),
+                self.events("calls", "call_status") if calls is None else calls,
             ),
         )
 

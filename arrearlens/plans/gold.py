@@ -41,8 +41,12 @@ def _attempts(book: Book) -> DataFrame:
     )
 
 
+def _call_events(book: Book) -> DataFrame:
+    return book.events("calls", "account_id", "call_status", "campaign_id", "event_at_utc")
+
+
 def _calls(book: Book) -> DataFrame:
-    df = book.events("calls", "account_id", "call_status", "campaign_id", "event_at_utc")
+    df = _call_events(book)
     answered = F.col("call_status") == codes.ANSWERED
     return monthly_measures(
         df,
@@ -57,7 +61,8 @@ def _calls(book: Book) -> DataFrame:
 
 
 def _dispositions(book: Book) -> DataFrame:
-    df = book.dispositions("account_id", "disposition_code_raw", "call_id").where("call_answered_flag")
+    df = book.dispositions("account_id", "disposition_code_raw", "call_id", calls=_call_events(book))
+    df = df.where("call_answered_flag")
     return monthly_measures(
         df,
         F.col("event_at_local"),
