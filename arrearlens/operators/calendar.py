@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import month_of
+from ..functions.calendar import month_of, on_days
 
 
 
@@ -35,6 +36,26 @@ def account_month_base(accounts: DataFrame, start: date, end: date, opened: str
     return accounts.select("*", F.explode(months).alias("month_start"))
 
 
+def month_column(at: str) -> str:
+    """Name of the partition column that stored event tables derive from their time column."""
+    return f"{at}_month"
+
+
+def within(df: DataFrame, at: str, *ranges: tuple[date, date]) -> DataFrame:
+    """Rows whose `at` falls in any of the closed date ranges.
+
+    Parquet cannot skip data by a zone-less timestamp, so a stored table is partitioned
+    by the month of its event time, and the months of the ranges prune partitions.
+    """
+    inside = reduce(lambda a, b: a | b, [on_days(F.col(at), lo, hi) for lo, hi in ranges])
+    out = df.where(inside)
+    month = month_column(at)
+    if month in df.columns:
+        spans = [F.col(month).between(F.lit(lo.replace(day=1)), F.lit(hi)) for lo, hi in ranges]
+        out = out.where(reduce(lambda a, b: a | b, spans))
+    return out
+
+
 def monthly_measures(
     df: DataFrame, at: Column, measures: Mapping[str, Column], account: str = "account_id"
 ) -> DataFrame:

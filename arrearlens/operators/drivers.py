@@ -8,9 +8,10 @@ from datetime import date
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import month_end, month_of, months_apart, on_days
+from ..functions.calendar import month_end, month_of, months_apart
 from ..functions.codes import DPD_EDGES, DPD_LABELS
 from ..functions.ratio import band, count_if, safe_div
+from .calendar import within
 from .dedup import latest_per_key
 from .stack import stack
 
@@ -80,8 +81,7 @@ def _stratum_periods(
     payments: DataFrame, attributes: DataFrame, stratum: str, before: date, after: date
 ) -> DataFrame:
     """Per stratum: payers and recovery in the two months, as n0/n1 and v0/v1."""
-    at = F.col("event_at")
-    inside = payments.where(on_days(at, before, month_end(before)) | on_days(at, after, month_end(after)))
+    inside = within(payments, "event_at", (before, month_end(before)), (after, month_end(after)))
     paid = recovery_by_account(inside, by_month=True).join(
         attributes.select("account_id", stratum), "account_id", "inner"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import on_days
 from ..functions.ratio import count_if, safe_div
+from .calendar import within
 from .stack import stack_sum
 
 _STRATUM_JOIN = "|"
@@ -76,18 +77,18 @@ def experiment_readout(
     """
     short, long = horizons
 
-    def within(column: str, n: int):
-        return on_days(F.col(column), start, start + timedelta(days=n))
+    def until(n: int):
+        return start, start + timedelta(days=n)
 
     one = F.lit(1).cast("long")
     frames = [
-        payments.where(within("event_at", long)).select(
+        within(payments, "event_at", until(long)).select(
             "account_id",
-            F.when(within("event_at", short), F.col("amount")).alias("short_cash"),
+            F.when(on_days(F.col("event_at"), *until(short)), F.col("amount")).alias("short_cash"),
             F.col("amount").alias("long_cash"),
         ),
-        complaints.where(within("event_at", long)).select("account_id", one.alias("complaints")),
-        *[df.where(within(at, long)).select("account_id", one.alias("contacts")) for df, at in contacts],
+        within(complaints, "event_at", until(long)).select("account_id", one.alias("complaints")),
+        *[within(df, at, until(long)).select("account_id", one.alias("contacts")) for df, at in contacts],
     ]
     outcome = stack_sum(["account_id"], frames)
     per_arm = (

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import month_of
 from ..functions.codes import CRORE, SUCCESS
 from ..functions.ratio import count_if, exact_mean, safe_div
+from ..operators.calendar import within
 from ..operators.drivers import dpd_band
 from ..operators.lookup import lookup
 from ..operators.stack import stack, stack_sum
@@ -184,17 +185,14 @@ def targeted_vs_never(
 ) -> DataFrame:
     """Accounts, cash and current outstanding of ever- and never-targeted accounts in
     the period [first_day, end)."""
-    at = F.col("event_at")
-    inside = (at >= F.lit(first_day.isoformat()).cast("timestamp_ntz")) & (
-        at < F.lit(end.isoformat()).cast("timestamp_ntz")
-    )
+    inside = within(payments, "event_at", (first_day, end - timedelta(days=1)))
     one = F.lit(1)
     per_account = stack_sum(
         ["account_id"],
         [
             accounts.select("account_id", "outstanding_amount", one.alias("known")),
             targeting.select("account_id", one.alias("targeted")),
-            payments.where(inside).select("account_id", "amount"),
+            inside.select("account_id", "amount"),
         ],
         maxes=["known", "targeted"],
     )

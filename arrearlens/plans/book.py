@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.attribution import first_targets
+from ..operators.calendar import month_column
 from ..operators.quality import count_conflicts, quarantine_orphans
+from ..functions.calendar import month_of
 from ..functions.codes import SUCCESS
 from ..sources.layers import read_layer, shared_root, write_layer
 from ..sources.raw import RawReader
@@ -227,6 +229,23 @@ CLEAN_TABLES = (
 )
 
 
+# Event time by whose month a stored clean table is partitioned.
+EVENT_TIME = {
+    "calls": "event_at_local",
+    "call_attempts": "event_at_local",
+    "call_dispositions": "event_at_local",
+    "payments": "event_at",
+    "daily_targeting": "target_date",
+    "promises_to_pay": "event_at",
+    "whatsapp_events": "event_at",
+    "sms_events": "event_at",
+    "field_visits": "event_at",
+    "agent_sessions": "login_at",
+    "status_history": "event_at",
+    "complaints": "event_at",
+}
+
+
 def materialise(book: Book, spark: SparkSession, root: str | None = None) -> None:
     """Write all 26 layer tables in dependency order, each reading the ones before it.
 
@@ -241,7 +260,12 @@ def materialise(book: Book, spark: SparkSession, root: str | None = None) -> Non
         book._stored[(layer, name)] = lambda: read_layer(spark, layer, name, root)
 
     for name in CLEAN_TABLES:
-        store("clean", name, book.clean(name))
+        df = book.clean(name)
+        at = EVENT_TIME.get(name)
+        if at is None:
+            store("clean", name, df)
+        else:
+            store("clean", name, df.withColumn(month_column(at), month_of(F.col(at))), (month_column(at),))
     store("gold", "account_month", book.gold(), ("month_start",))
     store("feat", "account_month", book.features(), ("month_start",))
     store("feat", "targeting_cohort", book.cohort())

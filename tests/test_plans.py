@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from arrearlens.operators import quality
+from arrearlens.operators.calendar import within
 from arrearlens.plans import metrics
 from arrearlens.plans.book import CLEAN_TABLES, materialise
 from arrearlens.plans.cleaning import dedupe
@@ -117,6 +118,10 @@ def test_layers_round_trip(spark, tmp_path):
         assert a.count() == b.count()
     plan = stored.payments().select("amount")._jdf.queryExecution().executedPlan().toString()
     assert "payment_method" not in plan and "PushedFilters: [IsNotNull(payment_status), EqualTo(payment_status,SUCCESS)]" in plan
+    recent = within(stored.payments(), "event_at", (date(1998, 3, 5), date(1998, 4, 2)))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_at_month" in plan and "(event_at_month" in plan
+    assert recent.count() == within(lazy.payments(), "event_at", (date(1998, 3, 5), date(1998, 4, 2))).count() > 0
     months = sorted(p.name for p in (tmp_path / "gold" / "account_month").glob("month_start=*"))
     assert months[0] == "month_start=1995-01-01" and len(months) == 84
 
