@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pieces
+from . import pieces, prefix_counts
 from .common import table
 
 
@@ -20,8 +20,12 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), limit=4096)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces,)}
+    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
