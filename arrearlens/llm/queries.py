@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import pieces, prefix_counts
+from . import compression_language, pieces, prefix_counts, repetition
 from .common import table
 
 
@@ -24,8 +25,20 @@ def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
+def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition_rules(table(spark, sf_dir, "documents"))
+
+
+def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    known = docs.where(~held_out & F.col("lang").isNotNull())
+    dictionaries = compression_language.fit(known.select("doc_id", "text", "lang"))
+    return compression_language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), dictionaries, keep=("held_out",))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts)}
+    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
