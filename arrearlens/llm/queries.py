@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, pieces, prefix_counts, repetition
+from . import compression_language, decontaminate, pieces, prefix_counts, repetition
 from .common import table
 
 
@@ -25,6 +25,12 @@ def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), limit=4096)
 
 
+def op7_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.col("items")
+    return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), decontaminate.items_digest(items).alias("items_sha256"), "contaminated")
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -38,7 +44,7 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts, op9_repetition, op10_compression_language)}
+    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
