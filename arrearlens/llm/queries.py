@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, decontaminate, pieces, prefix_counts, repetition
+from . import compression_language, decontaminate, pieces, prefix_counts, repetition, toxicity
 from .common import table
 
 
@@ -21,6 +21,13 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trip(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"))
 
 
+def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    ratios = toxicity.fit(docs.where(~held_out).select("doc_id", "text"), labels.where(~held_out).select("doc_id", "toxic"))
+    return toxicity.scored(docs.select("doc_id", "text", held_out.alias("held_out")), ratios, keep=("held_out",))
+
+
 def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), limit=4096)
 
@@ -44,7 +51,7 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
+    return {f.__name__: f for f in (op1_pieces, op3_kneser_ney, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
