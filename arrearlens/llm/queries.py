@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, decontaminate, pieces, prefix_counts, repetition, reshard, toxicity
+from . import compression_language, decontaminate, minhash_join, pieces, prefix_counts, repetition, reshard, toxicity
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs.select("doc_id", "text", held_out.alias("held_out")), ratios, keep=("held_out",))
 
 
+def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_counts.token_counts(table(spark, sf_dir, "documents"), _vocabulary("piece_bpe_32k.model"), limit=4096)
 
@@ -58,7 +62,7 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
+    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op5_minhash_join, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
