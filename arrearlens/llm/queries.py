@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, decontaminate, minhash_join, pieces, prefix_counts, repetition, reshard, toxicity
+from . import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, repetition, reshard, toxicity
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op7_window_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"), decontaminate.items_digest(items).alias("items_sha256"), "contaminated")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(table(spark, sf_dir, "documents"))
+
+
 def op9_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition_rules(table(spark, sf_dir, "documents"))
 
@@ -62,7 +66,7 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op5_minhash_join, op6_prefix_counts, op7_window_join, op9_repetition, op10_compression_language)}
+    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op5_minhash_join, op6_prefix_counts, op7_window_join, op8_line_dedup, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
