@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, repetition, reshard, toxicity
-from .common import table
+from . import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, recurrent_lm, repetition, reshard, toxicity
+from .common import cut, ship, table
 
 
 def _vocabulary(name: str) -> str:
@@ -35,6 +35,17 @@ def op3_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs.select("doc_id", "text", held_out.alias("held_out")), ratios, keep=("held_out",))
 
 
+def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
+    known = docs.where(~held_out).select("doc_id", "text")
+    counts = cut(recurrent_lm.word_counts(known))
+    vocab = recurrent_lm.vocabulary(counts)
+    network = recurrent_lm.fit(known, vocab)
+    return recurrent_lm.score_documents(docs.select("doc_id", "text", held_out.alias("held_out")), counts, vocab, network, keep=("held_out",))
+
+
 def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
@@ -66,7 +77,7 @@ def op10_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op5_minhash_join, op6_prefix_counts, op7_window_join, op8_line_dedup, op9_repetition, op10_compression_language)}
+    return {f.__name__: f for f in (op1_pieces, op2_min_cost_flow, op3_kneser_ney, op4_recurrent_lm, op5_minhash_join, op6_prefix_counts, op7_window_join, op8_line_dedup, op9_repetition, op10_compression_language)}
 
 
 def oracle_sql() -> dict[str, str]:
