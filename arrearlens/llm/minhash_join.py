@@ -153,7 +153,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, text_key (a hash of the text), n_shingles, component_id, kept."""
+    """Per row: doc_id, text_key (a hash of the text), n_shingles, component (its key, null if empty), component_id, kept."""
     ship(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), described(F.col("text")).alias("d")).select("doc_id", "text_key", "d.*"))
@@ -171,8 +171,30 @@ def near_duplicates(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_
         labels = components(links.unionAll(more))
     named = classes.select("cls", "rep").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    component = named.join(smallest, "label").select("cls", "component_id")
+    component = named.join(smallest, "label").select("cls", F.col("label").alias("component"), "component_id")
     # only matched rows are joined; a class may hold a third of them, and then its side is split at run time
-    joined = matched.select("doc_id", "text_key", "n_shingles", "cls").join(component, "cls").select("doc_id", "text_key", "n_shingles", "component_id")
-    alone = rows.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "text_key", "n_shingles", F.col("doc_id").alias("component_id"))
+    joined = matched.select("doc_id", "text_key", "n_shingles", "cls").join(component, "cls").select("doc_id", "text_key", "n_shingles", "component", "component_id")
+    alone = rows.where("not (n_shingles > 0 and doc_id is not null)").select("doc_id", "text_key", "n_shingles", F.lit(None).cast("binary").alias("component"), F.col("doc_id").alias("component_id"))
     return joined.unionAll(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def deduplicated(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that stay, one of each component, with all their columns.
+
+    The document with the component's id stays; where several rows have this id, one text of them and
+    one row of that text. Empty texts and rows without an id stay all.
+    """
+    found = cut(near_duplicates(docs, similar, id_col, text_col))
+    kept = found.where("kept and component is not null")
+    chosen = kept.groupBy("component").agg(F.min("text_key").alias("chosen"))
+    spare = kept.join(chosen, "component").where("text_key <> chosen")
+    gone = cut(found.where("not kept").select("doc_id", "text_key").unionAll(spare.select("doc_id", "text_key")).distinct())
+    repeated = cut(kept.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key"))
+    marks = gone.withColumn("gone", F.lit(True)).unionAll(repeated.withColumn("gone", F.lit(False)))
+    marks = marks.select(F.col("doc_id").alias("_of_id"), F.col("text_key").alias("_of_key"), F.col("gone").alias("_gone"))
+    if gone.count() + repeated.count() <= BROADCAST_IDS:
+        marks = F.broadcast(marks)
+    key = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
+    marked = docs.join(marks, (docs[id_col] == F.col("_of_id")) & (key == F.col("_of_key")), "left").where("_gone is null or not _gone")
+    once = marked.where("not _gone").dropDuplicates(["_of_id", "_of_key"])
+    return marked.where("_gone is null").unionAll(once).drop("_of_id", "_of_key", "_gone")

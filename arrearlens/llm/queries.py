@@ -47,7 +47,7 @@ def op4_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "component")
 
 
 def op6_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
