@@ -69,15 +69,23 @@ def clipped_micros(start: Column, end: Column) -> Column:
     return F.when(micros.isNotNull(), F.greatest(micros, F.lit(0)))
 
 
+# Entries of the zone database that name no zone.
+_NO_ZONES = ("Factory", "localtime", "posixrules")
+# Fixed value: offsets, bare or behind UTC, GMT or UT.
+_OFFSET = "^(UTC|GMT|UT)?[+-](0?[0-9]|1[0-7])(:[0-5][0-9])?$"
+
+
 @functools.cache
 def _known_zones() -> str:
-    names = {z for z in zoneinfo.available_timezones() if "/" in z and z.split("/")[0] not in ("posix", "right")}
-    return ", ".join(f"'{z}'" for z in sorted(names | {"UTC", "GMT"}))
+    names = {z for z in zoneinfo.available_timezones() if z not in _NO_ZONES and z.split("/")[0] not in ("posix", "right")}
+    if not names:
+        raise RuntimeError("this Python has no zone database; install tzdata")
+    return ", ".join(f"'{z}'" for z in sorted(names | {"UTC", "GMT", "Z"}))
 
 
 def zone_or_default(zone: str, default: str = DEFAULT_ZONE) -> Column:
-    """Zone column by name; a missing or unknown zone falls back (Spark raises on an unknown one)."""
-    return F.expr(f"case when {zone} in ({_known_zones()}) then {zone} else '{default}' end")
+    """Zone column by name or offset; a missing or unknown zone falls back (Spark raises on an unknown one)."""
+    return F.expr(f"case when {zone} in ({_known_zones()}) or {zone} rlike '{_OFFSET}' then {zone} else '{default}' end")
 
 
 def to_utc(local: str, zone: str, default: str = DEFAULT_ZONE) -> Column:

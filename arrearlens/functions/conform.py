@@ -20,8 +20,8 @@ KINDS: dict[str, str] = {
     # Identifiers and free text: trimmed, and a blank one is none.
     "id": f"nullif({_TRIMMED}, '')",
     "text": f"nullif({_TRIMMED}, '')",
-    # Labels keep their case; codes are upper case, version markers lower case.
-    "label": _TRIMMED,
+    # Labels keep their case and are none when blank; codes are upper case, version markers lower case.
+    "label": f"nullif({_TRIMMED}, '')",
     "code": f"upper({_TRIMMED})",
     "version": f"lower({_TRIMMED})",
     "email": f"nullif(lower({_TRIMMED}), '')",

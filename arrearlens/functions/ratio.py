@@ -13,9 +13,11 @@ def safe_div(num: Column, den: Column) -> Column:
     return F.try_divide(num.cast("double"), den.cast("double"))
 
 
-def exact_mean(c: Column) -> Column:
-    """Mean of a ratio, added up as decimals: the same whatever order partitions merge in."""
-    return safe_div(F.sum(c.cast("decimal(28,8)")), F.count(c))
+def stable_mean(c: Column) -> Column:
+    """Mean of a ratio of any size, to twelve significant digits: doubles added up in another
+    order of partitions differ far behind them."""
+    mean = F.avg(c.cast("double"))
+    return F.when(mean.isNotNull(), F.format_string("%.11e", mean).cast("double"))
 
 
 def flag(condition: Column) -> Column:
@@ -28,11 +30,16 @@ def count_if(condition: Column) -> Column:
     return F.when(condition, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))
 
 
-def band(c: Column, edges: Sequence[float], labels: Sequence[str], outside: str = "out_of_range") -> Column:
-    """Right-closed bands (edge[i], edge[i+1]]; values beyond them get `outside`, null stays null."""
-    out = F.when(c.isNull(), F.lit(None).cast("string")).when(c <= edges[0], outside)
+def band(c: Column, edges: Sequence[float | None], labels: Sequence[str], outside: str = "out_of_range") -> Column:
+    """Right-closed bands (edge[i], edge[i+1]]; None as the first or last edge leaves that side open.
+
+    Values beyond a closed end get `outside`, null stays null.
+    """
+    out = F.when(c.isNull(), F.lit(None).cast("string"))
+    if edges[0] is not None:
+        out = out.when(c <= edges[0], outside)
     for upper, name in zip(edges[1:], labels, strict=True):
-        out = out.when(c <= upper, name)
+        out = out.when(F.lit(True) if upper is None else c <= upper, name)
     return out.otherwise(outside)
 
 

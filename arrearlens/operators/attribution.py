@@ -83,10 +83,14 @@ def window_sensitivity(
 def channel_conversion(targeting: DataFrame, payments: DataFrame, days: int = 14) -> DataFrame:
     """Per channel: distinct target records, how many were followed by cash, and how much.
 
+    Targets without an account or a date are records too; no payment can follow them.
+
     `recovery_per_target` averages over targets followed by a payment (the published
     metric ignores targets without one); `recovery_per_target_all` divides by all.
     """
     hit = window_recovery(targeting, payments, [days], ["recommended_channel"]).withColumnRenamed(f"r{days}", "recovered")
+    unmatched = targeting.where("account_id is null or target_date is null")
+    hit = stack([hit, unmatched.select("account_id", "target_date", "recommended_channel").distinct()])
     per_channel = hit.groupBy("recommended_channel").agg(
         F.count(F.lit(1)).alias("target_records"),
         F.sum(count_if(F.col("recovered") > 0)).alias("converting_target_records"),

@@ -166,7 +166,7 @@ def simpson_check(
 
 
 # Account age in months at the observed month, right-closed bands.
-AGE_EDGES = (-1, 3, 6, 12, 24, 1200)
+AGE_EDGES = (-1, 3, 6, 12, 24, None)
 AGE_LABELS = ("0-3m", "4-6m", "7-12m", "13-24m", "25m+")
 
 

@@ -34,7 +34,9 @@ def stratified_assign(
     rollout.
     """
     draw = F.md5(F.concat(F.lit(f"{seed}:"), F.col("account_id")).cast("binary"))
-    stratum = F.concat_ws(_STRATUM_JOIN, *[F.coalesce(F.col(s).cast("string"), F.lit("?")) for s in strata])
+    # Unambiguous: the separator and the escape are escaped inside labels, and no label escapes to \\N.
+    escaped = [F.replace(F.replace(F.col(s).cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")) for s in strata]
+    stratum = F.concat_ws(_STRATUM_JOIN, *[F.coalesce(e, F.lit("\\N")) for e in escaped])
     drawn = accounts.where(F.col("account_id").isNotNull()).select(
         "account_id", stratum.alias("stratum"), draw.alias("draw")
     )
@@ -72,8 +74,9 @@ def experiment_readout(
 ) -> DataFrame:
     """Outcomes per arm over the horizons from `start`, per eligible account.
 
-    The start is one date, so the windows are plain range filters that reach the
-    scans; every source is added up per account in a single shuffle.
+    The start is one date, so the windows are plain range filters; on stored layers
+    they prune partitions, on lazy ones they stand above the deduplication. Every
+    source is added up per account in a single shuffle.
     """
     short, long = horizons
 

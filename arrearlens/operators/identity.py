@@ -34,22 +34,13 @@ def canonical_id(df: DataFrame, id_col: str, business_key: str, order: Sequence[
 def effective_dated(
     df: DataFrame, id_col: str, at: str, attributes: Sequence[str], ties: Sequence[str] | None = None
 ) -> DataFrame:
-    """Effective-dated versions: one row per id and change date, valid [valid_from, valid_to).
-
-    Versions are cut to the last one per id and date first, which bounds an id's
-    history by the calendar before the `lead` gathers it.
-    """
+    """Effective-dated versions: one row per id and time of change, valid [valid_from, valid_to)."""
     dated = df.where(F.col(id_col).isNotNull() & F.col(at).isNotNull()).select(
-        id_col, at, *attributes, F.col(at).cast("date").alias("valid_from")
+        id_col, *attributes, F.col(at).alias("valid_from")
     )
-    daily = latest_per_key(dated, [id_col, "valid_from"], [at], ties=ties)
+    versions = latest_per_key(dated, [id_col, "valid_from"], [], ties=ties)
     w = Window.partitionBy(id_col).orderBy("valid_from")
-    return daily.select(
-        id_col,
-        *attributes,
-        "valid_from",
-        F.lead("valid_from").over(w).alias("valid_to"),
-    )
+    return versions.select(id_col, *attributes, "valid_from", F.lead("valid_from").over(w).alias("valid_to"))
 
 
 def as_of(
@@ -60,12 +51,13 @@ def as_of(
     version_at: str,
     attributes: Sequence[str],
 ) -> DataFrame:
-    """Attach the attributes known at the end of each event's day.
+    """Attach the attributes known at each event's own time.
 
-    Events are reduced to the distinct (key, day) pairs they need, those are laid
-    next to the dated versions, and the last version carries forward. A key then
-    holds at most one row per calendar day in the window, and the events themselves
-    are only looked up by (key, day).
+    Events are reduced to the distinct (key, day) pairs they need. What was known when
+    a day began is the last version of an earlier day, carried forward over one row per
+    key and day; the day's own versions travel along in order, and the event's time
+    picks among them. So a key holds at most one row per calendar day in the window,
+    and the events themselves are only looked up by (key, day).
     """
     wanted = (
         events.where(F.col(key).isNotNull() & F.col(event_at).isNotNull())
@@ -77,12 +69,20 @@ def as_of(
         day_number(F.col("valid_from")).alias("__day"),
         F.struct(F.col("valid_from").alias("known_since"), *attributes).alias("__version"),
     )
-    w = Window.partitionBy(key).orderBy("__day").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    # In order of time: known_since comes first in the struct and is unique per key.
+    daily = known.groupBy(key, "__day").agg(F.sort_array(F.collect_list("__version")).alias("__today"))
+    before = Window.partitionBy(key).orderBy("__day").rangeBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy(key, "__day")
+    rows = stack([wanted.withColumn("__wanted", F.lit(True)), daily])
     carried = (
-        stack([wanted.withColumn("__wanted", F.lit(True)), known])
-        .withColumn("__version", F.last("__version", ignorenulls=True).over(w))
+        rows.withColumn("__earlier", F.last(F.element_at("__today", -1), ignorenulls=True).over(before))
+        .withColumn("__today", F.first("__today", ignorenulls=True).over(same))
         .where(F.col("__wanted"))
-        .select(key, "__day", "__version.*")
+        .select(key, "__day", "__earlier", "__today")
     )
     dated = events.withColumn("__day", day_number(F.col(event_at)))
-    return lookup(dated, carried, [key, "__day"], ["known_since", *attributes]).drop("__day")
+    met = lookup(dated, carried, [key, "__day"], ["__earlier", "__today"])
+    until = F.filter("__today", lambda v: v["known_since"] <= F.col(event_at))
+    version = F.coalesce(F.try_element_at(until, F.lit(-1)), F.col("__earlier"))
+    names = ["known_since", *attributes]
+    return met.withColumn("__version", version).select(*events.columns, *[F.col(f"__version.{n}").alias(n) for n in names])

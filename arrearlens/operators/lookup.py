@@ -14,12 +14,14 @@ def as_list(keys: Keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def _join(events: DataFrame, keyed: DataFrame, keys: list[str], take: Sequence[str], how: str) -> DataFrame:
+def _join(
+    events: DataFrame, keyed: DataFrame, keys: list[str], take: Sequence[str], how: str, spread: str | None = None
+) -> DataFrame:
     """Join on the keys plus a hash of them.
 
     The hash adds nothing to the match, but
-    - rows with a null key, which can match nothing, hash by another column and so
-      spread over all partitions instead of meeting in one;
+    - rows with a null key, which can match nothing, hash by `spread` (a column of many
+      values) or by all other columns, and so spread over all partitions;
     - neither side can reuse a partitioning it inherited from a deduplication or an
       aggregate, so both inputs of the join are plain shuffles. That is the shape in
       which AQE can split a partition made heavy by one hot key, and a later
@@ -28,9 +30,9 @@ def _join(events: DataFrame, keyed: DataFrame, keys: list[str], take: Sequence[s
     names = ", ".join(keys)
     right = keyed.selectExpr(*[f"{k} as __key_{k}" for k in keys], f"xxhash64({names}) as __key_hash", *take)
     missing = " or ".join(f"{k} is null" for k in keys)
-    spread = next((c for c in events.columns if c not in keys), keys[0])
+    others = [spread] if spread else [c for c in events.columns if c not in keys] or keys
     left = events.withColumn(
-        "__event_hash", F.expr(f"case when {missing} then xxhash64({spread}) else xxhash64({names}) end")
+        "__event_hash", F.expr(f"case when {missing} then xxhash64({', '.join(others)}) else xxhash64({names}) end")
     )
     on = " and ".join(f"{k} = __key_{k}" for k in keys) + " and __event_hash = __key_hash"
     joined = left.join(right, F.expr(on), how)
@@ -42,9 +44,9 @@ def lookup(events: DataFrame, keyed: DataFrame, key: Keys, take: Sequence[str])
     return _join(events, keyed, as_list(key), take, "left")
 
 
-def without_match(events: DataFrame, keyed: DataFrame, key: Keys) -> DataFrame:
+def without_match(events: DataFrame, keyed: DataFrame, key: Keys, spread: str | None = None) -> DataFrame:
     """Events whose `key` is null or absent from `keyed`."""
-    return _join(events, keyed, as_list(key), (), "left_anti")
+    return _join(events, keyed, as_list(key), (), "left_anti", spread)
 
 
 def attach_account(events: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -69,7 +69,8 @@ def count_conflicts(sources: dict[str, DataFrame], accounts: DataFrame) -> DataF
 def quarantine_orphans(sources: dict[str, tuple[DataFrame, str]], accounts: DataFrame) -> DataFrame:
     """Events whose account is missing or unknown: (source, event_id, account_id).
 
-    Sources are united before the one anti join.
+    Sources are united before the one anti join; events without an account spread by
+    their own id.
     """
     events = stack(
         [
@@ -77,7 +78,7 @@ def quarantine_orphans(sources: dict[str, tuple[DataFrame, str]], accounts: Data
             for name, (df, id_col) in sources.items()
         ]
     )
-    return without_match(events, accounts, "account_id")
+    return without_match(events, accounts, "account_id", spread="event_id")
 
 
 def duplicate_keys(df: DataFrame, key: str, conflicting: str | None = None) -> DataFrame:
@@ -162,9 +163,10 @@ def cast_failures(raw: DataFrame, table: str) -> DataFrame:
         present = f"trim(cast({f.raw} as string)) <> ''"
         return f"count_if({present} and {KINDS[kind].format(c=f.raw)} is null) as {f.staged}"
 
-    counts = raw.selectExpr(*[failed(f) for f in fields])
+    if not fields:
+        return raw.sparkSession.createDataFrame([], "table string, column string, failed long")
     rows = [
         F.struct(F.lit(table).alias("table"), F.lit(f.staged).alias("column"), F.col(f.staged).alias("failed"))
         for f in fields
     ]
-    return counts.select(F.inline(F.array(*rows)))
+    return raw.selectExpr(*[failed(f) for f in fields]).select(F.inline(F.array(*rows)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import month_of
 from ..functions.codes import CRORE, SUCCESS
-from ..functions.ratio import count_if, exact_mean, safe_div
+from ..functions.ratio import count_if, stable_mean, safe_div
 from ..operators.calendar import within
 from ..operators.drivers import dpd_band
 from ..operators.lookup import lookup
@@ -55,7 +55,7 @@ def selection_bias(enriched: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("accounts"),
             safe_div(F.sum("recovered_amount"), F.count(F.lit(1))).alias("recovery_per_account"),
             safe_div(F.sum(F.col("payer_flag").cast("long")), F.count(F.lit(1))).alias("payer_rate"),
-            exact_mean(F.col("__rate")).alias("recovery_rate_proxy"),
+            stable_mean(F.col("__rate")).alias("recovery_rate_proxy"),
         )
         .orderBy("month_start", "ever_targeted_flag")
     )
@@ -70,7 +70,7 @@ def dpd_strata(account_months: DataFrame, banded: bool = False) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("accounts"),
             F.sum("recovered_amount").alias("recovery"),
-            exact_mean(F.col("__rate")).alias("recovery_rate"),
+            stable_mean(F.col("__rate")).alias("recovery_rate"),
         )
         .orderBy("month_start", F.asc_nulls_last("dpd_band" if banded else "dpd"))
     )

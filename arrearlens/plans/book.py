@@ -13,7 +13,7 @@ from ..operators.calendar import month_column
 from ..operators.quality import count_conflicts, quarantine_orphans
 from ..functions.calendar import month_of
 from ..functions.codes import SUCCESS
-from ..sources.layers import read_layer, shared_root, write_layer
+from ..sources.layers import create_namespaces, list_table, new_version, read_layer, shared_root, switch_version, write_layer
 from ..sources.raw import RawReader
 from . import cleaning, features, gold, metrics
 from .staging import stage
@@ -246,32 +246,45 @@ EVENT_TIME = {
 }
 
 
-def materialise(book: Book, spark: SparkSession, root: str | None = None) -> None:
+def materialise(book: Book, spark: SparkSession, root: str | None = None, catalog: bool = False) -> str:
     """Write all 26 layer tables in dependency order, each reading the ones before it.
 
-    `root` is a path in shared storage. Without it the folder the cluster names in
-    `spark.checkpoint.dir` is used, and without that catalog tables are written (the
-    namespaces must exist, see `sources.layers.create_namespaces`).
+    `root` is a path in shared storage; without it the folder the cluster names in
+    `spark.checkpoint.dir` is used. Every run builds from the raw tables and writes to a
+    version folder of its own; only when all tables are there does `root` point to it
+    and `book` read from it, so a run that fails or is repeated harms nothing. With
+    `catalog` the namespaces are created and list the tables. Returns the version folder.
     """
     root = root or shared_root(spark)
+    if root is None:
+        raise ValueError("name a folder in shared storage, or set spark.checkpoint.dir")
+    version = new_version(root)
+    fresh = Book(book.raw, book.start, book.end)
 
     def store(layer: str, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        write_layer(df, layer, name, root, partition_by)
-        book._stored[(layer, name)] = lambda: read_layer(spark, layer, name, root)
+        write_layer(df, layer, name, version, partition_by)
+        fresh._stored[(layer, name)] = lambda: read_layer(spark, layer, name, version)
 
     for name in CLEAN_TABLES:
-        df = book.clean(name)
+        df = fresh.clean(name)
         at = EVENT_TIME.get(name)
         if at is None:
             store("clean", name, df)
         else:
             store("clean", name, df.withColumn(month_column(at), month_of(F.col(at))), (month_column(at),))
-    store("gold", "account_month", book.gold(), ("month_start",))
-    store("feat", "account_month", book.features(), ("month_start",))
-    store("feat", "targeting_cohort", book.cohort())
-    store("feat", "account_month_enriched", book.enriched(), ("month_start",))
-    store("feat", "call_hour", book.call_hours(), ("month_start",))
-    store("feat", "agent_month", book.agent_months())
-    store("metrics", "monthly", book.monthly())
-    store("metrics", "channel_14d", book.channel_14d())
-    store("metrics", "investment_scenarios", book.investment_scenarios())
+    store("gold", "account_month", fresh.gold(), ("month_start",))
+    store("feat", "account_month", fresh.features(), ("month_start",))
+    store("feat", "targeting_cohort", fresh.cohort())
+    store("feat", "account_month_enriched", fresh.enriched(), ("month_start",))
+    store("feat", "call_hour", fresh.call_hours(), ("month_start",))
+    store("feat", "agent_month", fresh.agent_months())
+    store("metrics", "monthly", fresh.monthly())
+    store("metrics", "channel_14d", fresh.channel_14d())
+    store("metrics", "investment_scenarios", fresh.investment_scenarios())
+    switch_version(spark, root, version)
+    book._stored = dict(fresh._stored)
+    if catalog:
+        create_namespaces(spark)
+        for layer, name in fresh._stored:
+            list_table(spark, layer, name, version)
+    return version

@@ -107,6 +107,7 @@ def _pick(column: str, month_column: str, month) -> Column:
 
 def growth(monthly: DataFrame, from_month, to_month, columns: Sequence[str], month_column: str) -> DataFrame:
     """Two months side by side with the relative change of each column (one row)."""
+    monthly = monthly.where(F.col(month_column).isin(from_month, to_month))
     picked = monthly.agg(
         *[_pick(c, month_column, m).alias(f"{side}_{c}") for c in columns for side, m in (("from", from_month), ("to", to_month))]
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("stg", "clean", "gold", "feat", "metrics")
 
@@ -20,6 +22,30 @@ def create_namespaces(spark: SparkSession, layers: Sequence[str] = LAYERS) -> No
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
 
 
+def new_version(root: str) -> str:
+    """A folder for one run of the layers."""
+    return f"{root.rstrip('/')}/version-{uuid.uuid4().hex}"
+
+
+def switch_version(spark: SparkSession, root: str, version: str) -> None:
+    """Let `root` point to a finished version. Pointers are only ever added; the last one holds."""
+    row = spark.range(1).select(F.lit(version).alias("version"), F.current_timestamp().alias("at"))
+    row.write.mode("append").parquet(f"{root.rstrip('/')}/versions")
+
+
+def current_version(spark: SparkSession, root: str) -> str:
+    """The version that `root` points to."""
+    return spark.read.parquet(f"{root.rstrip('/')}/versions").agg(F.max_by("version", "at").alias("version")).first().version
+
+
+def list_table(spark: SparkSession, layer: str, name: str, version: str) -> None:
+    """List a stored table in the catalog; dropping an earlier entry leaves its files."""
+    spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+    spark.sql(f"CREATE TABLE {layer}.{name} USING parquet LOCATION '{version}/{layer}/{name}'")
+    if [c for c in spark.catalog.listColumns(f"{layer}.{name}") if c.isPartition]:
+        spark.sql(f"MSCK REPAIR TABLE {layer}.{name}")
+
+
 def write_layer(
     df: DataFrame,
     layer: str,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from .schemas import raw_schema
 
@@ -14,9 +15,12 @@ RawReader = Callable[[str], DataFrame]
 def read_raw(spark: SparkSession, path: str, table: str, fmt: str = "csv") -> DataFrame:
     """Read one raw table stored at `path/table[.ext]`."""
     if fmt == "csv":
-        # No inference pass: all columns are strings, matched by header name, so the
-        # file's own column order does not matter and extra columns are ignored.
-        return spark.read.option("header", True).csv(f"{path}/{table}.csv").select(*raw_schema(table).names)
+        # No inference pass: all columns are strings. The first header names them, in
+        # whatever order; further part files must have the same header, else the read
+        # fails instead of mixing columns. Extra columns are ignored.
+        reader, files = spark.read.option("header", True), f"{path}/{table}.csv"
+        header = T.StructType([T.StructField(name, T.StringType()) for name in reader.csv(files).columns])
+        return reader.schema(header).option("enforceSchema", False).csv(files).select(*raw_schema(table).names)
     if fmt == "parquet":
         return spark.read.parquet(f"{path}/{table}.parquet")
     if fmt == "table":

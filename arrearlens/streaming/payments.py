@@ -3,7 +3,8 @@
 `daily_recovery` is the cheap answer: state is bounded by a watermark, later copies of
 a payment are ignored, and events beyond the watermark are dropped from the totals.
 
-`ledger_sink` is the exact one: every event is kept in a replayable log and the days a
+`ledger_sink` is the exact one: every event is kept in a replayable log (those without an
+id or a time among the rejects) and the days a
 batch touches are recomputed with the ledger rule (the latest copy of a payment wins),
 however late the event. Batches may be retried: each overwrites only its own log
 partition and the days it recomputes.
@@ -15,6 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.codes import SUCCESS
 from ..operators.dedup import latest_per_key
@@ -59,29 +61,34 @@ def _daily(root: str) -> str:
     return f"{root}/daily_recovery"
 
 
+def _rejects(root: str) -> str:
+    return f"{root}/payment_rejects"
+
+
+def _staged_schema(spark: SparkSession) -> T.StructType:
+    empty = spark.createDataFrame([], raw_schema("payments"))
+    return stage(empty, "payments").schema
+
+
+def _read_log(spark: SparkSession, root: str) -> DataFrame:
+    """The log, empty before the first usable event."""
+    return spark.read.schema(_staged_schema(spark).add("batch", T.LongType()).add("day", T.DateType())).parquet(_log(root))
+
+
 def current_ledger(spark: SparkSession, root: str) -> DataFrame:
     """One row per payment over everything received so far."""
     rule = RULES["payments"]
-    log = spark.read.parquet(_log(root)).drop("batch", "day")
-    return latest_per_key(log, rule.key, rule.order, ties=rule.ties)
+    return latest_per_key(_read_log(spark, root).drop("batch", "day"), rule.key, rule.order, ties=rule.ties)
 
 
-def recompute_days(spark: SparkSession, root: str, days: DataFrame, copies_within: int | None = None) -> DataFrame:
+def recompute_days(spark: SparkSession, root: str, days: DataFrame) -> DataFrame:
     """Daily totals of the given days from the log; a day left without cash gets zero.
 
     Payments with any copy on those days are found first, then judged by all their
-    copies. `copies_within` is a promise that copies of one payment lie at most that
-    many days apart; it limits the log partitions searched for them.
+    copies, however far apart these are.
     """
-    log = spark.read.parquet(_log(root))
+    log = _read_log(spark, root)
     ids = log.join(days, "day", "left_semi").select("payment_id").distinct()
-    if copies_within is not None:
-        near = days.select(
-            F.explode(
-                F.sequence(F.date_sub("day", copies_within), F.date_add("day", copies_within))
-            ).alias("day")
-        ).distinct()
-        log = log.join(near, "day", "left_semi")
     rule = RULES["payments"]
     copies = log.join(ids, "payment_id", "left_semi").drop("batch", "day")
     paid = latest_per_key(copies, rule.key, rule.order, ties=rule.ties).where(F.col("payment_status") == SUCCESS)
@@ -95,31 +102,31 @@ def recompute_days(spark: SparkSession, root: str, days: DataFrame, copies_withi
     )
 
 
-def ledger_sink(root: str, copies_within: int | None = None) -> Callable[[DataFrame, int], None]:
-    """A `foreachBatch` function that keeps the log and the daily totals under `root`."""
+def ledger_sink(root: str) -> Callable[[DataFrame, int], None]:
+    """A `foreachBatch` function that keeps the log, its rejects and the daily totals under `root`."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = batch.where("payment_id is not null and event_at is not null").select(
-            "*", F.lit(batch_id).alias("batch"), F.col("event_at").cast("date").alias("day")
-        )
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(
-            _log(root)
-        )
+        numbered = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        usable = F.col("payment_id").isNotNull() & F.col("event_at").isNotNull()
+        replace = {"partitionOverwriteMode": "dynamic"}
+        rows = numbered.where(usable).withColumn("day", F.col("event_at").cast("date"))
+        rows.write.mode("overwrite").options(**replace).partitionBy("batch", "day").parquet(_log(root))
+        numbered.where(~usable).write.mode("overwrite").options(**replace).partitionBy("batch").parquet(_rejects(root))
         # Days of this batch, and days that held an earlier copy of its payments.
-        log = spark.read.parquet(_log(root))
+        log = _read_log(spark, root)
         received = log.where(F.col("batch") == batch_id)
-        earlier = log if copies_within is None else log.where(
-            F.col("day") >= F.date_sub(F.lit(received.agg(F.min("day")).first()[0]), copies_within)
-        )
-        moved = earlier.join(received.select("payment_id").distinct(), "payment_id", "left_semi")
-        days = moved.select("day").distinct()
-        recompute_days(spark, root, days, copies_within).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("day").parquet(_daily(root))
+        days = log.join(received.select("payment_id").distinct(), "payment_id", "left_semi").select("day").distinct()
+        totals = recompute_days(spark, root, days)
+        totals.write.mode("overwrite").options(**replace).partitionBy("day").parquet(_daily(root))
 
     return write
 
 
+def rejected_payments(spark: SparkSession, root: str) -> DataFrame:
+    """Events without an id or a time, with the batch they came in."""
+    return spark.read.schema(_staged_schema(spark).add("batch", T.LongType())).parquet(_rejects(root))
+
+
 def daily_totals(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(_daily(root))
+    return spark.read.schema("recovery decimal(18,2), payments bigint, day date").parquet(_daily(root))

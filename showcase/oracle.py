@@ -63,7 +63,7 @@ CTES: dict[str, str] = {f"raw_{name}": sql for name, sql in RAW_SQL.items()}
 CTES |= {
     "stg_accounts": f"""select {_id("account_id")}, {_BORROWER_RAW}, {_code("loan_type")}, {_money("principal_amount")},
         {_money("outstanding_amount")}, {_int("dpd")}, {_code("risk_segment")}, {_code("status")}, {_ts("opened_at")},
-        trim(timezone) as timezone, {_ver("schema_version")} from raw_accounts""",
+        nullif(trim(timezone), '') as timezone, {_ver("schema_version")} from raw_accounts""",
     "stg_borrowers": f"""select {_id("borrower_id")}, {_id("name", "borrower_name")}, {_id("phone")},
         nullif(lower(trim(email)), '') as email, {_ids("city state")}, {_ts("created_at")}, {_ts("updated_at")}
         from raw_borrowers""",
@@ -73,7 +73,7 @@ CTES |= {
         {_money("amount")}, {_code("payment_status")}, {_code("payment_method")}, {_id("provider_id")} from raw_payments""",
     "stg_calls": f"""select {_ids("call_id account_id")}, {_BORROWER_RAW}, {_ts("event_at", "event_at_local")},
         {_id("agent_id", "agent_id_raw")}, {_id("campaign_id")}, {_code("direction")}, {_id("vendor_id", "vendor_id_raw")},
-        {_code("call_status")}, coalesce(duration_sec, 0) as duration_sec, trim(timezone) as timezone from raw_calls""",
+        {_code("call_status")}, coalesce(duration_sec, 0) as duration_sec, nullif(trim(timezone), '') as timezone from raw_calls""",
     "stg_call_attempts": f"""select {_ids("attempt_id account_id")}, {_BORROWER_RAW}, {_ts("event_at", "event_at_local")},
         {_id("call_id")}, {_id("agent_id", "agent_id_raw")}, {_int("attempt_no")}, {_id("vendor_id", "vendor_id_raw")},
         {_code("attempt_status")} from raw_call_attempts""",
@@ -92,13 +92,13 @@ CTES |= {
         try_cast(latitude as decimal(9,6)) as latitude, try_cast(longitude as decimal(9,6)) as longitude,
         {_ts("scheduled_at")} from raw_field_visits""",
     "stg_agent_sessions": f"""select {_ids("session_id agent_id")}, {_ts("login_at")}, {_code("channel")}, {_id("device_id")},
-        trim(timezone) as timezone, {_ts("logout_at")} from raw_agent_sessions""",
+        nullif(trim(timezone), '') as timezone, {_ts("logout_at")} from raw_agent_sessions""",
     "stg_account_status_history": f"""select {_ids("history_id account_id")}, {_BORROWER_RAW}, {_ts("event_at")},
         {_code("status")}, {_id("changed_by")}, {_code("source")}, {_ts("recorded_at")} from raw_account_status_history""",
     "stg_complaints": f"""select {_ids("complaint_id account_id")}, {_BORROWER_RAW}, {_ts("event_at")},
         {_code("complaint_type")}, {_code("severity")}, {_code("status")}, {_code("source")}, {_ts("resolution_at")}
         from raw_complaints""",
-    "stg_vendor_telephony": f"""select {_ids("vendor_id vendor_name vendor_account_id")}, trim(timezone) as timezone,
+    "stg_vendor_telephony": f"""select {_ids("vendor_id vendor_name vendor_account_id")}, nullif(trim(timezone), '') as timezone,
         {_code("status")}, {_ver("schema_version")} from raw_vendor_telephony""",
 }
 for _m in ("whatsapp", "sms"):
@@ -107,7 +107,10 @@ for _m in ("whatsapp", "sms"):
 
 # --- one row per key, before borrower repair ------------------------------------
 
-_ZONE = "case when timezone in ('Asia/Kolkata', 'UTC', 'Asia/Dubai') then timezone else 'Asia/Kolkata' end"
+_ZONE = (
+    "case when timezone in ('Asia/Kolkata', 'UTC', 'Asia/Dubai') then timezone when timezone = 'Singapore' then 'Asia/Singapore' "
+    "when timezone = '-03:00' then 'Etc/GMT+3' else 'Asia/Kolkata' end"
+)
 _CALL_TIES = _asc(
     "agent_id_raw account_id call_status timezone vendor_id_raw campaign_id direction borrower_id_raw"
 )
@@ -333,7 +336,6 @@ def _gold(*facts: str) -> str:
 CTES |= {
     "gold": _gold(*_MEASURES),
     "gold_cash": _gold("payments"),
-    "gold_cash_targets": _gold("payments", "targets"),
     "cohort": "select account_id, min(target_date) as first_target_date from targets where account_id is not null group by 1",
     "feat": f"""select *, cast(extract(day from last_day(month_start)) as integer) as days_in_month,
         case when recovered_amount > 0 then 1 else 0 end as payer_flag, case when calls > 0 then 1 else 0 end as attempted_flag,
@@ -346,13 +348,11 @@ CTES |= {
         {_div("recovered_amount", "outstanding_amount")} as recovery_rate_proxy,
         {_div("recovered_amount", "attempts")} as recovery_per_attempt,
         {_div("recovered_amount", "answered_seconds / 3600.0::double")} as recovery_per_answered_hour from gold""",
-    "enriched": f"""select g.*, cast(extract(day from last_day(month_start)) as integer) as days_in_month,
-        case when recovered_amount > 0 then 1 else 0 end as payer_flag, case when target_events > 0 then 1 else 0 end as targeted_flag,
-        {_div("recovered_amount", "outstanding_amount")} as recovery_rate_proxy, first_target_date,
-        case when target_events > 0 or first_target_date is not null then 1 else 0 end as ever_targeted_flag,
+    "enriched": """select f.*, first_target_date,
+        case when targeted_flag = 1 or first_target_date is not null then 1 else 0 end as ever_targeted_flag,
         case when month_start >= date_trunc('month', first_target_date) then 1 else 0 end as post_first_target_flag,
         cast(date_diff('month', date_trunc('month', first_target_date), month_start) as integer) as months_since_first_target
-        from gold_cash_targets g left join cohort using (account_id)""",
+        from feat f left join cohort using (account_id)""",
     "call_hour": f"""select account_id, {_month("event_at_utc")} as month_start,
         cast(extract(hour from timezone({_ZONE}, timezone('UTC', event_at_utc))) as integer) as local_hour, count(*) as calls,
         count(*) filter (call_status = 'ANSWERED') as answered_calls,
@@ -399,8 +399,7 @@ CTES |= {
         {_div("coalesce(sum(recovered), 0)", "count(*)")} as recovery_per_target_all,
         {_div("count(*) filter (recovered > 0)", "count(*)")} as conversion_rate_14d
         from (select t.account_id, t.target_date, t.recommended_channel, sum(p.amount) as recovered
-            from (select distinct account_id, target_date, recommended_channel from targets
-                where account_id is not null and target_date is not null) t
+            from (select distinct account_id, target_date, recommended_channel from targets) t
             left join paid p on p.account_id = t.account_id
                 and cast(p.event_at as date) between t.target_date and t.target_date + 14 group by 1, 2, 3)
         group by 1""",
@@ -411,18 +410,18 @@ CTES |= {
         from one_accounts a left join one_borrowers b using (borrower_id)""",
     "scd2": """select agent_id, employee_code, vendor_id, team, agent_name, valid_from,
         lead(valid_from) over (partition by agent_id order by valid_from) as valid_to from (
-            select *, cast(updated_at as date) as valid_from from stg_agents
+            select *, updated_at as valid_from from stg_agents
             where agent_id is not null and updated_at is not null
-            qualify row_number() over (partition by agent_id, cast(updated_at as date)
-                order by updated_at desc, employee_code asc nulls last, vendor_id asc nulls last, team asc nulls last,
+            qualify row_number() over (partition by agent_id, updated_at
+                order by employee_code asc nulls last, vendor_id asc nulls last, team asc nulls last,
                 agent_name asc nulls last) = 1)""",
     "assigned": f"""select account_id, stratum, position,
         case when position <= floor(n * 0.5::double + 0.5::double) then 'treatment' else 'holdout' end as arm,
         cast(floor(((position - 1) * 4)::double / n) + 1 as integer) as wave
         from (select account_id, stratum, count(*) over (partition by stratum) as n,
             row_number() over (partition by stratum order by md5('{SEED}:' || account_id), account_id) as position
-            from (select account_id, concat_ws('|', coalesce(dpd_band, '?'), coalesce(risk_segment, '?'),
-                coalesce(loan_type, '?')) as stratum from attributes where account_id is not null))""",
+            from (select account_id, concat_ws('|', coalesce(dpd_band, '\\N'), coalesce(risk_segment, '\\N'),
+                coalesce(loan_type, '\\N')) as stratum from attributes where account_id is not null))""",
 }
 
 _SOURCES = (
@@ -655,7 +654,7 @@ _RATE = "case when outstanding_amount > 0 then recovered_amount / outstanding_am
 
 
 def _mean(rate: str) -> str:
-    return f"{_div(f'sum(cast({rate} as decimal(28,8)))', f'count({rate})')}"
+    return f"cast(printf('%.11e', avg({rate})) as double)"
 
 
 def _dpd_strata(stratum: str, name: str) -> str:
@@ -723,7 +722,7 @@ ORACLE |= {
         f"""select '{t}' as "table", count(*) as rows from stg_{t}""" for t in _TABLES
     ),
     "cast_failures": _cast_failures(),
-    "gold_key_violations": """select count(*) as violations from (select account_id, month_start from gold_cash group by 1, 2
+    "gold_key_violations": """select count(*) as violations from (select account_id, month_start from gold group by 1, 2
         having count(*) > 1)""",
     "dup_payment_ids": _dup("payments", "payment_id"),
     "dup_call_ids": "select * from dup_calls",
@@ -901,11 +900,10 @@ ORACLE |= {
     "identity_scd2": "select * from scd2",
     "borrower_asof": """select p.payment_id, p.event_at, a.borrower_id, v.known_since, v.phone, v.state
         from one_payments p left join one_accounts a using (account_id) left join (
-            select borrower_id, cast(updated_at as date) as known_since, phone, state,
-            lead(cast(updated_at as date)) over (partition by borrower_id order by updated_at) as until
+            select borrower_id, updated_at as known_since, phone, state,
+            lead(updated_at) over (partition by borrower_id order by updated_at) as until
             from stg_borrowers where borrower_id is not null and updated_at is not null) v
-        on v.borrower_id = a.borrower_id and cast(p.event_at as date) >= v.known_since
-            and (v.until is null or cast(p.event_at as date) < v.until)""",
+        on v.borrower_id = a.borrower_id and p.event_at >= v.known_since and (v.until is null or p.event_at < v.until)""",
     "experiment_assignment": "select * from assigned",
     "experiment_readout": f"""select arm, eligible_accounts, payers, recovery_14d, recovery_30d, complaints, contacts,
         {_div("recovery_14d", "eligible_accounts")} as recovery_14d_per_account,

@@ -95,12 +95,12 @@ def table_profile(b: Book) -> DataFrame:
 
 @query
 def cast_failures(b: Book) -> DataFrame:
-    return stack([quality.cast_failures(b.raw(t), t) for t in TABLES if t != "vendor_telephony"])
+    return stack([quality.cast_failures(b.raw(t), t) for t in TABLES])
 
 
 @query
 def gold_key_violations(b: Book) -> DataFrame:
-    return quality.assert_unique(b.gold("payments"), ["account_id", "month_start"]).agg(
+    return quality.assert_unique(b.gold(), ["account_id", "month_start"]).agg(
         F.count(F.lit(1)).alias("violations")
     )
 
@@ -183,7 +183,7 @@ def targeting_cohort(b: Book) -> DataFrame:
 
 @query
 def features_enriched(b: Book) -> DataFrame:
-    return b.enriched("payments", "targets")
+    return b.enriched()
 
 
 @query
@@ -371,20 +371,25 @@ def step_check(b: Book) -> DataFrame:
 # Drivers.
 
 
+def account_bands(b: Book) -> DataFrame:
+    """Account dimension with its bands."""
+    return b.accounts().withColumn("dpd_band", drivers.dpd_band())
+
+
 def account_attributes(b: Book) -> DataFrame:
     """Account dimension with its bands and its borrower's place."""
-    accounts = b.accounts().withColumn("dpd_band", drivers.dpd_band())
+    accounts = account_bands(b)
     places = b.borrowers().select("borrower_id", "city", "state")
     return lookup(accounts, places, "borrower_id", ["city", "state"])
 
 
-for _dim in ("loan_type", "risk_segment", "state"):
-    query(lambda b, d=_dim: drivers.driver_table(b.payments(), account_attributes(b), d), f"driver_{_dim}")
+for _dim, _attributes in (("loan_type", account_bands), ("risk_segment", account_bands), ("state", account_attributes)):
+    query(lambda b, d=_dim, a=_attributes: drivers.driver_table(b.payments(), a(b), d), f"driver_{_dim}")
 
 
 @query
 def driver_dpd_band(b: Book) -> DataFrame:
-    return drivers.driver_table(b.payments(), account_attributes(b), "dpd_band", labels=DPD_LABELS)
+    return drivers.driver_table(b.payments(), account_bands(b), "dpd_band", labels=DPD_LABELS)
 
 
 def _modal_driver(name: str, source: Callable[[Book], DataFrame], column: str) -> None:
@@ -405,10 +410,10 @@ _modal_driver(
     "local_hour",
 )
 
-INTENSITY = ((0, 2, 5, 10, 20, 1_000_000_000), ("1-2", "3-5", "6-10", "11-20", "21+"))
+INTENSITY = ((0, 2, 5, 10, 20, None), ("1-2", "3-5", "6-10", "11-20", "21+"))
 # Months between the joining month of the account's most frequent agent and its call.
-TENURE = ((-1, 3, 6, 12, 24, 1200), ("0-3m", "4-6m", "7-12m", "13-24m", "25m+"))
-SEGMENT = ((-1_000_000_000, 0, 2000, 5000, 1_000_000_000), ("settled", "small", "middle", "large"))
+TENURE = ((-1, 3, 6, 12, 24, None), ("0-3m", "4-6m", "7-12m", "13-24m", "25m+"))
+SEGMENT = ((None, 0, 2000, 5000, None), ("settled", "small", "middle", "large"))
 
 
 @query
@@ -437,13 +442,13 @@ def driver_agent_tenure(b: Book) -> DataFrame:
 
 @query
 def mix_decomposition(b: Book) -> DataFrame:
-    return drivers.mix_decomposition(b.payments(), account_attributes(b), "risk_segment", FROM_MONTH, TO_MONTH)
+    return drivers.mix_decomposition(b.payments(), account_bands(b), "risk_segment", FROM_MONTH, TO_MONTH)
 
 
 @query
 def simpson_check(b: Book) -> DataFrame:
     dims = ["loan_type", "risk_segment", "dpd_band"]
-    return drivers.simpson_check(b.payments(), account_attributes(b), dims, FROM_MONTH, TO_MONTH)
+    return drivers.simpson_check(b.payments(), account_bands(b), dims, FROM_MONTH, TO_MONTH)
 
 
 # Identity over time.

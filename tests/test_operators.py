@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from arrearlens.functions.calendar import clipped_micros, days_in_month, months_apart, on_days, to_local, to_utc
 from arrearlens.functions.codes import DISPOSITION_GROUPS, DPD_EDGES, DPD_LABELS
 from arrearlens.functions.conform import KINDS, map_codes
-from arrearlens.functions.ratio import band, change_pct, exact_mean, safe_div
+from arrearlens.functions.ratio import band, change_pct, stable_mean, safe_div
 from arrearlens.operators import quality
 from arrearlens.operators.attribution import (
     channel_conversion,
@@ -71,7 +71,7 @@ def test_ratios(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, 0.0), ("c", 5.0, None)], "m string, x double, y double")
     assert [r[0] for r in df.select(safe_div(F.col("x"), F.col("y"))).collect()] == [0.5, None, None]
     assert [r.p for r in change_pct(df, "x", "m", "p").collect()] == pytest.approx([None, 200.0, 200 / 3])
-    assert df.agg(exact_mean(F.col("x"))).first()[0] == 3.0
+    assert df.agg(stable_mean(F.col("x"))).first()[0] == 3.0
 
 
 def test_calendar(spark):
@@ -175,15 +175,16 @@ def test_identity_over_time(spark):
     )
     got = dicts(effective_dated(versions, "k", "at", ["phone"]), "valid_from")
     assert [(r["phone"], r["valid_from"], r["valid_to"]) for r in got] == [
-        ("p2", date(2026, 1, 1), date(2026, 1, 5)),
-        ("p3", date(2026, 1, 5), None),
+        ("p1", datetime(2026, 1, 1, 9), datetime(2026, 1, 1, 18)),
+        ("p2", datetime(2026, 1, 1, 18), datetime(2026, 1, 5)),
+        ("p3", datetime(2026, 1, 5), None),
     ]
     events = spark.createDataFrame(
-        [(1, "b", datetime(2025, 12, 31)), (2, "b", datetime(2026, 1, 1, 1)), (3, "b", datetime(2026, 1, 4)), (4, "b", datetime(2026, 1, 5)), (5, None, datetime(2026, 1, 5)), (6, "c", None)],
+        [(1, "b", datetime(2025, 12, 31)), (2, "b", datetime(2026, 1, 1, 1)), (3, "b", datetime(2026, 1, 4)), (4, "b", datetime(2026, 1, 5)), (5, None, datetime(2026, 1, 5)), (6, "c", None), (7, "b", datetime(2026, 1, 1, 9)), (8, "b", datetime(2026, 1, 1, 17)), (9, "b", datetime(2026, 1, 1, 19))],
         "id int, k string, t timestamp_ntz",
     )
     got = {r.id: r.phone for r in as_of(events, versions, "k", "t", "at", ["phone"]).collect()}
-    assert got == {1: None, 2: "p2", 3: "p2", 4: "p3", 5: None, 6: None}
+    assert got == {1: None, 2: None, 3: "p2", 4: "p3", 5: None, 6: None, 7: "p1", 8: "p1", 9: "p2"}
 
 
 def test_month_base(spark):

@@ -9,6 +9,7 @@ from arrearlens.streaming.payments import (
     daily_totals,
     ledger_sink,
     payment_stream,
+    rejected_payments,
 )
 
 HEADER = "payment_id,account_id,borrower_id,event_at,payment_reference,amount,payment_status,payment_method,provider_id"
@@ -55,6 +56,15 @@ def test_ledger_backfills_late_events(spark, tmp_path):
     assert {r.day: r.recovery for r in daily_totals(spark, root).collect()} == got
 
 
+def test_first_batch_without_usable_events(spark, tmp_path):
+    source, root = tmp_path / "in", str(tmp_path / "out")
+    drop_file(source, "1.csv", [("", "2026-01-01 10:00:00", 10, "SUCCESS"), ("p1", "never", 10, "SUCCESS")])
+    stream = payment_stream(spark, str(source))
+    run(stream.writeStream.foreachBatch(ledger_sink(root)).option("checkpointLocation", str(tmp_path / "state")))
+    assert daily_totals(spark, root).count() == 0 and current_ledger(spark, root).count() == 0
+    assert rejected_payments(spark, root).count() == 2
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
 def test_watermarked_daily_totals(spark, tmp_path, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
