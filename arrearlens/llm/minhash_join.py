@@ -7,11 +7,12 @@ at least `LEAST_MATCHES` pairs (all but about one in a hundred million times), s
 the `COORDINATES - LEAST_MATCHES + 1` rarest pairs of each: only this prefix is posted, and a pair
 that no other class has is skipped.
 
-In a posting every class is first compared with a few hubs of that posting, not with all others. Then,
-posting by posting, classes that are not yet in one component are counted against each other: all
-pairs of different components with enough matching coordinates and fitting set sizes. Every pair of
-classes that either step finds is confirmed on the full sets. So a group of thousands of copies costs
-a few comparisons a member, and no link between different components is left out.
+In a posting every class is first compared with a few hubs of that posting, not with all others: the
+class that shares most, and some by chance. Classes whose postings still hold several components are
+then joined among themselves on the rarest shingles of their full sets, under length and positional
+bounds. Every pair of classes that either step finds is confirmed on the full sets. So a group of
+thousands of copies costs a few comparisons a member, and no link between different components is
+left out.
 
 Defined results: texts without words have an empty set and are linked with nothing, as are rows without
 an id (whose component is null and which are kept). Repeated rows are one class. An empty table gives
@@ -74,36 +75,51 @@ def described(text: Column) -> Column:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """(cls, key) of the prefix: the rarest pairs of coordinate and value that another class has too."""
+    """(cls, key, weight) of the prefix: the rarest pairs of coordinate and value that another class has too.
+
+    A class's weight is how many classes hold its pairs, all added up: high in the middle of a group.
+    """
     every = classes.select("cls", F.posexplode("sig").alias("i", "v")).select("cls", (F.col("i") * F.lit(2**32) + F.col("v")).alias("key"))
     shared = every.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     own = Window.partitionBy("cls")
-    ranked = every.join(shared, "key").withColumn("nth", F.row_number().over(own.orderBy("n", "key"))).withColumn("held", F.count("*").over(own))
+    ranked = every.join(shared, "key").withColumns({"nth": F.row_number().over(own.orderBy("n", "key")), "held": F.count("*").over(own), "weight": F.sum("n").over(own)})
     # a class's pairs that nobody shares are its rarest: they fill the prefix first
-    return ranked.where(F.col("nth") + COORDINATES - F.col("held") <= COORDINATES - LEAST_MATCHES + 1).select("cls", "key")
+    return ranked.where(F.col("nth") + COORDINATES - F.col("held") <= COORDINATES - LEAST_MATCHES + 1).select("cls", "key", "weight")
 
 
 def _with_hubs(postings: DataFrame) -> DataFrame:
-    """Pairs of each class and the hubs of its postings."""
+    """Pairs of each class and the hubs of its postings: the class in the middle, and some by chance."""
     found = None
     for seed in range(HUBS):
-        order = F.xxhash64("cls", F.lit(seed))
+        order = F.xxhash64("cls", F.lit(seed)) if seed else -F.col("weight")
         hubs = postings.groupBy("key").agg(F.min(F.struct(order.alias("draw"), "cls")).alias("hub")).select("key", F.col("hub.cls").alias("hub"))
         part = postings.join(hubs, "key").where("cls <> hub").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
         found = part if found is None else found.unionAll(part)
     return found.distinct()
 
 
-def _across(postings: DataFrame, labels: DataFrame, classes: DataFrame, similar: int) -> DataFrame:
-    """Pairs of different components that meet in a posting and match in enough coordinates."""
-    labelled = postings.join(labels.select("cls", "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+    """Pairs of different components that may still be linked, from classes whose postings hold several.
+
+    These few classes are joined on the rarest of their shingles: shingles that no other of them has come
+    first and only use up the prefix, and what is left of a class bounds what it can share with another.
+    """
+    labelled = postings.select("cls", "key").join(labels.select("cls", "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = cut(labelled.join(mixed, "key", "left_semi").join(classes.select("cls", "n_shingles", "sig"), "cls"))
-    side = lambda s: open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("cls", "label", "n_shingles", "sig")])
-    sizes = F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * similar
-    matches = F.aggregate(F.zip_with("sig_a", "sig_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    meet = (F.col("label_a") < F.col("label_b")) & sizes & (matches >= LEAST_MATCHES)
-    pairs = side("a").join(side("b").withColumnRenamed("key", "key_b"), (F.col("key") == F.col("key_b")) & meet)
+    open_ = cut(labelled.join(mixed, "key", "left_semi").select("cls", "label").distinct())
+    every = sets.join(open_.select("cls"), "cls", "left_semi").select("cls", F.size("shingles").alias("n"), F.explode("shingles").alias("token"))
+    shared = every.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
+    own = Window.partitionBy("cls")
+    ranked = every.join(shared, "token").withColumns({"at": F.row_number().over(own.orderBy("held", "token")), "s": F.count("*").over(own)})
+    prefix = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
+    posts = cut(ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).select("cls", "n", "token", "at", "s").join(open_, "cls"))
+    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s")])
+    n, m, i, j, s, t = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b", "s_a", "s_b"))
+    wanted = F.ceil((n + m) * similar / (100 + similar))
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * similar
+    room = (F.least(s, t) >= wanted) & (F.least(i, j) + F.least(s - i, t - j) >= wanted)
+    meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room
+    pairs = side("a").join(side("b"), meet)
     return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
 
@@ -165,7 +181,7 @@ def near_duplicates(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_
     sets = cut(_sets(docs, held))
     links = cut(_confirmed(pairs, sets, similar))
     labels = components(links)
-    further = cut(_across(postings, labels, classes, similar).join(pairs, ["a", "b"], "left_anti"))
+    further = cut(_across(postings, labels, sets, similar).join(pairs, ["a", "b"], "left_anti"))
     more = cut(_confirmed(further, sets, similar))
     if not more.isEmpty():
         labels = components(links.unionAll(more))
