@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, recurrent_lm, repetition, reshard, toxicity
+from . import compression_language, decontaminate, line_dedup, minhash_join, oracle, pieces, prefix_counts, recurrent_lm, repetition, reshard, toxicity
 from .common import cut, ship, table
 
 
@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracle.oracle_sql()
