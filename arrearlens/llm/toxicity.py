@@ -10,8 +10,8 @@ A text is compared under both models by its length-normalised log-likelihood rat
 text, over its most toxic stretch of eight words, and over its most toxic word. A logistic curve,
 fitted on those same texts, turns the three into a score.
 
-The models are fitted on a bounded sample of labelled rows: `per_class` rows of each class in the
-order of a hash of their ids, copies counted once. All rows are scored over their whole text.
+The models are fitted on a bounded sample of labelled rows: of each class about `per_class` rows, by a
+hash of their ids, copies counted once. All rows are scored over their whole text.
 
 Defined results: null and empty texts score as an average ordinary text does. Without labels of both
 classes every score is the share of toxic labels (0 without labels). A document with several labels
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -83,14 +84,13 @@ class Ratios:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
-    """(text, toxic, calibrates) of a bounded number of labelled documents."""
+    """(text, toxic, calibrates) of a bounded number of labelled documents: a range of a hash of their ids."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    drawn = None
-    for toxic in (0, 1):
-        part = known.where(F.col("toxic") == toxic).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
-        drawn = part if drawn is None else drawn.unionAll(part)
-    drawn = drawn.select(F.col("doc_id").alias("_id"), "toxic")
-    rows = docs.join(F.broadcast(drawn), docs["doc_id"] == F.col("_id"))  # 2 * per_class ids at most
+    held = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    chosen = [(F.col("toxic") == c) & (draw < int(min(1.0, per_class / n) * (1 << 30))) for c, n in held.items()]
+    drawn = known.where(reduce(lambda a, b: a | b, chosen, F.lit(False))).select(F.col("doc_id").alias("_id"), "toxic")
+    rows = docs.join(F.broadcast(drawn), docs["doc_id"] == F.col("_id"))  # about 2 * per_class ids
     calibrates = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == CALIBRATION
     rows = rows.where(F.col("text").isNotNull()).select("text", "toxic", calibrates.alias("calibrates"))
     return rows.withColumn("copy", F.xxhash64("text")).dropDuplicates(["copy", "toxic", "calibrates"]).drop("copy")
