@@ -78,17 +78,22 @@ def event_count_band(df: DataFrame, edges: Sequence[int], labels: Sequence[str],
 
 
 def _stratum_periods(
-    payments: DataFrame, attributes: DataFrame, stratum: str, before: date, after: date
+    payments: DataFrame, attributes: DataFrame, dimensions: Sequence[str], before: date, after: date
 ) -> DataFrame:
-    """Per stratum: payers and recovery in the two months, as n0/n1 and v0/v1."""
+    """Per dimension and stratum: payers and recovery in the two months, as n0/n1 and v0/v1.
+
+    All dimensions share one pass over the payments; an account is a row in each of them.
+    """
     inside = within(payments, "event_at", (before, month_end(before)), (after, month_end(after)))
     paid = recovery_by_account(inside, by_month=True).join(
-        attributes.select("account_id", stratum), "account_id", "inner"
+        attributes.select("account_id", *dimensions), "account_id", "inner"
     )
+    of = [F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("stratum")) for d in dimensions]
     is0, is1 = F.col("month_start") == F.lit(before), F.col("month_start") == F.lit(after)
     return (
-        paid.where(F.col(stratum).isNotNull())
-        .groupBy(F.col(stratum).alias("stratum"))
+        paid.select("month_start", "recovery", F.inline(F.array(*of)))
+        .where(F.col("stratum").isNotNull())
+        .groupBy("dimension", "stratum")
         .agg(
             F.sum(count_if(is0)).alias("n0"),
             F.sum(count_if(is1)).alias("n1"),
@@ -100,7 +105,7 @@ def _stratum_periods(
 
 def _all_strata():
     """Totals over strata: the input is one row per stratum label."""
-    return Window.partitionBy(F.lit(1))
+    return Window.partitionBy("dimension")
 
 
 def mix_decomposition(
@@ -112,7 +117,7 @@ def mix_decomposition(
     payers and r its recovery per payer; the effects add up to the total change. A
     stratum without payers in a period has rate zero there.
     """
-    rows = _stratum_periods(payments, attributes, stratum, before, after)
+    rows = _stratum_periods(payments, attributes, [stratum], before, after)
     w0 = safe_div(F.col("n0"), F.sum("n0").over(_all_strata()))
     w1 = safe_div(F.col("n1"), F.sum("n1").over(_all_strata()))
     r0 = F.coalesce(safe_div(F.col("v0"), F.col("n0")), F.lit(0.0))
@@ -139,30 +144,22 @@ def simpson_check(
 
     Only strata with payers in both months have a direction.
     """
-    frames = []
-    for dim in strata:
-        rows = _stratum_periods(payments, attributes, dim, before, after).select(
-            F.signum(safe_div(F.col("v1"), F.col("n1")) - safe_div(F.col("v0"), F.col("n0"))).alias("sign"),
-            F.signum(
-                safe_div(F.sum("v1").over(_all_strata()), F.sum("n1").over(_all_strata()))
-                - safe_div(F.sum("v0").over(_all_strata()), F.sum("n0").over(_all_strata()))
-            ).alias("overall"),
-        )
-        frames.append(
-            rows.groupBy("overall")
-            .agg(
-                F.count("sign").alias("strata"),
-                F.sum(count_if(F.col("sign") * F.col("overall") < 0)).alias("opposing_strata"),
-            )
-            .select(
-                F.lit(dim).alias("dimension"),
-                F.col("overall").cast("int").alias("overall_direction"),
-                "strata",
-                "opposing_strata",
-                safe_div(F.col("opposing_strata"), F.col("strata")).alias("opposing_share"),
-            )
-        )
-    return stack(frames)
+    total = {c: F.sum(c).over(_all_strata()) for c in ("v0", "v1", "n0", "n1")}
+    rows = _stratum_periods(payments, attributes, strata, before, after).select(
+        "dimension",
+        F.signum(safe_div(F.col("v1"), F.col("n1")) - safe_div(F.col("v0"), F.col("n0"))).alias("sign"),
+        F.signum(safe_div(total["v1"], total["n1"]) - safe_div(total["v0"], total["n0"])).alias("overall"),
+    )
+    counted = rows.groupBy("dimension", "overall").agg(
+        F.count("sign").alias("strata"), F.sum(count_if(F.col("sign") * F.col("overall") < 0)).alias("opposing_strata")
+    )
+    return counted.select(
+        "dimension",
+        F.col("overall").cast("int").alias("overall_direction"),
+        "strata",
+        "opposing_strata",
+        safe_div(F.col("opposing_strata"), F.col("strata")).alias("opposing_share"),
+    )
 
 
 # Account age in months at the observed month, right-closed bands.
