@@ -39,6 +39,8 @@ COORDINATES, LEAST_MATCHES = 64, 36
 HUBS = 3
 #: Ids of this many classes (16 bytes each) may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
+#: Prefixes of so many shingles are carried whole in the last join.
+SHORT_PREFIX = 32
 _AT_ONCE = 2048
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -112,13 +114,21 @@ def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, similar: in
     own = Window.partitionBy("cls")
     ranked = every.join(shared, "token").withColumns({"at": F.row_number().over(own.orderBy("held", "token")), "s": F.count("*").over(own)})
     prefix = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
-    posts = cut(ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).select("cls", "n", "token", "at", "s").join(open_, "cls"))
-    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s")])
+    posted = ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).groupBy("cls", "n", "s").agg(F.collect_list(F.struct("token", "at")).alias("rows"))
+    # a short prefix travels along whole, so that its pairs are counted out and named once, at their least common token
+    whole = F.when(F.size("rows") <= SHORT_PREFIX, F.col("rows.token"))
+    posts = posted.join(open_, "cls").select("cls", "label", "n", "s", F.size("rows").alias("p"), whole.alias("whole"), F.inline("rows"))
+    posts = cut(posts)
+    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s", "p", "whole")])
     n, m, i, j, s, t = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b", "s_a", "s_b"))
     wanted = F.ceil((n + m) * similar / (100 + similar))
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * similar
     room = (F.least(s, t) >= wanted) & (F.least(i, j) + F.least(s - i, t - j) >= wanted)
-    meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room
+    common = F.array_intersect("whole_a", "whole_b")
+    # behind the shorter prefix there are at most as many shared shingles as one of both has left
+    enough = F.size(common) + F.greatest(s - F.col("p_a"), t - F.col("p_b")) >= wanted
+    once = common.isNull() | (enough & (F.array_min(common) == F.col("token_a")))
+    meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room & once
     pairs = side("a").join(side("b"), meet)
     return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
