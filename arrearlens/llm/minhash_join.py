@@ -3,9 +3,9 @@
 A text's set is its distinct runs of five words, hashed to 64 bits; fewer words make one run. Texts of
 equal sets form a class, and only classes go on. A class has a signature of `COORDINATES` minima, and
 is posted under each pair of a coordinate and its value. Two classes at the similarity threshold share
-at least `LEAST_MATCHES` pairs (all but about one in a hundred million times), so they share one among
-the `COORDINATES - LEAST_MATCHES + 1` rarest pairs of each: only this prefix is posted, and a pair
-that no other class has is skipped.
+at least `least_matches` pairs (all but about one in a hundred million times, at every threshold), so
+they share one among the `COORDINATES - least_matches + 1` rarest pairs of each: only this prefix is
+posted, and a pair that no other class has is skipped.
 
 In a posting every class is first compared with a few hubs of that posting, not with all others: the
 class that shares most, and some by chance. Classes whose postings still hold several components are
@@ -22,6 +22,7 @@ no rows. The component of a document is the smallest id it reaches.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +36,9 @@ from .common import cut, mix, ship, shingle_hashes, utf8, word_hashes
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
 PERCENT = 85
-COORDINATES, LEAST_MATCHES = 64, 36
+COORDINATES = 64
+#: Chance that a pair at the threshold has fewer matches than are asked for.
+MISSED = 1e-8
 HUBS = 3
 #: Ids of this many classes (16 bytes each) may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
@@ -47,6 +50,16 @@ _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E
 _A, _B = _SEEDS[:COORDINATES, None] | np.uint64(1), _SEEDS[COORDINATES:, None]
 
 
+def least_matches(similar: int) -> int:
+    """The coordinates in which two sets at the threshold agree, but for `MISSED` of them, by the binomial tail."""
+    p, tail, least = similar / 100, 0.0, 0
+    while least < COORDINATES and (tail := tail + math.comb(COORDINATES, least) * p**least * (1 - p) ** (COORDINATES - least)) <= MISSED:
+        least += 1
+    if not 0 < p <= 1 or not least:
+        raise ValueError(f"signatures of {COORDINATES} coordinates don't find pairs at a similarity of {similar} %")
+    return least
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """The sorted distinct hashes of a text's runs of words; A-Z count as a-z."""
     data = utf8(text).lower()
@@ -76,7 +89,7 @@ def described(text: Column) -> Column:
     return run(text)
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, least: int) -> DataFrame:
     """(cls, key, weight) of the prefix: the rarest pairs of coordinate and value that another class has too.
 
     A class's weight is how many classes hold its pairs, all added up: high in the middle of a group.
@@ -86,7 +99,7 @@ def _postings(classes: DataFrame) -> DataFrame:
     own = Window.partitionBy("cls")
     ranked = every.join(shared, "key").withColumns({"nth": F.row_number().over(own.orderBy("n", "key")), "held": F.count("*").over(own), "weight": F.sum("n").over(own)})
     # a class's pairs that nobody shares are its rarest: they fill the prefix first
-    return ranked.where(F.col("nth") + COORDINATES - F.col("held") <= COORDINATES - LEAST_MATCHES + 1).select("cls", "key", "weight")
+    return ranked.where(F.col("nth") + COORDINATES - F.col("held") <= COORDINATES - least + 1).select("cls", "key", "weight")
 
 
 def _with_hubs(postings: DataFrame) -> DataFrame:
@@ -180,12 +193,13 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text_key (a hash of the text), n_shingles, component (its key, null if empty), component_id, kept."""
+    least = least_matches(similar)
     ship(docs.sparkSession)
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), described(F.col("text")).alias("d")).select("doc_id", "text_key", "d.*"))
     matched = rows.where("n_shingles > 0 and doc_id is not null")
     classes = cut(matched.groupBy("cls").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m")).select("cls", F.col("m.doc_id").alias("rep"), "m.n_shingles", "m.sig"))
-    postings = cut(_postings(classes))
+    postings = cut(_postings(classes, least))
     pairs = cut(_with_hubs(postings))
     held = classes.select("cls", "rep").join(postings.select("cls").distinct(), "cls", "left_semi")
     sets = cut(_sets(docs, held))
