@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from arrearlens.llm import decontaminate, line_dedup, minhash_join, pieces, repetition
 from arrearlens.llm.common import checkpoint_dir, ship, table
 
+#: Documents are near copies from this percentage of their runs of words on (op5's own threshold is 85).
+SIMILAR = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with under 20 words or much repetition go."""
@@ -36,7 +39,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    return minhash_join.deduplicated(docs)
+    return minhash_join.deduplicated(docs, SIMILAR)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
