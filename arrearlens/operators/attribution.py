@@ -111,7 +111,10 @@ def channel_conversion(targeting: DataFrame, payments: DataFrame, days: int = 14
 
 def channel_yield(targeting: DataFrame, payments: DataFrame, accounts: DataFrame, days: int = 14) -> DataFrame:
     """Per channel: targeted accounts, cash within `days` after any of the channel's targets
-    (each payment once per channel), outstanding of those accounts, and their ratio."""
+    (each payment once per channel), outstanding of those accounts, and their ratio.
+
+    Targets without an account count neither as accounts nor as exposure.
+    """
     axis = _day_axis().rangeBetween(-days, 0)
     rows = _account_days(targeting, payments, ["recommended_channel"], "target_date", "event_at")
     # The set is bounded by the number of channels.

@@ -836,7 +836,7 @@ ORACLE |= {
         group by 1""",
     "channel_yield": f"""select channel, accounts, cast(coalesce(cash, 0) as double) as recovery, cast(exposure as double) as exposure,
         cast(coalesce(cash, 0) as double) / 10000000 as recovery_cr, {_div("coalesce(cash, 0)", "exposure")} as yield14
-        from (select recommended_channel as channel, count(*) as accounts, sum(outstanding_amount) as exposure
+        from (select recommended_channel as channel, count(account_id) as accounts, sum(outstanding_amount) as exposure
             from (select distinct account_id, recommended_channel from targets) left join one_accounts using (account_id) group by 1)
         left join (select channel, sum(amount) as cash from (select distinct p.payment_id, p.amount, t.recommended_channel as channel
             from paid p join targets t on t.account_id = p.account_id
