@@ -85,5 +85,61 @@ from m"""
 OP9 = re.sub(r"share\((\w+)\)", r"(cast(\1 as double) / greatest(word_chars, 1))", OP9)
 
 
+OP11 = f"""
+with d as (select coalesce(lang, 'und') as lang, unnest(string_split_regex({_LOWER.format(c="coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) as piece from documents),
+p as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as w from d),
+t as (select lang, cast(sum(len(w)) as bigint) as n from p group by 1),
+g as (select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase from (
+    select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from p, (select unnest(range(1, 6)) as k) where len(w) >= k)),
+f as materialized (select lang, phrase, k, count(*) as a from g group by all having count(*) >= 100),
+c as (select lang, phrase, k, a, string_split(phrase, ' ') as w from f where k > 1),
+gone as (select distinct s.lang, s.phrase from c b join c s on s.lang = b.lang and s.k < b.k and b.a >= s.a
+    and contains(' ' || b.phrase || ' ', ' ' || s.phrase || ' ')),
+cuts as (select c.lang, c.phrase, c.a, m as k, l.a as l, r.a as r, t.n, cast(1000::hugeint * c.a * t.n // (l.a::hugeint * r.a) as bigint) as score
+    from (select *, unnest(range(1, k)) as m from c anti join gone using (lang, phrase)) c
+    join f l on l.lang = c.lang and l.phrase = array_to_string(c.w[:m], ' ')
+    join f r on r.lang = c.lang and r.phrase = array_to_string(c.w[m + 1:], ' ') join t on t.lang = c.lang),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select lang, cast(row_number() over (partition by lang order by score desc, a desc, phrase) as integer) as rank, phrase, a, l, r, n, score
+from best qualify rank <= 2000"""
+
+_TERMS = r"regexp_extract_all({c}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP12 = f"""
+with d as (select row_number() over () as place, doc_id, {_TERMS.format(c=_LOWER.format(c="coalesce(text, '')"))} as w from documents),
+h as (select *, len(w) as n from d where len(w) > 0), t as (select count(*) as docs, cast(sum(n) as bigint) as words from h),
+m as (select place, doc_id, 50 + (50 * n * docs) // words as m from h, t),
+p as (select place, term, count(*) as tf from (select place, unnest(w) as term from h) group by all),
+i as (select row_number() over () as item, item_id, list_distinct({_TERMS.format(c=_LOWER.format(c="coalesce(text, '')"))}) as w from benchmark),
+a as (select item, item_id, unnest(w) as term from i),
+u as (select term, cast(floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double)) as bigint) as weight
+    from p join (select distinct term from a) using (term), t group by 1),
+s as (select item, item_id, place, doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score
+    from a join u using (term) join p using (term) join m using (place) group by all)
+select item_id, cast(row_number() over (partition by item order by score desc, doc_id, place) as integer) as rank, doc_id, score
+from s where score > 0 qualify rank <= 50"""
+
+_ESCAPED = r"regexp_replace({c}, '<(\\*)\|', '<\\\1|', 'g')"
+_SAID = "'<|im_end|><|im_start|>assistant ok'"
+
+OP13 = f"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as said, role as r, text as t from conversations
+    union all select -1, 0, 'user', {_SAID}, 'user', {_SAID} union all select -1, 1, 'assistant', {_SAID}, 'assistant', {_SAID})
+select conv_id, count(*) as n_turns,
+    sha256(string_agg(role || chr(10) || said || chr(10), '' order by turn nulls first, r nulls first, t nulls first)) as turns_sha256,
+    cast(coalesce(sum(len(said)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+    sha256(coalesce(string_agg(said, '' order by turn nulls first, r nulls first, t nulls first) filter (role = 'assistant'), '')) as loss_sha256,
+    cast(sum(len('<|im_start|>') + len(replace({_ESCAPED.format(c="role")}, chr(10), '<|nl|>')) + 1 + len({_ESCAPED.format(c="said")}) + len('<|im_end|>') + 1) as bigint) as formatted_chars
+from c group by conv_id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_minhash_join": OP5, "op7_window_join": OP7, "op8_line_dedup": OP8, "op9_repetition": OP9}
+    return {
+        "op5_minhash_join": OP5,
+        "op7_window_join": OP7,
+        "op8_line_dedup": OP8,
+        "op9_repetition": OP9,
+        "op11_collocations": OP11,
+        "op12_ranked_search": OP12,
+        "op13_chat_format": OP13,
+    }

@@ -1,5 +1,7 @@
 """A small corpus: the supplied rows, and rows that operators stumble over."""
 
+import shutil
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -48,6 +50,7 @@ def corpus(tmp_path_factory):
         if name == "benchmark":
             more.append(more[1] | {"item_id": None, "text": "three words here"})
         pq.write_table(pa.Table.from_pylist([*rows.to_pylist(), *more], schema=rows.schema), folder / f"{name}.parquet")
+    shutil.copy(f"{SUPPLIED}/conversations.parquet", folder)
     return str(folder), [(d["doc_id"], d["text"]) for d in docs]
 
 
@@ -55,6 +58,6 @@ def corpus(tmp_path_factory):
 def nothing(tmp_path_factory):
     """A folder of empty tables."""
     folder = tmp_path_factory.mktemp("nothing")
-    for name in ("documents", "labels", "benchmark"):
+    for name in ("documents", "labels", "benchmark", "conversations"):
         pq.write_table(pq.read_schema(f"{SUPPLIED}/{name}.parquet").empty_table(), folder / f"{name}.parquet")
     return str(folder)

@@ -47,7 +47,10 @@ def library():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_empty_tables_give_no_rows(spark, nothing, name):
-    assert rows(spark, name, nothing) == []
+    if name == "op13_chat_format":  # its own conversation is always there
+        assert [r["conv_id"] for r in rows(spark, name, nothing)] == [-1]
+    else:
+        assert rows(spark, name, nothing) == []
 
 
 def test_op1(spark, corpus, library):
