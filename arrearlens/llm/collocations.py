@@ -6,8 +6,8 @@ floor(1000 * a * n / (l * r)), l and r the counts of the two parts. As r >= a, n
 counts of single words bound whole branches, and the rarest words head the frontier.
 
 Words below `least` can't belong to a phrase. The others form bands by count, rarest first. A round takes in
-the next band: it grows phrases that begin or end in the words taken in so far, pairs first, then longer ones
-along pairs frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
+the next band: it grows phrases that begin or end in the words taken in so far. A first scan counts their pairs
+by hashes alone, a second one counts phrases word by word along pairs frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
 is exact; all others lie under the bound of the next band. A language is settled once `keep` surviving scores
 lie above that bound (equal ones don't count, so ties stay whole) or no band is left; settled languages leave
 the frontier, and the rounds end when all have.
@@ -24,7 +24,6 @@ Other columns are left out. Memory follows the longest text.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,25 +39,25 @@ from .sketch import BITS, field, held, key_hash, remainder
 
 LONGEST = 5
 #: Share of the frequent words' occurrences that the bands up to each one hold.
-BANDS = (1 / 64, 1 / 4, 1.0)
+BANDS = (1 / 16, 1.0)
 #: Cells of the field of words, four bits each: one for each band.
 CELLS = 1 << 24
 #: Words that are counted at a time; entries of a task's memory of words.
-AT_ONCE, REMEMBERED = 1 << 21, 1 << 20
+AT_ONCE, REMEMBERED = 1 << 22, 1 << 20
 #: Slices of a language in the first selection.
 SLICES = 32
 
-# A-Z become a-z, ends of pieces a line break, tabs a space; all else belongs to words.
-_FOLD = bytes(b + 32 if 65 <= b <= 90 else 10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b for b in range(256))
-_TOKEN = re.compile(rb"[^ \n]+|\n")
+# A-Z become a-z, ends of pieces a byte that UTF-8 does not have; words stand between spaces and tabs.
+BREAK = b"\xff"
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else BREAK[0] if b in b".,;:!?\n\x0b\x0c\r" else b for b in range(256))
 _MIX = np.uint64(0x9FB21C651E98DF25)
 
 
 def tokens(text: str | None) -> Iterator[list[bytes]]:
-    """Words, and a line break between pieces, in lists that follow one another."""
-    data = utf8(text).translate(_FOLD)
+    """Words, and a break between pieces, in lists that follow one another."""
+    data = utf8(text).translate(_FOLD).replace(BREAK, b" \xff ")
     for part in _blocks(data) if len(data) > _BLOCK else (data,):
-        yield _TOKEN.findall(part)
+        yield part.split()
 
 
 def _texts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
@@ -74,7 +73,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def out(counts: dict[str, Counter]) -> pa.RecordBatch:
         langs, words, numbers = [], [], []
         for lang, of in counts.items():
-            of.pop(b"\n", None)
+            of.pop(BREAK, None)
             langs += [lang] * (len(of) + 1)
             words += [None, *[w.decode("utf-8", "replace") for w in of]]
             numbers += [sum(of.values()), *of.values()]
@@ -118,8 +117,8 @@ class Codes(dict):
         super().__init__()
         self.seed = key_hash(lang.encode("utf-8", "replace"))
         self.cells = cells
-        self.words, self.bands, self.hashes = [b"\n"], [len(BANDS)], [0]
-        self[b"\n"] = 0
+        self.words, self.bands, self.hashes = [BREAK], [len(BANDS)], [0]
+        self[BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh64_intdigest(word, self.seed)
@@ -153,24 +152,33 @@ class Growth:
     def __init__(self, codes: Codes, row: np.ndarray, round_: int):
         self.codes, self.round = codes, round_
         self.row = np.concatenate(([0], row, [0]))  # a break at both ends
-        self.band = np.array(codes.bands)[self.row]
-        self.hashes = np.array(codes.hashes, np.uint64)[self.row]
+        self.band = np.array(codes.bands, np.int8)[self.row]
+        self.hash_of = np.array(codes.hashes, np.uint64)
 
     def pairs(self) -> np.ndarray:
         """Places of two words that may stand together in a phrase."""
         return np.flatnonzero((self.row[:-1] > 0) & (self.row[1:] > 0))
 
     def pair_hash(self, at: np.ndarray) -> np.ndarray:
-        return mix(self.hashes[at] * _MIX + self.hashes[at + 1])
+        return mix(self.hash_of[self.row[at]] * _MIX + self.hash_of[self.row[at + 1]])
 
     def due(self, at: np.ndarray, size: int) -> np.ndarray:
         """Phrases whose rarer end was taken in this round; the others were counted before or come later."""
-        return at[np.minimum(self.band[at], self.band[at + size - 1]) == self.round]
+        return np.minimum(self.band[at], self.band[at + size - 1]) == self.round
+
+    def hashed_pairs(self) -> pa.RecordBatch:
+        """(hash, n) of the round's pairs."""
+        at = self.pairs()
+        at = at[self.due(at, 2)]
+        key, n = np.unique(self.row[at] * len(self.codes.words) + self.row[at + 1], return_counts=True)
+        first, second = np.divmod(key, len(self.codes.words))
+        hashed = mix(self.hash_of[first] * _MIX + self.hash_of[second])
+        return pa.RecordBatch.from_arrays([pa.array(hashed.view(np.int64)), pa.array(n.astype(np.int64))], ["hash", "n"])
 
     def counted(self, lang: str, key: np.ndarray, at: np.ndarray, size: int) -> pa.RecordBatch:
         order, begin = _together(key)
         at = at[order]
-        left, right = self.hashes[at - 1].view(np.int64), self.hashes[at + size].view(np.int64)
+        left, right = (self.hash_of[self.row[x]].view(np.int64) for x in (at - 1, at + size))
         first = at[begin]
         words = self.codes.words
         phrases = [b" ".join([words[c] for c in self.row[f : f + size]]).decode("utf-8", "replace") for f in first]
@@ -179,29 +187,26 @@ class Growth:
         columns = [[lang] * len(first), phrases, np.full(len(first), size, np.int32), reach, np.diff(np.append(begin, len(at))), *ends]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PHRASE.types, strict=True)], schema=_PHRASE)
 
-    def two(self, lang: str) -> Iterator[pa.RecordBatch]:
-        at = self.due(self.pairs(), 2)
-        yield self.counted(lang, self.row[at] * len(self.codes.words) + self.row[at + 1], at, 2)
-
-    def more(self, lang: str, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """Phrases of three words and more, grown from their beginnings word by word."""
+    def phrases(self, lang: str, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The round's phrases, grown from their beginnings word by word along frequent pairs."""
         at = self.pairs()
         known = np.minimum(self.band[at], self.band[at + 1]) <= self.round
         alive = np.zeros(len(self.row), bool)
         alive[at] = ~known | held(frequent, self.pair_hash(at) % np.uint64(BITS))
         at = np.flatnonzero(alive)
         key = self.row[at] * len(self.codes.words) + self.row[at + 1]
-        for size in range(3, LONGEST + 1):
-            goes_on = alive[at + size - 2]
-            at, key = at[goes_on], key[goes_on]
-            prefix = np.unique(key, return_inverse=True)[1]
-            key = prefix * len(self.codes.words) + self.row[at + size - 1]
-            due = np.minimum(self.band[at], self.band[at + size - 1]) == self.round
+        for size in range(2, LONGEST + 1):
+            if size > 2:
+                goes_on = alive[at + size - 2]
+                at, key = at[goes_on], key[goes_on]
+                prefix = np.unique(key, return_inverse=True)[1]
+                key = prefix * len(self.codes.words) + self.row[at + size - 1]
+            due = self.due(at, size)
             yield self.counted(lang, key[due], at[due], size)
 
 
-def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, frequent: Broadcast | None, least: int) -> DataFrame:
-    """The round's phrases with a >= `least`: pairs, or with the field of frequent pairs those of more words."""
+def _grown(texts: DataFrame, round_: int, cells: Broadcast, schema: str, of_growth) -> DataFrame:
+    """What `of_growth(growth, lang)` yields for stretches of text, each of one language and of about AT_ONCE words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, Codes] = {}
@@ -210,8 +215,7 @@ def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, frequent: Bro
 
         def grown() -> Iterator[pa.RecordBatch]:
             for lang, parts in rows.items():
-                growth = Growth(known[lang], np.concatenate(parts), round_)
-                yield from growth.two(lang) if frequent is None else growth.more(lang, frequent.value)
+                yield from of_growth(Growth(known[lang], np.concatenate(parts), round_), lang)
             rows.clear()
             if sum(map(len, known.values())) > REMEMBERED:
                 known.clear()
@@ -230,21 +234,20 @@ def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, frequent: Bro
                     n = 0
         yield from grown()
 
-    counted = texts.mapInArrow(run, PHRASE).groupBy("lang", "phrase", "size", "reach")
-    sides = [f(c).alias(c) for s in ("left", "right") for f, c in ((F.min, f"{s}_low"), (F.max, f"{s}_high"))]
-    return counted.agg(F.sum("a").alias("a"), *sides).where(F.col("a") >= least)
+    return texts.mapInArrow(run, schema)
 
 
-def _pair_places(pairs: DataFrame) -> DataFrame:
-    """Places of frequent pairs in their field."""
+def frequent_pairs(texts: DataFrame, round_: int, cells: Broadcast, least: int) -> DataFrame:
+    """(hash) of the round's pairs with a count of `least` or more; pairs of equal hash count together."""
+    hashed = _grown(texts, round_, cells, "hash long, n long", lambda growth, lang: [growth.hashed_pairs()])
+    return hashed.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("hash")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = [[key_hash(lang.encode("utf-8", "replace"), w.encode("utf-8", "replace")) for w in phrase.split(" ")] for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True)]
-            h = np.array(h, np.uint64).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array((mix(h[:, 0] * _MIX + h[:, 1]) % np.uint64(BITS)).astype(np.int64))], ["at"])
 
-    return pairs.select("lang", "phrase").mapInArrow(run, "at long")
+def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, frequent: Broadcast, least: int) -> DataFrame:
+    """The round's phrases with a >= `least`."""
+    found = _grown(texts, round_, cells, PHRASE, lambda growth, lang: growth.phrases(lang, frequent.value))
+    sides = [f(c).alias(c) for s in ("left", "right") for f, c in ((F.min, f"{s}_low"), (F.max, f"{s}_high"))]
+    return found.groupBy("lang", "phrase", "size", "reach").agg(F.sum("a").alias("a"), *sides).where(F.col("a") >= least)
 
 
 # -- scores -------------------------------------------------------------------------------------------
@@ -290,10 +293,9 @@ def collocations(docs: DataFrame, least: int = 100, keep: int = 2000, lang_col:
     for k in range(len(BANDS)):
         place = remainder(F.xxhash64("lang", "word"), CELLS) * 4 + F.col("band")
         cells = field(open_words, place, 4 * CELLS)
-        new = cut(phrase_counts(texts, k, cells, None, least))
-        pairs = new if pairs is None else pairs.unionByName(new)
-        longer = cut(phrase_counts(texts, k, cells, field(_pair_places(pairs), F.col("at")), least))
-        new = new.unionByName(longer)
+        hashes = cut(frequent_pairs(texts, k, cells, least))
+        pairs = hashes if pairs is None else pairs.unionByName(hashes)
+        new = cut(phrase_counts(texts, k, cells, field(pairs, remainder(F.col("hash"), BITS)), least))
         phrases = new if phrases is None else phrases.unionByName(new)
         counts = counts.unionByName(new.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")))
         more = cut(survivors(phrases.where(F.col("reach") == k), counts, totals))
