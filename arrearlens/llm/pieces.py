@@ -6,8 +6,9 @@ two new neighbour pairs on the agenda. What is no piece in the end falls back to
 
 No piece has a word boundary behind another character, and many characters are neighbours in no piece.
 Joins can't span such places, so the agenda runs on the stretches between them, and stretches seen
-before come from a bounded memory. Each batch's new stretches are also encoded by the
-sentencepiece library; a stretch on which it differs takes the library's ids and is counted.
+before come from a bounded memory, with their ids, these in decimals, and the bytes they stand for. Each new
+stretch is also encoded by the sentencepiece library, and stretches on which it differs are counted; the ids
+stay the agenda's.
 
 Defined results: a null or empty text has no ids and decodes to the empty text. Repeated rows give
 repeated results. Any length works; memory follows the longest text.
@@ -29,8 +30,9 @@ from pyspark.sql import functions as F
 from .common import id_and_text, ship
 
 BOUNDARY = "▁"
-#: Stretches remembered by each Python worker (about 250 bytes each); the memory starts anew when full.
-REMEMBERED = 400_000
+#: Stretches, and parts of stretches, remembered by each Python worker (about 500 bytes each); a memory starts
+#: anew when full.
+REMEMBERED = 250_000
 
 
 class PieceCodec:
@@ -64,8 +66,11 @@ class PieceCodec:
         alone = "".join(c for c in "\n\t" if not any(c in p for p in self.ids))
         apart = f"|[{re.escape(alone)}]" if alone else ""
         self.stretches = re.compile(f"{BOUNDARY}+[^{BOUNDARY}{re.escape(alone)}]*|[^{BOUNDARY}{re.escape(alone)}]+{apart}").findall
-        self.seen: dict[str, tuple[int, ...]] = {}
-        self.corrected = 0
+        self.decimals = [str(i) for i in range(len(self.bytes))]
+        self.parts: dict[str, tuple[int, ...]] = {}
+        #: Ids of a stretch, the same as text, and its bytes.
+        self.seen: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        self.differing = 0
 
     def escaped(self, text: str | None) -> str:
         return self.prefix + text.replace(" ", BOUNDARY) if text else ""
@@ -86,13 +91,15 @@ class PieceCodec:
         yield stretch[start:]
 
     def ids_of(self, stretch: str) -> tuple[int, ...]:
-        seen, ids = self.seen, ()
+        ids: list[int] = []
         for part in self.apart(stretch):
-            known = seen.get(part)
+            known = self.parts.get(part)
             if known is None:
-                known = seen[part] = tuple(i for s in self.merged(part) for i in self.fallback(s))
+                if len(self.parts) > REMEMBERED:
+                    self.parts.clear()
+                known = self.parts[part] = tuple(i for s in self.merged(part) for i in self.fallback(s))
             ids += known
-        return ids
+        return tuple(ids)
 
     def merged(self, stretch: str) -> list[str]:
         """Final symbols of a stretch by the score-ordered agenda."""
@@ -122,20 +129,22 @@ class PieceCodec:
                     heapq.heappush(agenda, (-s, near, left, wider))
         return [s for s in symbols if s]
 
-    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
-        """Ids of whole texts, without begin and end; what the batch has new is checked by the library."""
+    def encoded(self, texts: Iterable[str | None]) -> list[list[tuple[tuple[int, ...], str, bytes]]]:
+        """The stretches of whole texts as (ids, decimals, bytes); the library checks what the batch has new."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
-        seen, fresh, cuts = self.seen, [], [self.stretches(self.escaped(t)) for t in texts]
-        for stretch in {s for c in cuts for s in c if s not in seen}:
-            seen[stretch] = self.ids_of(stretch)
-            fresh.append(stretch)
-        self.corrected = 0
+        seen, cuts = self.seen, [self.stretches(self.escaped(t)) for t in texts]
+        fresh = list({s for c in cuts for s in c if s not in seen})
+        self.differing = 0
         for stretch, want in zip(fresh, self.library_ids(fresh), strict=True):
-            if seen[stretch] != want:
-                seen[stretch] = want
-                self.corrected += 1
-        return [[i for s in c for i in seen[s]] for c in cuts]
+            ids = self.ids_of(stretch)
+            self.differing += ids != want
+            seen[stretch] = ids, ",".join([self.decimals[i] for i in ids]), b"".join([self.bytes[i] for i in ids])
+        return [[seen[s] for s in c] for c in cuts]
+
+    def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
+        """Ids of whole texts, without begin and end."""
+        return [[i for ids, _, _ in found for i in ids] for found in self.encoded(texts)]
 
     def library_ids(self, stretches: list[str]) -> list[tuple[int, ...]]:
         """The library's ids of stretches, encoded as lines of one text."""
@@ -156,7 +165,11 @@ class PieceCodec:
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
         table = self.bytes
-        text = b"".join([table[i] for i in ids]).decode("utf-8", "replace")
+        return self.text_of(b"".join([table[i] for i in ids]))
+
+    def text_of(self, data: bytes) -> str:
+        """The text of ids' bytes, without the blank that encoding put before it."""
+        text = data.decode("utf-8", "replace")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
@@ -166,23 +179,22 @@ def codec(path: str) -> PieceCodec:
 
 
 def coded(text_col: F.Column, model_path: str) -> F.Column:
-    """A struct of a text's ids, the text they decode to, and digests of both."""
+    """A struct of a text's number of ids, digests of the ids and of the text they decode to, and differences."""
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, decoded string, n_corrected long")
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string, n_differing long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         c = codec(model_path)
-        digits = [str(i) for i in range(len(c.bytes))]
         for texts in batches:
             rows = []
-            for start in range(0, len(texts), 64):
-                part = texts.iloc[start : start + 64]
-                part = [t if isinstance(t, str) else None for t in part]
-                many, corrected = c.encode_batch(part), c.corrected
-                for ids in many:
-                    decoded = c.decode(ids)
-                    rows.append((len(ids), hashlib.sha256(",".join([digits[i] for i in ids]).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), decoded, corrected))
-                    corrected = 0
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "decoded", "n_corrected"])
+            for start in range(0, len(texts), 256):
+                part = [t if isinstance(t, str) else None for t in texts.iloc[start : start + 256]]
+                many, differing = c.encoded(part), c.differing
+                for found in many:
+                    ids, decimals, data = zip(*found, strict=True) if found else ((), (), ())
+                    decoded = c.text_of(b"".join(data))
+                    rows.append((sum(map(len, ids)), hashlib.sha256(",".join(decimals).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), differing))
+                    differing = 0
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "n_differing"])
 
     return run(text_col)
 
@@ -215,7 +227,7 @@ def piece_texts(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_co
 
 
 def round_trip(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, n_corrected (stretches on which the library differed)."""
+    """Per row: doc_id, n_tokens, ids_sha256, decoded_sha256, n_differing (new stretches on which the library differed)."""
     ship(docs.sparkSession)
     rows = id_and_text(docs, id_col, text_col).select("doc_id", coded(F.col("text"), model_path).alias("c"))
-    return rows.select("doc_id", "c.n_tokens", "c.ids_sha256", "c.decoded_sha256", "c.n_corrected")
+    return rows.select("doc_id", "c.n_tokens", "c.ids_sha256", "c.decoded_sha256", "c.n_differing")
