@@ -12,7 +12,7 @@ for which the rule above doesn't hold: short runs are counted by the agenda, and
 the left of a long run adds one.
 
 Defined results: a null or empty text has 0 bytes, 0 tokens and no prefix. Repeated rows give repeated
-results. Any length works; memory follows the longest text.
+results. Any length works, in time and memory that follow the longest text.
 """
 
 from __future__ import annotations
@@ -29,6 +29,10 @@ from .common import id_and_text, ship
 from .pieces import BOUNDARY, REMEMBERED, PieceCodec, codec
 
 
+#: Characters of a stretch whose counts are remembered.
+SHORT = 256
+
+
 class PrefixCounter:
     """Exact token counts of all prefixes of texts."""
 
@@ -66,9 +70,11 @@ class PrefixCounter:
         """Token counts of the prefixes of one stretch, the shortest first."""
         known = self.seen.get(stretch)
         if known is None:
-            if len(self.seen) > REMEMBERED:
-                self.seen.clear()
-            known = self.seen[stretch] = self.counted(stretch)
+            known = self.counted(stretch)
+            if len(stretch) <= SHORT:
+                if len(self.seen) > REMEMBERED:
+                    self.seen.clear()
+                self.seen[stretch] = known
         return known
 
     def counted(self, stretch: str) -> tuple[int, ...]:
@@ -79,14 +85,17 @@ class PrefixCounter:
         for part in self.pieces.apart(stretch):
             known = self.seen.get(part)
             if known is None:
-                known = self.seen[part] = self.pass_over(part)
+                known = self.pass_over(part)[0]
+                if len(part) <= SHORT:
+                    self.seen[part] = known
             base = counts[-1] if counts else 0
             counts += [base + n for n in known]
         return tuple(counts)
 
-    def pass_over(self, part: str) -> tuple[int, ...]:
-        """The dynamic program: for each prefix its last token and its count."""
-        counts, lasts, backwards, fits = [0], [""], self.backwards, self.fits
+    def pass_over(self, part: str) -> tuple[tuple[int, ...], list[bool]]:
+        """The dynamic program: for each prefix its last token and its count, and whether the part's first
+        character is a token of its own there."""
+        counts, lasts, alone, backwards, fits = [0], [""], [False], self.backwards, self.fits
         for at in range(1, len(part) + 1):
             node, start, ending = backwards, at, []
             while start and (node := node.get(part[start - 1])) is not None:
@@ -100,30 +109,27 @@ class PrefixCounter:
                 if fit:
                     counts.append(counts[start] + 1)
                     lasts.append(piece)
+                    alone.append(alone[start] if start else at == 1)
                     break
             else:  # a character that is no piece stands for its bytes
                 counts.append(counts[-1] + self.weight(part[at - 1]))
                 lasts.append(part[at - 1])
-        return tuple(counts[1:])
+                alone.append(alone[at - 1] if at > 1 else True)
+        return tuple(counts[1:]), alone[1:]
 
     def behind_run(self, stretch: str, lead: int) -> tuple[int, ...]:
         """Behind a run of boundaries: its last one starts the word where it joins it, else it stays in the run."""
         of_run = [self.run(n) for n in range(lead + 1)]
         word = stretch[lead:]
-        joined = self.inside(BOUNDARY + word) if word else ()
         counts = of_run[1:]
-        for n in range(1, len(word) + 1):
-            part = BOUNDARY + word[:n]
-            if self.first(part) == BOUNDARY:
-                counts.append(of_run[lead] + joined[n] - 1)
-            else:
-                counts.append(of_run[lead - 1] + joined[n])
+        if word:
+            joined = self.inside(BOUNDARY + word)
+            # Only the first part reaches back to the boundary; behind it nothing changes any more.
+            alone = self.pass_over(next(self.pieces.apart(BOUNDARY + word)))[1]
+            for n in range(1, len(word) + 1):
+                counts.append(of_run[lead] + joined[n] - 1 if alone[min(n, len(alone) - 1)] else of_run[lead - 1] + joined[n])
         return tuple(counts)
 
-    @lru_cache(maxsize=100_000)  # noqa: B019 - one counter lives as long as its worker
-    def first(self, part: str) -> str:
-        return self.pieces.merged(part)[0]
-
     def stretches(self, text: str | None) -> list[str]:
         return self.pieces.stretches(self.pieces.escaped(text))
 
