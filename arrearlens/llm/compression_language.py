@@ -4,8 +4,9 @@ For each language a zstandard raw-content dictionary is filled with text of that
 lower case and without digits and signs, is compressed with each of them, block by block to its end; the dictionary that makes it smallest names
 its language. Where the runner-up is nearly as good, the answer is marked as rejected.
 
-The dictionaries are fitted on a bounded sample: of each language whole texts in the order of a hash
-of their ids, up to `dictionary_bytes`. Everything else covers all rows.
+The dictionaries are fitted on a bounded sample: of each language different texts in the order of a hash
+of the text, from each at most `SAMPLE_CHARS` characters, up to `dictionary_bytes`. Every language that has a
+text with a letter gets one. Everything else covers all rows.
 
 Defined results: null texts and texts without a letter are `und` with score 0, as are all texts where
 nothing was learned. Ties between languages go to the first by name. Repeated rows give repeated
@@ -24,8 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import ship, utf8
 
-#: Sample bounds: bytes of dictionary for each language, bytes of one sampled text, and languages at most.
-DICTIONARY_BYTES, SAMPLE_TEXT_BYTES, MOST_LANGUAGES = 48 * 1024, 16 * 1024, 512
+#: Sample bounds: bytes of dictionary for each language, characters taken from one text.
+DICTIONARY_BYTES, SAMPLE_CHARS = 48 * 1024, 4096
+#: Steps of the hash by which texts are drawn: the first 2**-k of all texts, for k from this down to 0.
+DEEPEST = 40
 #: Texts are compressed in blocks of so many bytes, so that a dictionary helps to the very end.
 BLOCK_BYTES = 4096
 LEVEL = 12
@@ -44,29 +47,43 @@ def letters(text: str) -> bytes:
 
 
 def fit(known: DataFrame, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Dictionaries by language from (doc_id, text, lang).
+    """Dictionaries by language from (doc_id, text, lang), with one pass that counts and one that draws.
 
-    Every language gets texts of middling length in hash order; a draw of ids alone is made first, so
-    that no more than the sample itself reaches the driver. Exact copies count once.
+    Texts are drawn by a hash of the text, so copies are drawn together and count once. For each language a
+    count of letters by the depth of the hash says how deep the draw must go to fill the dictionary; a
+    few times more is drawn than needed, the rest is cut off here. Languages are listed before any draw, and a
+    language with few or only long texts is drawn whole.
     """
-    rows = known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (F.octet_length("text") <= SAMPLE_TEXT_BYTES))
-    texts = dictionary_bytes // 256
-    ranked = rows.select("lang", "text", F.xxhash64(F.col("text")).alias("draw"))
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
-    total = {r.lang: r["count"] for r in rows.groupBy("lang").count().collect() if r.lang in langs}
-    out: dict[str, bytes] = {}
-    for lang in sorted(langs):
-        # a hash range that holds about the texts wanted, so that only these are sorted
-        share = min(1.0, 4 * texts / max(total[lang], 1))
-        low = int(-(2**63) + share * (2**64 - 1))
-        drawn = ranked.where((F.col("lang") == lang) & (F.col("draw") <= min(low, 2**63 - 1)))
-        content, seen = b"", set()
-        for r in drawn.orderBy("draw").limit(texts).select("text").toLocalIterator():
-            if r.text not in seen and len(content) < dictionary_bytes:
-                seen.add(r.text)
-                content += letters(r.text) + b"\n"
-        out[lang] = content[:dictionary_bytes]
-    return out
+    draw = F.xxhash64("text")
+    taken = F.substring("text", 1, SAMPLE_CHARS)
+    rows = known.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", draw.alias("draw"), F.octet_length(taken).alias("bytes"))
+    # Depth k: the hash lies in the first 2**-k of its range.
+    depth = F.least(F.length(F.regexp_extract(F.lpad(F.bin("draw"), 64, "0"), "^0*", 0)), F.lit(DEEPEST))
+    rows = rows.withColumn("depth", depth)
+    # Copies share a draw: each counts once. Two numbers for each language and depth reach the driver.
+    once = rows.groupBy("lang", "draw").agg(F.max("bytes").alias("bytes"), F.max("depth").alias("depth"))
+    held: dict[str, dict[int, int]] = {}
+    for r in once.groupBy("lang", "depth").agg(F.sum("bytes").alias("bytes")).collect():
+        held.setdefault(r.lang, {})[r.depth] = r.bytes
+    if not held:
+        return {}
+    need = {}
+    for lang, of in held.items():
+        so_far = 0
+        for k in range(DEEPEST, -1, -1):
+            so_far += of.get(k, 0)
+            need[lang] = k
+            if so_far >= 2 * dictionary_bytes:
+                break
+    spark = known.sparkSession
+    depths = spark.createDataFrame(sorted(need.items()), "of string, least int")
+    drawn = rows.join(F.broadcast(depths), F.col("lang") == F.col("of")).where(F.col("depth") >= F.col("least"))
+    drawn = drawn.groupBy("lang", "draw").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    out = dict.fromkeys(sorted(need), b"")
+    for r in drawn.orderBy("lang", F.desc(F.length(F.regexp_extract(F.lpad(F.bin("draw"), 64, "0"), "^0*", 0))), "draw").toLocalIterator():
+        if len(out[r.lang]) < dictionary_bytes:
+            out[r.lang] += letters(r.text) + b"\n"
+    return {lang: content[:dictionary_bytes] for lang, content in out.items()}
 
 
 def compressors(dictionaries: dict[str, bytes], level: int = LEVEL) -> dict:
