@@ -31,6 +31,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names made from `names` that the frame does not have."""
+    held = {c.lower() for c in df.columns}
+    return [next(x for k in range(len(held) + 1) if (x := f"{n}{k or ''}").lower() not in held) for n in names]
+
+
 def ship(spark: SparkSession) -> None:
     """Let executors import this package where it is not on their PYTHONPATH already."""
     if str(_ROOT) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
