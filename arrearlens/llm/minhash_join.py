@@ -10,9 +10,11 @@ posted, and a pair that no other class has is skipped.
 In a posting every class is first compared with a few hubs of that posting, not with all others: the
 class that shares most, and some by chance. Classes whose postings still hold several components are
 then joined among themselves on the rarest shingles of their full sets, under length and positional
-bounds. Every pair of classes that either step finds is confirmed on the full sets. So a group of
-thousands of copies costs a few comparisons a member, and no link between different components is
-left out.
+bounds; a few bits of every coordinate travel along, and pairs that differ in too many coordinates don't
+leave the join. Of every pair of classes that either step finds the collisions are counted, coordinate by
+coordinate; pairs with fewer than `least_matches` go, and the others are confirmed on the full sets. So a
+group of thousands of copies costs a few comparisons a member, and no link between different components
+is left out.
 
 Defined results: texts without words have an empty set and are linked with nothing, as are rows without
 an id (whose component is null and which are kept). Repeated rows are one class. An empty table gives
@@ -24,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, mix, ship, shingle_hashes, utf8, word_hashes
+from .common import cut, mix, ship, shingle_hashes, unused, utf8, word_hashes
 
 SHINGLE = 5
 #: Links: 100 * intersection >= PERCENT * union.
@@ -44,6 +47,8 @@ HUBS = 3
 BROADCAST_IDS = 500_000
 #: Prefixes of so many shingles are carried whole in the last join.
 SHORT_PREFIX = 32
+#: Bits of each coordinate that travel along there.
+BITS = 4
 _AT_ONCE = 2048
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -77,14 +82,21 @@ def signature(found: np.ndarray) -> np.ndarray:
     return least.astype(np.uint32).view(np.int32)
 
 
+def leading_bits(sig: np.ndarray) -> np.ndarray:
+    """BITS numbers, the b-th of the b-th bit of every coordinate."""
+    bits = (sig.view(np.uint32)[None, :] >> np.arange(BITS, dtype=np.uint32)[:, None]) & np.uint32(1)
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.int64)[:, 0]
+
+
 def described(text: Column) -> Column:
-    """A struct of a text's set size, class and signature."""
+    """A struct of a text's set size, class, signature and the signature's leading bits."""
 
-    @F.pandas_udf("n_shingles long, cls binary, sig array<int>")
+    @F.pandas_udf("n_shingles long, cls binary, sig array<int>, bits array<long>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             sets = [shingle_set(t if isinstance(t, str) else None) for t in texts]
-            yield pd.DataFrame({"n_shingles": [len(s) for s in sets], "cls": [class_of(s) for s in sets], "sig": [signature(s) for s in sets]})
+            sigs = [signature(s) for s in sets]
+            yield pd.DataFrame({"n_shingles": [len(s) for s in sets], "cls": [class_of(s) for s in sets], "sig": sigs, "bits": [leading_bits(s) for s in sigs]})
 
     return run(text)
 
@@ -113,7 +125,15 @@ def _with_hubs(postings: DataFrame) -> DataFrame:
     return found.distinct()
 
 
-def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, similar: int) -> DataFrame:
+def _colliding(pairs: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """The pairs whose signatures agree in `least` coordinates or more."""
+    of = lambda s: classes.select(F.col("cls").alias(s), F.col("sig").alias(f"sig_{s}"))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    matches = F.size(F.filter(F.zip_with("sig_a", "sig_b", lambda x, y: x == y), lambda same: same))
+    return both.where(matches >= least).select("a", "b")
+
+
+def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, classes: DataFrame, similar: int, least: int) -> DataFrame:
     """Pairs of different components that may still be linked, from classes whose postings hold several.
 
     These few classes are joined on the rarest of their shingles: shingles that no other of them has come
@@ -130,9 +150,13 @@ def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, similar: in
     posted = ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).groupBy("cls", "n", "s").agg(F.collect_list(F.struct("token", "at")).alias("rows"))
     # a short prefix travels along whole, so that its pairs are counted out and named once, at their least common token
     whole = F.when(F.size("rows") <= SHORT_PREFIX, F.col("rows.token"))
-    posts = posted.join(open_, "cls").select("cls", "label", "n", "s", F.size("rows").alias("p"), whole.alias("whole"), F.inline("rows"))
-    posts = cut(posts)
-    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s", "p", "whole")])
+    bits = [f"bits{k}" for k in range(BITS)]
+    posts = posted.join(open_, "cls").join(classes.select("cls", *[F.get("bits", F.lit(k)).alias(b) for k, b in enumerate(bits)]), "cls")
+    posts = cut(posts.select("cls", "label", "n", "s", *bits, F.size("rows").alias("p"), whole.alias("whole"), F.inline("rows")))
+    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s", "p", "whole", *bits)])
+    # coordinates that agree have all their bits in common
+    differing = reduce(lambda x, y: x.bitwiseOR(y), [F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b")) for b in bits])
+    collide = F.bit_count(differing) <= COORDINATES - least
     n, m, i, j, s, t = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b", "s_a", "s_b"))
     wanted = F.ceil((n + m) * similar / (100 + similar))
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * similar
@@ -141,7 +165,7 @@ def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, similar: in
     # behind the shorter prefix there are at most as many shared shingles as one of both has left
     enough = F.size(common) + F.greatest(s - F.col("p_a"), t - F.col("p_b")) >= wanted
     once = common.isNull() | (enough & (F.array_min(common) == F.col("token_a")))
-    meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room & once
+    meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room & collide & once
     pairs = side("a").join(side("b"), meet)
     return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
@@ -198,15 +222,15 @@ def near_duplicates(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_
     docs = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = cut(docs.select("doc_id", F.xxhash64("text").alias("text_key"), described(F.col("text")).alias("d")).select("doc_id", "text_key", "d.*"))
     matched = rows.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(matched.groupBy("cls").agg(F.min(F.struct("doc_id", "n_shingles", "sig")).alias("m")).select("cls", F.col("m.doc_id").alias("rep"), "m.n_shingles", "m.sig"))
+    classes = cut(matched.groupBy("cls").agg(F.min(F.struct("doc_id", "n_shingles", "sig", "bits")).alias("m")).select("cls", F.col("m.doc_id").alias("rep"), "m.n_shingles", "m.sig", "m.bits"))
     postings = cut(_postings(classes, least))
     pairs = cut(_with_hubs(postings))
     held = classes.select("cls", "rep").join(postings.select("cls").distinct(), "cls", "left_semi")
     sets = cut(_sets(docs, held))
-    links = cut(_confirmed(pairs, sets, similar))
+    links = cut(_confirmed(_colliding(pairs, classes, least), sets, similar))
     labels = components(links)
-    further = cut(_across(postings, labels, sets, similar).join(pairs, ["a", "b"], "left_anti"))
-    more = cut(_confirmed(further, sets, similar))
+    further = _across(postings, labels, sets, classes, similar, least).join(pairs, ["a", "b"], "left_anti")
+    more = cut(_confirmed(cut(_colliding(further, classes, least)), sets, similar))
     if not more.isEmpty():
         labels = components(links.unionAll(more))
     named = classes.select("cls", "rep").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
@@ -231,10 +255,11 @@ def deduplicated(docs: DataFrame, similar: int = PERCENT, id_col: str = "doc_id"
     gone = cut(found.where("not kept").select("doc_id", "text_key").unionAll(spare.select("doc_id", "text_key")).distinct())
     repeated = cut(kept.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key"))
     marks = gone.withColumn("gone", F.lit(True)).unionAll(repeated.withColumn("gone", F.lit(False)))
-    marks = marks.select(F.col("doc_id").alias("_of_id"), F.col("text_key").alias("_of_key"), F.col("gone").alias("_gone"))
+    of_id, of_key, dropped = unused(docs, "_of_id", "_of_key", "_gone")
+    marks = marks.select(F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key), F.col("gone").alias(dropped))
     if gone.count() + repeated.count() <= BROADCAST_IDS:
         marks = F.broadcast(marks)
     key = F.xxhash64(F.col(f"`{text_col}`").cast("string"))
-    marked = docs.join(marks, (docs[id_col] == F.col("_of_id")) & (key == F.col("_of_key")), "left").where("_gone is null or not _gone")
-    once = marked.where("not _gone").dropDuplicates(["_of_id", "_of_key"])
-    return marked.where("_gone is null").unionAll(once).drop("_of_id", "_of_key", "_gone")
+    marked = docs.join(marks, (docs[id_col] == F.col(of_id)) & (key == F.col(of_key)), "left").where(F.col(dropped).isNull() | ~F.col(dropped))
+    once = marked.where(~F.col(dropped)).dropDuplicates([of_id, of_key])
+    return marked.where(F.col(dropped).isNull()).unionAll(once).drop(of_id, of_key, dropped)
