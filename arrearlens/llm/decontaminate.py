@@ -27,7 +27,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, id_and_text, ship, utf8
+from .common import cut, id_and_text, ship, unused, utf8
 
 WINDOW = 13
 #: Bytes of item texts that one index may hold.
@@ -209,8 +209,9 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, into: str, text_col: str =
         if out is None:
             out = docs.withColumn(into, found(text))
         else:
-            more = cut(out).withColumn("_more", found(text))
-            out = more.withColumn(into, _merged()(F.col(f"`{into}`.n_words"), F.col(f"`{into}`"), F.col("_more"))).drop("_more")
+            (spare,) = unused(out, "_more")
+            more = cut(out).withColumn(spare, found(text))
+            out = more.withColumn(into, _merged()(F.col(f"`{into}`.n_words"), F.col(f"`{into}`"), F.col(spare))).drop(spare)
     return out
 
 

@@ -176,7 +176,8 @@ def rewrite(spark: SparkSession, root: str, target: str, shards: int, id_col: st
         for c in matched[1:]:
             condition = condition & c
         written = left.join(right, condition).select(*[left[c] for c in docs.columns if c != "shard"], right["_new"].alias("shard"))
-        written.repartition("shard").write.partitionBy("shard").parquet(f"{target}/data")
+        # a large shard is written by as many tasks as its size asks for
+        written.hint("rebalance", "shard").write.partitionBy("shard").parquet(f"{target}/data")
     rows = [(s, f"{target}/data/shard={s}" if s in affected else f"{root}/shard={s}") for s in sorted(held)]
     manifest = spark.createDataFrame(rows, "shard int, folder string")
     manifest.write.parquet(f"{target}/manifest")

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 
 SUPPLIED = "/root/testdata/sf0.001"
-CLASHING = ("cls", "token", "lid", "shard", "size", "found", "word", "row", "score", "kept", "n")
+CLASHING = ("_left", "_drops", "_drop_id", "_more", "_gone", "_of_id", "_of_key", "_kept", "_kept_removed", "_found", "cls", "token", "lid", "shard", "size", "found", "word", "row", "score", "kept", "n")
 
 
 def edge_rows(texts):

@@ -58,8 +58,8 @@ def test_op1(spark, corpus, library):
     want = []
     for i, text in docs:
         ids = library.encode(text or "")
-        want.append({"doc_id": i, "n_tokens": len(ids), "ids_sha256": sha(",".join(map(str, ids))), "decoded_sha256": sha(library.decode(ids)), "n_corrected": 0})
-    same(rows(spark, "op1_pieces", folder), want, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_corrected"])
+        want.append({"doc_id": i, "n_tokens": len(ids), "ids_sha256": sha(",".join(map(str, ids))), "decoded_sha256": sha(library.decode(ids)), "n_differing": 0})
+    same(rows(spark, "op1_pieces", folder), want, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_differing"])
 
 
 def test_op2(spark, corpus):
@@ -250,7 +250,7 @@ def test_pipeline(spark, corpus, library):
     left = [d for d in docs if quality(d[1])["kept"]]
     lines = kept_lines(left)
     left = [(i, t) for (i, _), (_, k, t) in zip(left, lines, strict=True) if not (k and not WORD.search(t))]
-    of = jaccard_classes({i: shingles(t) for i, t in left if i is not None}, 85)
+    of = jaccard_classes({i: shingles(t) for i, t in left if i is not None}, corpus_pipeline.SIMILAR)
     once = {(i, t) if i is not None else (k, i, t): (i, t) for k, (i, t) in enumerate(left)}
     left = [(i, t) for i, t in once.values() if i is None or of[i] == i]
     clean = {r["doc_id"] for r in rows_of(spark, folder, left) if not r["contaminated"]}
