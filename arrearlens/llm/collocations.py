@@ -7,15 +7,16 @@ counts of single words bound whole branches, and the rarest words head the front
 
 Words below `least` can't belong to a phrase. The others form bands by count, rarest first. A round takes in
 the next band: it grows phrases that begin or end in the words taken in so far. A first scan counts their pairs
-by hashes alone, a second one counts phrases word by word along pairs frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
+by hashes alone, a second one adds up triples along frequent pairs in a field of counters, and a third one counts
+phrases word by word along pairs and triples that may be frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
 is exact; all others lie under the bound of the next band. A language is settled once `keep` surviving scores
 lie above that bound (equal ones don't count, so ties stay whole) or no band is left; settled languages leave
 the frontier, and the rounds end when all have.
 
 A phrase that a longer one covers at the same count has the same neighbour on one side at every occurrence, so
 each count carries the least and greatest 64-bit hash of the words to the left and to the right. Counting is by
-the phrase itself, not by hashes; bands and frequent pairs reach the tasks as bit fields of fixed size (see
-`sketch`), which can let too much pass but lose nothing. Tasks count in parts of bounded size before the shuffle.
+the phrase itself, not by hashes; bands, frequent pairs and triples reach the tasks as bit fields of fixed size
+(see `sketch`), which can let too much pass but lose nothing. Tasks count in parts of bounded size before the shuffle.
 
 Defined results: null and empty texts hold no words; a null language is `und`. Repeated rows count each time.
 Ties go by score, a, then the phrase's bytes. Empty tables, and languages without candidates, give no rows.
@@ -38,8 +39,11 @@ from .common import _BLOCK, _blocks, cut, mix, ship, utf8
 from .sketch import BITS, field, held, key_hash, remainder
 
 LONGEST = 5
-#: Share of the frequent words' occurrences that the bands up to each one hold.
-BANDS = (1 / 16, 1.0)
+#: The first band holds about so many words, the second up to this share of the frequent words' occurrences, the
+#: third the rest.
+FIRST_WORDS, SECOND_SHARE, N_BANDS = 1 << 16, 1 / 16, 3
+#: Counters of triples, and how many travel in one row.
+BUCKETS, CHUNK = 1 << 22, 4096
 #: Cells of the field of words, four bits each: one for each band.
 CELLS = 1 << 24
 #: Words that are counted at a time; entries of a task's memory of words.
@@ -97,14 +101,12 @@ def banded(words: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((lang, word, f, band), (lang, band, lowest count)): bands of words by powers of two of their counts."""
     level = F.length(F.bin("f"))
     # at most 64 rows for each language
-    steps = words.groupBy("lang", level.alias("level")).agg(F.sum("f").alias("mass"), F.min("f").alias("lowest"))
+    steps = words.groupBy("lang", level.alias("level")).agg(F.sum("f").alias("mass"), F.count(F.lit(1)).alias("words"), F.min("f").alias("lowest"))
     upwards = Window.partitionBy("lang").orderBy("level")
-    so_far, total = F.sum("mass").over(upwards), F.sum("mass").over(Window.partitionBy("lang"))
-    band = F.lit(len(BANDS) - 1)
-    for k in reversed(range(len(BANDS) - 1)):
-        band = F.when(so_far <= F.lit(BANDS[k]) * total, k).otherwise(band)
-    first = F.row_number().over(upwards) == 1
-    steps = cut(steps.select("lang", "level", "lowest", F.when(first, 0).otherwise(band).alias("band")))
+    total = F.sum("mass").over(Window.partitionBy("lang"))
+    first = (F.row_number().over(upwards) == 1) | (F.sum("words").over(upwards) <= FIRST_WORDS)
+    band = F.when(first, 0).when(F.sum("mass").over(upwards) <= F.lit(SECOND_SHARE) * total, 1).otherwise(2)
+    steps = cut(steps.select("lang", "level", "lowest", band.alias("band")))
     return words.join(steps.select("lang", "level", "band").withColumnRenamed("level", "of"), (F.col("of") == level) & (words["lang"] == steps["lang"])).select(
         words["lang"], "word", "f", "band"
     ), steps.groupBy("lang", "band").agg(F.min("lowest").alias("lowest"))
@@ -117,7 +119,7 @@ class Codes(dict):
         super().__init__()
         self.seed = key_hash(lang.encode("utf-8", "replace"))
         self.cells = cells
-        self.words, self.bands, self.hashes = [BREAK], [len(BANDS)], [0]
+        self.words, self.bands, self.hashes = [BREAK], [N_BANDS], [0]
         self[BREAK] = 0
 
     def __missing__(self, word: bytes) -> int:
@@ -149,8 +151,8 @@ def _together(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Growth:
     """Grows the phrases of one language's stretch of text in a round."""
 
-    def __init__(self, codes: Codes, row: np.ndarray, round_: int):
-        self.codes, self.round = codes, round_
+    def __init__(self, codes: Codes, row: np.ndarray, round_: int, buckets: int):
+        self.codes, self.round, self.n_buckets = codes, round_, buckets
         self.row = np.concatenate(([0], row, [0]))  # a break at both ends
         self.band = np.array(codes.bands, np.int8)[self.row]
         self.hash_of = np.array(codes.hashes, np.uint64)
@@ -187,17 +189,37 @@ class Growth:
         columns = [[lang] * len(first), phrases, np.full(len(first), size, np.int32), reach, np.diff(np.append(begin, len(at))), *ends]
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _PHRASE.types, strict=True)], schema=_PHRASE)
 
-    def phrases(self, lang: str, frequent: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """The round's phrases, grown from their beginnings word by word along frequent pairs."""
+    def alive_pairs(self, pairs: np.ndarray) -> np.ndarray:
+        """For each place whether a pair begins there that may be frequent enough."""
         at = self.pairs()
         known = np.minimum(self.band[at], self.band[at + 1]) <= self.round
         alive = np.zeros(len(self.row), bool)
-        alive[at] = ~known | held(frequent, self.pair_hash(at) % np.uint64(BITS))
+        alive[at] = ~known | held(pairs, self.pair_hash(at) % np.uint64(BITS))
+        return alive
+
+    def triples(self, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of triples along such pairs, and their buckets."""
+        at = np.flatnonzero(alive[:-1] & alive[1:])
+        hashed = mix(self.pair_hash(at) * _MIX + self.hash_of[self.row[at + 2]])
+        return at, (hashed % np.uint64(self.n_buckets)).astype(np.int64)
+
+    def buckets(self, pairs: np.ndarray) -> np.ndarray:
+        """Buckets of the round's triples."""
+        at, bucket = self.triples(self.alive_pairs(pairs))
+        return bucket[self.due(at, 3)]
+
+    def phrases(self, lang: str, pairs: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The round's phrases, grown from their beginnings word by word along frequent pairs and triples."""
+        alive = self.alive_pairs(pairs)
+        three, bucket = self.triples(alive)
+        known = np.minimum(self.band[three], self.band[three + 2]) <= self.round
+        alive_three = np.zeros(len(self.row), bool)
+        alive_three[three] = ~known | held(triples, bucket)
         at = np.flatnonzero(alive)
         key = self.row[at] * len(self.codes.words) + self.row[at + 1]
         for size in range(2, LONGEST + 1):
             if size > 2:
-                goes_on = alive[at + size - 2]
+                goes_on = alive_three[at + size - 3]
                 at, key = at[goes_on], key[goes_on]
                 prefix = np.unique(key, return_inverse=True)[1]
                 key = prefix * len(self.codes.words) + self.row[at + size - 1]
@@ -205,17 +227,20 @@ class Growth:
             yield self.counted(lang, key[due], at[due], size)
 
 
-def _grown(texts: DataFrame, round_: int, cells: Broadcast, schema: str, of_growth) -> DataFrame:
-    """What `of_growth(growth, lang)` yields for stretches of text, each of one language and of about AT_ONCE words."""
+def _grown(texts: DataFrame, round_: int, cells: Broadcast, schema: str, worker) -> DataFrame:
+    """What a task's worker yields for stretches of text, each of one language and of about AT_ONCE words.
+
+    `worker()` makes a pair of functions for a task: one of (growth, lang), and one for its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_growth, at_end = worker()
         known: dict[str, Codes] = {}
         rows: dict[str, list[np.ndarray]] = {}
         n = 0
 
         def grown() -> Iterator[pa.RecordBatch]:
             for lang, parts in rows.items():
-                yield from of_growth(Growth(known[lang], np.concatenate(parts), round_), lang)
+                yield from of_growth(Growth(known[lang], np.concatenate(parts), round_, BUCKETS), lang)
             rows.clear()
             if sum(map(len, known.values())) > REMEMBERED:
                 known.clear()
@@ -233,19 +258,58 @@ def _grown(texts: DataFrame, round_: int, cells: Broadcast, schema: str, of_grow
                     yield from grown()
                     n = 0
         yield from grown()
+        yield from at_end()
 
     return texts.mapInArrow(run, schema)
 
 
 def frequent_pairs(texts: DataFrame, round_: int, cells: Broadcast, least: int) -> DataFrame:
     """(hash) of the round's pairs with a count of `least` or more; pairs of equal hash count together."""
-    hashed = _grown(texts, round_, cells, "hash long, n long", lambda growth, lang: [growth.hashed_pairs()])
+    hashed = _grown(texts, round_, cells, "hash long, n long", lambda: (lambda growth, lang: [growth.hashed_pairs()], list))
     return hashed.groupBy("hash").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("hash")
 
 
-def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, frequent: Broadcast, least: int) -> DataFrame:
+def frequent_buckets(texts: DataFrame, round_: int, cells: Broadcast, pairs: Broadcast, least: int) -> DataFrame:
+    """(at) of the buckets to which the round's triples come `least` times or more.
+
+    A task counts up to `least` in each bucket and sends chunks of counters; chunks are added up as they come
+    in, so that memory stays with the chunks of a task whatever the number of tasks.
+    """
+    kind = np.uint8 if least <= 255 else np.uint32
+
+    def worker():
+        counts = np.zeros(BUCKETS, np.uint32)
+
+        def add(growth: Growth, lang: str) -> list:
+            bucket = growth.buckets(pairs.value)
+            if len(bucket):
+                np.minimum(counts + np.bincount(bucket, minlength=BUCKETS), least, out=counts, casting="unsafe")
+            return []
+
+        def send() -> Iterator[pa.RecordBatch]:
+            parts = counts.astype(kind).reshape(-1, CHUNK)
+            used = np.flatnonzero(parts.any(axis=1))
+            for some in np.array_split(used, max(1, len(used) // 256)):
+                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["chunk", "counts"])
+
+        return add, send
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts").to_pylist(), strict=True):
+                held_ = sums.setdefault(chunk, np.zeros(CHUNK, np.int64))
+                held_ += np.frombuffer(counts, kind)
+        for chunk, counts in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(counts >= least) + chunk * CHUNK, pa.int64())], ["at"])
+
+    chunks = _grown(texts, round_, cells, "chunk int, counts binary", worker)
+    return chunks.repartition("chunk").mapInArrow(total, "at long")
+
+
+def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, pairs: Broadcast, triples: Broadcast, least: int) -> DataFrame:
     """The round's phrases with a >= `least`."""
-    found = _grown(texts, round_, cells, PHRASE, lambda growth, lang: growth.phrases(lang, frequent.value))
+    found = _grown(texts, round_, cells, PHRASE, lambda: (lambda growth, lang: growth.phrases(lang, pairs.value, triples.value), list))
     sides = [f(c).alias(c) for s in ("left", "right") for f, c in ((F.min, f"{s}_low"), (F.max, f"{s}_high"))]
     return found.groupBy("lang", "phrase", "size", "reach").agg(F.sum("a").alias("a"), *sides).where(F.col("a") >= least)
 
@@ -289,18 +353,21 @@ def collocations(docs: DataFrame, least: int = 100, keep: int = 2000, lang_col:
     frequent = open_words = cut(frequent)
     lowest = cut(lowest)
     counts = frequent.select("lang", F.col("word").alias("part"), "f")
-    phrases = pairs = found = None
-    for k in range(len(BANDS)):
+    phrases = pairs = triples = found = None
+    for k in range(N_BANDS):
         place = remainder(F.xxhash64("lang", "word"), CELLS) * 4 + F.col("band")
         cells = field(open_words, place, 4 * CELLS)
         hashes = cut(frequent_pairs(texts, k, cells, least))
         pairs = hashes if pairs is None else pairs.unionByName(hashes)
-        new = cut(phrase_counts(texts, k, cells, field(pairs, remainder(F.col("hash"), BITS)), least))
+        pair_field = field(pairs, remainder(F.col("hash"), BITS))
+        buckets = cut(frequent_buckets(texts, k, cells, pair_field, least))
+        triples = buckets if triples is None else triples.unionByName(buckets)
+        new = cut(phrase_counts(texts, k, cells, pair_field, field(triples, F.col("at"), BUCKETS), least))
         phrases = new if phrases is None else phrases.unionByName(new)
         counts = counts.unionByName(new.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")))
         more = cut(survivors(phrases.where(F.col("reach") == k), counts, totals))
         found = more if found is None else found.unionByName(more)
-        if k + 1 == len(BANDS):
+        if k + 1 == N_BANDS:
             break
         ahead = lowest.where(F.col("band") > k).groupBy("lang").agg(F.min("lowest").alias("lowest")).join(totals, "lang")
         bound = ahead.select("lang", F.expr("cast(1000 as decimal(38,0)) * n div lowest").alias("bound"))

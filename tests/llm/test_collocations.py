@@ -69,6 +69,14 @@ def test_against_all_phrases(spark, texts, least, keep):
     assert same(spark, texts, least, keep)
 
 
+@pytest.mark.parametrize("keep", [2000, 12])
+def test_bands_and_buckets_of_any_size(spark, texts, monkeypatch, keep):
+    monkeypatch.setattr(co, "FIRST_WORDS", 1)
+    monkeypatch.setattr(co, "AT_ONCE", 500)
+    monkeypatch.setattr(co, "BUCKETS", co.CHUNK)
+    assert same(spark, texts, 6, keep)
+
+
 def test_made_rows(spark):
     docs = [(None, "Ab cd, ab cd; AB CD. ab\tcd ab")] * 3 + [("x", "a a a a a a a\x0ba a a"), ("x", None), (None, ""), ("x", "ä Ä ä Ä\x85 q")] * 2
     docs += [("y", "new york city is big"), ("y", "new york city is old")] * 4 + [("y", "york new is " * 3)]
@@ -76,7 +84,8 @@ def test_made_rows(spark):
         same(spark, docs, least, keep)
 
 
-def test_ties_stay_whole_where_rounds_end(spark):
+def test_ties_stay_whole_where_rounds_end(spark, monkeypatch):
+    monkeypatch.setattr(co, "FIRST_WORDS", 1)
     docs = [("t", " ".join(f"p{i} q{i}." for i in range(30)))] * 3 + [("t", "the of the of and the of ")] * 40 + [("t", "and zu")] * 9
     for keep in (1, 7, 29, 30, 31, 32):
         same(spark, docs, 3, keep)
@@ -84,11 +93,12 @@ def test_ties_stay_whole_where_rounds_end(spark):
 
 def test_rounds_stop_when_settled(spark, monkeypatch):
     seen = []
+    monkeypatch.setattr(co, "FIRST_WORDS", 1)
     real = co.phrase_counts
     monkeypatch.setattr(co, "phrase_counts", lambda texts, k, *rest: seen.append(k) or real(texts, k, *rest))
     docs = [("t", " ".join(f"p{i} q{i}." for i in range(30)))] * 3 + [("t", "the of the of and the of " * 50)] * 4
     same(spark, docs, 3, 10)
-    assert max(seen) < len(co.BANDS) - 1
+    assert max(seen) < co.N_BANDS - 1
 
 
 def test_query(spark, corpus, texts):
