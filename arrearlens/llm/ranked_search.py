@@ -104,8 +104,8 @@ _BLOCK = pa.schema([("block", pa.int64()), ("term", pa.binary()), ("n_docs", pa.
 class Block:
     """Documents gathered until the block is full."""
 
-    def __init__(self, known: QueryWords):
-        self.known = known
+    def __init__(self, known: QueryWords, most_docs: int, most_words: int):
+        self.known, self.most_docs, self.most_words = known, most_docs, most_words
         self.ids: list[int | None] = []
         self.lengths: list[int] = []
         self.codes: list[np.ndarray] = []
@@ -119,7 +119,7 @@ class Block:
         self.n_words += len(words)
 
     def full(self) -> bool:
-        return len(self.ids) >= BLOCK_DOCS or self.n_words >= BLOCK_WORDS
+        return len(self.ids) >= self.most_docs or self.n_words >= self.most_words
 
     def rows(self, block: int) -> pa.RecordBatch:
         n = len(self.ids)
@@ -140,7 +140,7 @@ def posted(docs: DataFrame, words: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = QueryWords(words.value)
-        block, n = Block(known), TaskContext.get().partitionId() << 32
+        block, n = Block(known, BLOCK_DOCS, BLOCK_WORDS), TaskContext.get().partitionId() << 32
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 found = words_of(text.as_py())
@@ -150,7 +150,7 @@ def posted(docs: DataFrame, words: Broadcast) -> DataFrame:
                 if block.full():
                     yield block.rows(n)
                     known.forget()
-                    block, n = Block(known), n + 1
+                    block, n = Block(known, BLOCK_DOCS, BLOCK_WORDS), n + 1
         if block.ids:
             yield block.rows(n)
 
