@@ -6,8 +6,6 @@ session time zone. A "UTC" column holds the UTC wall-clock reading.
 
 from __future__ import annotations
 
-import functools
-import zoneinfo
 from datetime import date, timedelta
 
 from pyspark.sql import Column
@@ -69,23 +67,17 @@ def clipped_micros(start: Column, end: Column) -> Column:
     return F.when(micros.isNotNull(), F.greatest(micros, F.lit(0)))
 
 
-# Entries of the zone database that name no zone.
-_NO_ZONES = ("Factory", "localtime", "posixrules")
-# Fixed value: offsets, bare or behind UTC, GMT or UT.
-_OFFSET = "^(UTC|GMT|UT)?[+-](0?[0-9]|1[0-7])(:[0-5][0-9])?$"
+def known_zone(zone: str) -> Column:
+    """Whether the engine's own parser of time stamps knows the zone: a name, an abbreviation or an offset.
 
-
-@functools.cache
-def _known_zones() -> str:
-    names = {z for z in zoneinfo.available_timezones() if z not in _NO_ZONES and z.split("/")[0] not in ("posix", "right")}
-    if not names:
-        raise RuntimeError("this Python has no zone database; install tzdata")
-    return ", ".join(f"'{z}'" for z in sorted(names | {"UTC", "GMT", "Z"}))
+    It is the parser that conversions use, so a label that passes can't fail them.
+    """
+    return F.expr(f"coalesce(try_cast(concat('2000-01-01 00:00:00 ', {zone}) as timestamp) is not null and trim({zone}) <> '', false)")
 
 
 def zone_or_default(zone: str, default: str = DEFAULT_ZONE) -> Column:
-    """Zone column by name or offset; a missing or unknown zone falls back (Spark raises on an unknown one)."""
-    return F.expr(f"case when {zone} in ({_known_zones()}) or {zone} rlike '{_OFFSET}' then {zone} else '{default}' end")
+    """Zone column; a missing or unknown zone falls back (a conversion fails on an unknown one)."""
+    return F.when(known_zone(zone), F.col(zone)).otherwise(default)
 
 
 def to_utc(local: str, zone: str, default: str = DEFAULT_ZONE) -> Column:

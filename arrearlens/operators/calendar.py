@@ -22,6 +22,14 @@ def month_spine(spark: SparkSession, start: date, end: date) -> DataFrame:
     return spark.range(1).select(F.explode(month_range(start, end)).alias("month_start"))
 
 
+def account_months_array(start: date, end: date, opened: str = "opened_at") -> Column:
+    """Months from the later of the account's opening month and `start` up to `end`; null if there are none."""
+    first = F.greatest(month_of(F.col(opened)), F.lit(start))
+    return F.when(
+        month_of(F.col(opened)) <= F.lit(end), F.sequence(first, F.lit(end), F.expr("interval 1 month"))
+    )
+
+
 def account_month_base(accounts: DataFrame, start: date, end: date, opened: str = "opened_at") -> DataFrame:
     """One row per account and month from the later of its opening month and `start`.
 
@@ -29,11 +37,7 @@ def account_month_base(accounts: DataFrame, start: date, end: date, opened: str
     accounts and months to filter afterwards. Accounts without an opening date, or
     opened after `end`, are not in the population.
     """
-    first = F.greatest(month_of(F.col(opened)), F.lit(start))
-    months = F.when(
-        month_of(F.col(opened)) <= F.lit(end), F.sequence(first, F.lit(end), F.expr("interval 1 month"))
-    )
-    return accounts.select("*", F.explode(months).alias("month_start"))
+    return accounts.select("*", F.explode(account_months_array(start, end, opened)).alias("month_start"))
 
 
 def month_column(at: str) -> str:

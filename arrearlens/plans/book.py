@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.attribution import first_targets
-from ..operators.calendar import month_column
+from ..operators.calendar import month_column, within
+from ..operators.candidates import may_be_among
 from ..operators.quality import count_conflicts, quarantine_orphans
 from ..functions.calendar import month_of
 from ..functions.codes import SUCCESS
-from ..sources.layers import create_namespaces, list_table, new_version, read_layer, shared_root, switch_version, write_layer
+from ..sources.layers import create_namespaces, current_version, list_stored, list_table, new_version, read_layer, shared_root, stored_tables, switch_version, write_layer
 from ..sources.raw import RawReader
 from . import cleaning, features, gold, metrics
 from .staging import stage
@@ -66,6 +68,9 @@ class Book:
         stored = self._stored.get((layer, name))
         return stored() if stored else build()
 
+    def is_stored(self, layer: str, name: str) -> bool:
+        return (layer, name) in self._stored
+
     # staging
 
     def stg(self, table: str) -> DataFrame:
@@ -99,6 +104,24 @@ class Book:
         build = lambda: cleaning.clean_events(self.stg(table), table, need, keep)
         return self._frame("clean", EVENT_TABLES.get(table, table), build) if keep == "last" else build()
 
+    def events_between(self, table: str, first: date, last: date, *need: str) -> DataFrame:
+        """Deduplicated events within the closed date range, limited to `need`.
+
+        A stored table prunes its months. A raw one is deduplicated by all copies of the ids
+        that have any copy in the range: other ids don't reach the shuffle.
+        """
+        if self.is_stored("clean", cleaning.clean_name(table)):
+            return within(self.events(table, *need), cleaning.event_time(table), (first, last))
+        rule, stg = cleaning.RULES[table], self.stg(table)
+        seen = within(stg.select(rule.key, rule.order[0]), rule.order[0], (first, last))
+        copies = may_be_among(stg, seen, rule.key)
+        return within(cleaning.clean_events(copies, table, need), cleaning.event_time(table), (first, last))
+
+    def payments_between(self, first: date, last: date) -> DataFrame:
+        """Successful ledger payments within the closed date range."""
+        paid = self.events_between("payments", first, last, "account_id", "amount", "payment_status")
+        return paid.where(F.col("payment_status") == SUCCESS)
+
     def payments(self, *need: str, keep: str = "last") -> DataFrame:
         """Successful ledger payments."""
         paid = self.events("payments", "account_id", "amount", "payment_status", *need, keep=keep)
@@ -165,9 +188,12 @@ class Book:
         return self._frame("feat", "targeting_cohort", lambda: first_targets(self.targeting()))
 
     def enriched(self, *facts: str) -> DataFrame:
-        return self._frame(
-            "feat", "account_month_enriched", lambda: features.enrich_cohort(self.features(*facts), self.cohort())
-        )
+        """Features with the account's first target, which its row carries before it has months."""
+        return self._frame("feat", "account_month_enriched", lambda: self._build_enriched(facts))
+
+    def _build_enriched(self, facts: tuple[str, ...]) -> DataFrame:
+        rows = gold.exploded(gold.nested_gold(self, facts, cohort=True), facts)
+        return features.cohort_flags(features.build_features(rows))
 
     def call_hours(self) -> DataFrame:
         return self._frame(
@@ -246,8 +272,40 @@ EVENT_TIME = {
 }
 
 
-def materialise(book: Book, spark: SparkSession, root: str | None = None, catalog: bool = False) -> str:
-    """Write all 26 layer tables in dependency order, each reading the ones before it.
+# All stored tables, in the order in which they are built.
+LAYER_TABLES = (
+    *[("clean", name) for name in CLEAN_TABLES],
+    ("gold", "account_month"),
+    ("feat", "account_month"),
+    ("feat", "targeting_cohort"),
+    ("feat", "account_month_enriched"),
+    ("feat", "call_hour"),
+    ("feat", "agent_month"),
+    ("metrics", "monthly"),
+    ("metrics", "channel_14d"),
+    ("metrics", "investment_scenarios"),
+)
+
+
+def open_book(spark: SparkSession, raw: RawReader, start: date, end: date, root: str | None = None, version: str | None = None) -> Book:
+    """A book over layers that an earlier session stored: the current version under `root`, or a named one.
+
+    Tables are read when first asked for; staging still reads `raw`.
+    """
+    if version is None:
+        root = root or shared_root(spark)
+        if root is None:
+            raise ValueError("name the folder of the layers, or set spark.checkpoint.dir")
+        version = current_version(spark, root)
+    book = Book(raw, start, end)
+    book._stored = {(layer, name): partial(read_layer, spark, layer, name, version) for layer, name in stored_tables(spark, version)}
+    return book
+
+
+def materialise(
+    book: Book, spark: SparkSession, root: str | None = None, catalog: bool = False, tables: Sequence[tuple[str, str]] = LAYER_TABLES
+) -> str:
+    """Write all 26 layer tables, or the named (layer, name) ones, in dependency order, each reading the ones before it.
 
     `root` is a path in shared storage; without it the folder the cluster names in
     `spark.checkpoint.dir` is used. Every run builds from the raw tables and writes to a
@@ -261,26 +319,30 @@ def materialise(book: Book, spark: SparkSession, root: str | None = None, catalo
     version = new_version(root)
     fresh = Book(book.raw, book.start, book.end)
 
-    def store(layer: str, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
-        write_layer(df, layer, name, version, partition_by)
-        fresh._stored[(layer, name)] = lambda: read_layer(spark, layer, name, version)
+    def store(layer: str, name: str, build: Callable[[], DataFrame], partition_by: tuple[str, ...] = ()) -> None:
+        if (layer, name) in tables:
+            write_layer(build(), layer, name, version, partition_by)
+            fresh._stored[(layer, name)] = partial(read_layer, spark, layer, name, version)
+
+    def with_month(name: str, at: str) -> DataFrame:
+        return fresh.clean(name).withColumn(month_column(at), month_of(F.col(at)))
 
     for name in CLEAN_TABLES:
-        df = fresh.clean(name)
         at = EVENT_TIME.get(name)
         if at is None:
-            store("clean", name, df)
+            store("clean", name, partial(fresh.clean, name))
         else:
-            store("clean", name, df.withColumn(month_column(at), month_of(F.col(at))), (month_column(at),))
-    store("gold", "account_month", fresh.gold(), ("month_start",))
-    store("feat", "account_month", fresh.features(), ("month_start",))
-    store("feat", "targeting_cohort", fresh.cohort())
-    store("feat", "account_month_enriched", fresh.enriched(), ("month_start",))
-    store("feat", "call_hour", fresh.call_hours(), ("month_start",))
-    store("feat", "agent_month", fresh.agent_months())
-    store("metrics", "monthly", fresh.monthly())
-    store("metrics", "channel_14d", fresh.channel_14d())
-    store("metrics", "investment_scenarios", fresh.investment_scenarios())
+            store("clean", name, partial(with_month, name, at), (month_column(at),))
+    store("gold", "account_month", fresh.gold, ("month_start",))
+    store("feat", "account_month", fresh.features, ("month_start",))
+    store("feat", "targeting_cohort", fresh.cohort)
+    store("feat", "account_month_enriched", fresh.enriched, ("month_start",))
+    store("feat", "call_hour", fresh.call_hours, ("month_start",))
+    store("feat", "agent_month", fresh.agent_months)
+    store("metrics", "monthly", fresh.monthly)
+    store("metrics", "channel_14d", fresh.channel_14d)
+    store("metrics", "investment_scenarios", fresh.investment_scenarios)
+    list_stored(spark, version, list(fresh._stored))
     switch_version(spark, root, version)
     book._stored = dict(fresh._stored)
     if catalog:

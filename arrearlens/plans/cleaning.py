@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +14,7 @@ from ..functions.conform import map_codes
 from ..operators.dedup import flag_repeated, latest_per_key
 from ..operators.identity import canonical_id
 from ..operators.lookup import attach_account, lookup
+from ..operators.stack import stack
 
 
 @dataclass(frozen=True)
@@ -97,26 +98,74 @@ RULES: dict[str, Rule] = {
     ),
 }
 
+# Clean names that differ from the source's.
+CLEAN_NAMES = {"account_status_history": "status_history"}
+
+
+def clean_name(table: str) -> str:
+    return CLEAN_NAMES.get(table, table)
+
+
 _RENAMES = {
     "agent_id_raw": "agent_id",
     "vendor_id_raw": "vendor_id",
 }
 
 
+def event_time(table: str) -> str:
+    """The clean name of the column by which the table's copies are ordered."""
+    return "event_at" if table == "promises_to_pay" else RULES[table].order[0]
+
+
+def _ties(table: str, need: Sequence[str]) -> tuple[str, ...]:
+    """The leading part of the tie columns that holds all that is needed."""
+    rule = RULES[table]
+    if not need:
+        return rule.ties
+    unknown = set(need) - {rule.key, *rule.order, *rule.ties}
+    if unknown:
+        raise ValueError(f"{table} has no column {sorted(unknown)}")
+    return rule.ties[: max((rule.ties.index(c) for c in need if c in rule.ties), default=-1) + 1]
+
+
 def dedupe(stg: DataFrame, table: str, need: Sequence[str] = (), keep: str = "last") -> DataFrame:
     """One row per business key; `need` limits the columns carried (empty: all)."""
-    rule = RULES[table]
-    ties = rule.ties
-    if need:
-        unknown = set(need) - {rule.key, *rule.order, *ties}
-        if unknown:
-            raise ValueError(f"{table} has no column {sorted(unknown)}")
-        last = max((ties.index(c) for c in need if c in ties), default=-1)
-        ties = ties[: last + 1]
+    rule, ties = RULES[table], _ties(table, need)
     carried = stg.select(rule.key, *rule.order, *ties)
     return latest_per_key(carried, rule.key, rule.order, keep=keep, ties=ties)
 
 
+def dedupe_together(sources: Mapping[str, tuple[DataFrame, str, Sequence[str]]]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """Deduplicate several tables in one exchange, each by its own rule.
+
+    `sources` maps a name to (staged frame, table, needed columns). Columns of equal type
+    and direction share a slot where the order in which they decide allows it; a slot that
+    a table has no use for is null in all its rows and decides nothing there. Returns the
+    rows with `source`, `key` and slots, and for each source the slot of each column.
+    """
+    slots: list[tuple[str, str, str]] = []  # name, type, direction
+    names: dict[str, dict[str, str]] = {}
+    for source, (stg, table, need) in sources.items():
+        rule, at = RULES[table], 0
+        names[source] = {rule.key: "key"}
+        for columns, direction in ((rule.order, "desc"), (_ties(table, need), "asc")):
+            for column in columns:
+                kind = stg.schema[column].dataType.simpleString()
+                found = next((k for k in range(at, len(slots)) if slots[k][1:] == (kind, direction)), None)
+                if found is None:
+                    slots.insert(found := at, (f"s{len(slots)}", kind, direction))
+                names[source][column] = slots[found][0]
+                at = found + 1
+    frames = []
+    for source, (stg, table, _) in sources.items():
+        of_slot = {s: F.col(c) for c, s in names[source].items()}
+        frames.append(
+            stg.select(F.lit(source).alias("source"), F.col(RULES[table].key).cast("string").alias("key"), *[of_slot.get(s, F.lit(None)).cast(kind).alias(s) for s, kind, _ in slots])
+        )
+    order = [f"{s} {direction} nulls last" for s, _, direction in slots]
+    return latest_per_key(stack(frames).where("key is not null"), ["source", "key"], order, ties=()), names
+
+
 def _conform(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed(_RENAMES)
 
@@ -165,10 +214,12 @@ def with_call_status(dispositions: DataFrame, calls: DataFrame) -> DataFrame:
 
 
 def clean_payments(stg: DataFrame, accounts: DataFrame) -> DataFrame:
-    """Payment ledger: the payment id is the event key, the reference never is one."""
+    """Payment ledger: the payment id is the event key, the reference never is one.
+
+    References are counted over the ledger itself: the shuffle by id serves both, the one by reference is narrow.
+    """
     ledger = clean_events(stg, "payments")
-    references = clean_events(stg, "payments", ["payment_reference"]).select("payment_reference")
-    flagged = flag_repeated(ledger, "payment_reference", "repeated_reference_flag", references)
+    flagged = flag_repeated(ledger, "payment_reference", "repeated_reference_flag")
     return attach_account(flagged, accounts)
 
 

@@ -58,10 +58,14 @@ def enrich_cohort(features: DataFrame, cohort: DataFrame) -> DataFrame:
 
     `months_since_first_target` is a calendar-month difference, negative before it.
     """
+    return cohort_flags(features.join(cohort, "account_id", "left"))
+
+
+def cohort_flags(joined: DataFrame) -> DataFrame:
+    """The same where the account's first target date stands in the row already."""
     first = F.col("first_target_date")
-    joined = features.join(cohort, "account_id", "left")
     ever = first.isNotNull()
-    if "targeted_flag" in features.columns:
+    if "targeted_flag" in joined.columns:
         ever = ever | (F.col("targeted_flag") == 1)
     return joined.withColumns(
         {

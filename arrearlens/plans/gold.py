@@ -1,170 +1,331 @@
-"""Gold: one row per account and calendar month."""
+"""Gold: one row per account and calendar month.
+
+Every fact is declared once, as measures over its events. One or two facts are aggregated by account and
+month and joined to the months; more are laid together in slots of equal type:
+
+1. seven event tables that need nothing but one row per key share one deduplication;
+2. events are added up by account, month, fact and the value to be counted once, each row updating a few
+   slots instead of all measures;
+3. those few rows become measures by account and month, and then one array of months for each account;
+4. accounts, which their own deduplication has already partitioned, take their array by a join without a
+   further exchange, and months come into being last, by exploding it.
+
+Wide rows of accounts and their months are never shuffled. All additions are partial before each exchange,
+so a hot account costs a few rows a task.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators.calendar import account_month_base, monthly_measures
+from ..functions.calendar import month_of
+from ..operators.calendar import account_month_base, account_months_array, monthly_measures
+from ..operators.stack import stack
+from .cleaning import RULES, clean_name, dedupe_together
 
 if TYPE_CHECKING:
     from .book import Book
 
-def _rows() -> Column:
-    return F.count(F.lit(1))
+#: Looks up a column of the fact's events, under whatever name a plan carries it.
+Get = Callable[[str], Column]
 
 
-def _payments(book: Book) -> DataFrame:
-    paid = book.events("payments", "account_id", "amount", "payment_status").where(
-        F.col("payment_status") == codes.SUCCESS
-    )
-    # The ledger is unique on payment_id, so counting events counts ids.
-    return monthly_measures(
-        paid,
-        F.col("event_at"),
-        {
-            "recovered_amount": F.sum("amount"),
-            "success_payment_events": _rows(),
-            "success_payment_ids": F.count("payment_id"),
-        },
-    )
+@dataclass(frozen=True)
+class Fact:
+    """Events of one kind: where they come from, when they happened, and what is measured.
 
+    `measures` maps a name to its kind (money, number, distinct or latest) and value.
+    """
 
-def _attempts(book: Book) -> DataFrame:
-    df = book.events("call_attempts", "account_id", "call_id")
-    return monthly_measures(
-        df, F.col("event_at_local"), {"attempts": _rows(), "attempted_calls": F.countDistinct("call_id")}
-    )
+    events: Callable[[Book], DataFrame]
+    at: str
+    measures: dict[str, tuple[str, Callable[[Get], Column]]]
+    where: Callable[[Get], Column] | None = None
+    #: Staged table and columns, if one row per key is all that the events need.
+    table: str | None = None
+    need: tuple[str, ...] = ()
+
+
+def _one(c: Get) -> Column:
+    return F.lit(1).cast("long")
+
+
+def _if(condition: Callable[[Get], Column], value: Callable[[Get], Column] = _one) -> Callable[[Get], Column]:
+    return lambda c: F.when(condition(c), value(c))
+
+
+def _col(name: str) -> Callable[[Get], Column]:
+    return lambda c: c(name)
+
+
+def _table(table: str, at: str, need: Sequence[str], measures: dict, where: Callable[[Get], Column] | None = None) -> Fact:
+    return Fact(lambda book: book.events(table, *need), at, measures, where, table, tuple(need))
 
 
 def _call_events(book: Book) -> DataFrame:
     return book.events("calls", "account_id", "call_status", "campaign_id", "event_at_utc")
 
 
-def _calls(book: Book) -> DataFrame:
-    df = _call_events(book)
-    answered = F.col("call_status") == codes.ANSWERED
-    return monthly_measures(
-        df,
-        F.col("event_at_utc"),
-        {
-            "calls": _rows(),
-            "answered_calls": F.count_if(answered),
-            "answered_seconds": F.sum(F.when(answered, F.col("duration_sec"))),
-            "campaigns_touched": F.countDistinct("campaign_id"),
-        },
-    )
+def _is(column: str, *values: str) -> Callable[[Get], Column]:
+    return lambda c: c(column).isin(*values)
 
 
-def _dispositions(book: Book) -> DataFrame:
-    df = book.dispositions("account_id", "disposition_code_raw", "call_id", calls=_call_events(book))
-    df = df.where("call_answered_flag")
-    return monthly_measures(
-        df,
-        F.col("event_at_local"),
+FACTS: dict[str, Fact] = {
+    "payments": _table(
+        "payments",
+        "event_at",
+        ["account_id", "amount", "payment_status"],
         {
-            "rpc_events": F.count_if(F.col("disposition_code_std") == "RPC"),
-            "ptp_events": F.count_if(F.col("disposition_code_std") == "PTP"),
+            "recovered_amount": ("money", _col("amount")),
+            "success_payment_events": ("number", _one),
+            # The ledger is unique on payment_id, so counting events counts ids.
+            "success_payment_ids": ("number", _if(lambda c: c("payment_id").isNotNull())),
         },
-    )
-
-
-def _targets(book: Book) -> DataFrame:
-    return monthly_measures(
-        book.targeting(),
-        F.col("target_date"),
+        _is("payment_status", codes.SUCCESS),
+    ),
+    "attempts": _table(
+        "call_attempts",
+        "event_at_local",
+        ["account_id", "call_id"],
+        {"attempts": ("number", _one), "attempted_calls": ("distinct", _col("call_id"))},
+    ),
+    "calls": Fact(
+        _call_events,
+        "event_at_utc",
         {
-            "target_events": F.countDistinct("target_id"),
-            # A set, bounded by the campaigns there are: a second distinct count would triple the rows.
-            "target_campaigns": F.size(F.collect_set("campaign_id")).cast("long"),
-            "last_target_date": F.max("target_date"),
+            "calls": ("number", _one),
+            "answered_calls": ("number", _if(_is("call_status", codes.ANSWERED))),
+            "answered_seconds": ("number", _if(_is("call_status", codes.ANSWERED), _col("duration_sec"))),
+            "campaigns_touched": ("distinct", _col("campaign_id")),
         },
-    )
-
-
-def _promises(book: Book) -> DataFrame:
-    df = book.events("promises_to_pay", "account_id", "status", "promised_amount")
-    kept = F.col("status") == codes.KEPT
-    return monthly_measures(
-        df,
-        F.col("event_at"),
+    ),
+    "dispositions": Fact(
+        lambda book: book.dispositions("account_id", "disposition_code_raw", "call_id", calls=_call_events(book)),
+        "event_at_local",
         {
-            "ptp_count": _rows(),
-            "promised_amount": F.sum("promised_amount"),
-            "ptp_kept_count": F.count_if(kept),
-            "ptp_kept_amount": F.sum(F.when(kept, F.col("promised_amount"))),
+            "rpc_events": ("number", _if(_is("disposition_code_std", "RPC"))),
+            "ptp_events": ("number", _if(_is("disposition_code_std", "PTP"))),
         },
-    )
+        _col("call_answered_flag"),
+    ),
+    "targets": Fact(
+        lambda book: book.targeting(),
+        "target_date",
+        {
+            "target_events": ("distinct", _col("target_id")),
+            "target_campaigns": ("distinct", _col("campaign_id")),
+            "last_target_date": ("latest", _col("target_date")),
+        },
+    ),
+    "promises": _table(
+        "promises_to_pay",
+        "event_at",
+        ["account_id", "status", "promised_amount"],
+        {
+            "ptp_count": ("number", _one),
+            "promised_amount": ("money", _col("promised_amount")),
+            "ptp_kept_count": ("number", _if(_is("status", codes.KEPT))),
+            "ptp_kept_amount": ("money", _if(_is("status", codes.KEPT), _col("promised_amount"))),
+        },
+    ),
+    "whatsapp": _table(
+        "whatsapp_events",
+        "event_at",
+        ["account_id", "event_type"],
+        {"whatsapp_events": ("number", _one), "whatsapp_engaged": ("number", _if(_is("event_type", *codes.WHATSAPP_ENGAGED)))},
+    ),
+    "sms": _table(
+        "sms_events",
+        "event_at",
+        ["account_id", "event_type"],
+        {"sms_events": ("number", _one), "sms_engaged": ("number", _if(_is("event_type", *codes.SMS_ENGAGED)))},
+    ),
+    "visits": _table(
+        "field_visits",
+        "event_at",
+        ["account_id", "outcome"],
+        {"field_visits": ("number", _one), "paid_field_visits": ("number", _if(_is("outcome", codes.PAID)))},
+    ),
+    "complaints": _table("complaints", "event_at", ["account_id"], {"complaints": ("number", _one)}),
+}
+MONEY = ("recovered_amount", "promised_amount", "ptp_kept_amount")
+KEYS = ["account_id", "month_start"]
+#: Up to so many facts are joined one by one, which lets Catalyst drop a fact that nobody reads.
+JOINED = 2
+FIRST_TARGET = "first_target_date"
+
+
+def filled(measure: str, value: Column) -> Column:
+    """Zero where nothing happened; the last target date stays missing."""
+    if measure == "last_target_date":
+        return value.alias(measure)
+    return F.coalesce(value, F.lit(0)).cast("decimal(18,2)" if measure in MONEY else "bigint").alias(measure)
+
+
+def monthly_fact(book: Book, name: str) -> DataFrame:
+    """One fact's measures by account and month."""
+    fact = FACTS[name]
+    events = fact.events(book)
+    if fact.where:
+        events = events.where(fact.where(F.col))
+    total = {"money": F.sum, "number": F.sum, "distinct": F.countDistinct, "latest": F.max}
+    # A second distinct count would triple the rows; campaigns are few enough for a set.
+    apart = [m for m, (kind, _) in fact.measures.items() if kind == "distinct"][1:]
+    measures = {
+        m: F.size(F.collect_set(value(F.col))).cast("long") if m in apart else total[kind](value(F.col))
+        for m, (kind, value) in fact.measures.items()
+    }
+    return monthly_measures(events, F.col(fact.at), measures)
 
 
-def _whatsapp(book: Book) -> DataFrame:
-    df = book.events("whatsapp_events", "account_id", "event_type")
-    engaged = F.count_if(F.col("event_type").isin(*codes.WHATSAPP_ENGAGED))
-    return monthly_measures(df, F.col("event_at"), {"whatsapp_events": _rows(), "whatsapp_engaged": engaged})
+def build_gold(base: DataFrame, facts: Sequence[DataFrame]) -> DataFrame:
+    """Join monthly facts, each unique on (account, month), to the months of `base`."""
+    joined = base
+    for fact in facts:
+        joined = joined.join(fact, KEYS, "left")
+    measures = [c for fact in facts for c in fact.columns if c not in KEYS]
+    return joined.select(*base.columns, *[filled(m, F.col(m)) for m in measures])
 
 
-def _sms(book: Book) -> DataFrame:
-    df = book.events("sms_events", "account_id", "event_type")
-    engaged = F.count_if(F.col("event_type").isin(*codes.SMS_ENGAGED))
-    return monthly_measures(df, F.col("event_at"), {"sms_events": _rows(), "sms_engaged": engaged})
+# -- facts in common slots ----------------------------------------------------------------------------
 
 
-def _visits(book: Book) -> DataFrame:
-    df = book.events("field_visits", "account_id", "outcome")
-    paid = F.count_if(F.col("outcome") == codes.PAID)
-    return monthly_measures(df, F.col("event_at"), {"field_visits": _rows(), "paid_field_visits": paid})
+def _slots(fact: Fact) -> dict[str, str]:
+    """Measure -> slot: money1, money2 ..., number1 ..., latest1, and sub1, sub2 for values counted once."""
+    out: dict[str, str] = {}
+    for measure, (kind, _) in fact.measures.items():
+        place = sum(FACT_SLOT[kind] == s.rstrip("0123456789") for s in out.values()) + 1
+        out[measure] = f"{FACT_SLOT[kind]}{place}"
+    return out
 
 
-def _complaints(book: Book) -> DataFrame:
-    return monthly_measures(book.events("complaints", "account_id"), F.col("event_at"), {"complaints": _rows()})
+FACT_SLOT = {"money": "money", "number": "number", "latest": "latest", "distinct": "sub"}
+_TYPES = {"money": "decimal(18,2)", "number": "bigint", "latest": "date", "sub": "string"}
+_SLOTS = ("money1", "money2", "number1", "number2", "number3", "latest1", "sub1", "sub2")
+_SUMMED = _SLOTS[:5]
 
 
-# Fact name -> how to build its monthly measures.
-FACTS: dict[str, Callable[[Book], DataFrame]] = {
-    "payments": _payments,
-    "attempts": _attempts,
-    "calls": _calls,
-    "dispositions": _dispositions,
-    "targets": _targets,
-    "promises": _promises,
-    "whatsapp": _whatsapp,
-    "sms": _sms,
-    "visits": _visits,
-    "complaints": _complaints,
-}
-MONEY = ("recovered_amount", "promised_amount", "ptp_kept_amount")
-KEYS = ["account_id", "month_start"]
+def _kind(slot: str) -> str:
+    return slot.rstrip("0123456789")
 
 
-def build_gold(base: DataFrame, facts: Sequence[DataFrame]) -> DataFrame:
-    """Join every fact to the base; every measure but the last target date is zero where
-    nothing happened.
+def _row(tag: int, fact: Fact, get: Get) -> dict[str, Column]:
+    """A fact's event in slots."""
+    slots = {slot: fact.measures[m][1](get) for m, slot in _slots(fact).items()}
+    row = {s: slots.get(s, F.lit(None)).cast(_TYPES[_kind(s)]) for s in _SLOTS}
+    return {"account_id": get("account_id"), "month_start": month_of(get(fact.at)), "fact": F.lit(tag)} | row
+
+
+def _together(book: Book, tags: dict[str, int]) -> DataFrame | None:
+    """Events of the tables that share one deduplication, in slots."""
+    shared = {n: FACTS[n] for n in tags if FACTS[n].table and not book.is_stored("clean", clean_name(FACTS[n].table))}
+    if not shared:
+        return None
+    once, names = dedupe_together({n: (book.stg(f.table), f.table, f.need) for n, f in shared.items()})
 
-    Each fact is unique on (account, month) and already partitioned by it, so the joins
-    add one exchange in all, that of the base; and Catalyst drops a fact none of whose
-    measures is used. Summing all facts in one wide aggregate instead saves exchanges
-    but updates every measure for every event, which costs several times the CPU.
+    def get(name: str) -> Get:
+        table = FACTS[name].table
+        return lambda column: F.col(names[name][{"event_at": RULES[table].order[0]}.get(column, column)])
+
+    rows = {n: _row(tags[n], f, get(n)) for n, f in shared.items()}
+    chosen = {}
+    for column in next(iter(rows.values())):
+        value = None
+        for n, row in rows.items():
+            mine = F.col("source") == n
+            value = F.when(mine, row[column]) if value is None else value.when(mine, row[column])
+        chosen[column] = value
+    for n, fact in shared.items():
+        if fact.where:
+            once = once.where((F.col("source") != n) | fact.where(get(n)))
+    return once.select(*[c.alias(k) for k, c in chosen.items()])
+
+
+def _apart(book: Book, name: str, tag: int) -> DataFrame:
+    fact = FACTS[name]
+    events = fact.events(book)
+    if fact.where:
+        events = events.where(fact.where(F.col))
+    return events.select(*[c.alias(k) for k, c in _row(tag, fact, F.col).items()])
+
+
+def nested_facts(book: Book, facts: Sequence[str], cohort: bool = False) -> DataFrame:
+    """(account_id, months[, first_target_date]): per account one array of (month_start, measures).
+
+    With `cohort` the first target of all is carried along, whatever month it lies in.
     """
-    joined = base
-    for fact in facts:
-        joined = joined.join(fact, KEYS, "left")
+    tags = {n: k for k, n in enumerate(facts)}
+    together = _together(book, tags)
+    held = set(tags) if together is None else {n for n in tags if FACTS[n].table is None or book.is_stored("clean", clean_name(FACTS[n].table))}
+    frames = [_apart(book, n, tags[n]) for n in tags if n in held]
+    if together is not None:
+        frames.append(together)
+    if cohort and "targets" not in tags:
+        tags["targets"] = len(tags)
+        frames.append(_apart(book, "targets", tags["targets"]).withColumns({s: F.lit(None).cast(_TYPES[_kind(s)]) for s in ("sub1", "sub2")}))
+    rows = stack(frames).where("account_id is not null and month_start is not null")
+    rows = rows.withColumn("earliest", F.when(F.col("fact") == tags.get("targets", -1), F.col("latest1")))
+
+    # A second value to be counted once gets a row of its own, without numbers.
+    second = [tags[n] for n in facts if "sub2" in _slots(FACTS[n]).values()]
+    if second:
+        again = F.struct(F.lit(True).alias("again"), F.col("sub2").alias("sub"))
+        first = F.struct(F.lit(False).alias("again"), F.col("sub1").alias("sub"))
+        rows = rows.withColumn("s", F.explode(F.when(F.col("fact").isin(second), F.array(first, again)).otherwise(F.array(first))))
+    else:
+        rows = rows.withColumn("s", F.struct(F.lit(False).alias("again"), F.col("sub1").alias("sub")))
+    # On the second row numbers are counted no more than once; latest and earliest may repeat.
+    per_value = rows.groupBy(*KEYS, "fact", F.col("s.again").alias("again"), F.col("s.sub").alias("sub")).agg(
+        *[F.sum(F.when(~F.col("s.again"), F.col(s))).alias(s) for s in _SUMMED], F.max("latest1").alias("latest1"), F.min("earliest").alias("earliest")
+    )
 
-    def filled(name: str) -> str:
-        if name == "last_target_date":
-            return name
-        kind = "decimal(18,2)" if name in MONEY else "bigint"
-        return f"cast(coalesce({name}, 0) as {kind}) as {name}"
+    measures, total = [], {"money": F.sum, "number": F.sum, "latest": F.max, "sub": F.count}
+    for name in facts:
+        for measure, slot in _slots(FACTS[name]).items():
+            mine = F.col("fact") == tags[name]
+            if _kind(slot) == "sub":
+                mine, value = mine & (F.col("again") == F.lit(slot == "sub2")), F.col("sub")
+            else:
+                value = F.col(slot)
+            measures.append(total[_kind(slot)](F.when(mine, value)).alias(measure))
+    per_month = per_value.groupBy(*KEYS).agg(*measures, F.min("earliest").alias(FIRST_TARGET))
+    names = [m for n in facts for m in FACTS[n].measures]
+    out = [F.collect_list(F.struct("month_start", *names)).alias("months")]
+    if cohort:
+        out.append(F.min(FIRST_TARGET).alias(FIRST_TARGET))
+    return per_month.groupBy("account_id").agg(*out)
+
+
+def nested_gold(book: Book, facts: Sequence[str] = (), cohort: bool = False) -> DataFrame:
+    """One row per account with its attributes and the array of its months, for `exploded`."""
+    facts = facts or tuple(FACTS)
+    accounts = book.accounts().withColumnRenamed("status", "account_status").drop("schema_version")
+    joined = accounts.join(nested_facts(book, facts, cohort), "account_id", "left")
+    spine = account_months_array(book.start, book.end)
+    by_month = F.map_from_entries(F.transform("months", lambda m: F.struct(m["month_start"], m)))
+    empty = F.lit(None).cast(joined.schema["months"].dataType.elementType)
+    of_month = lambda day: F.struct(day.alias("month_start"), F.when(F.col("months").isNotNull(), F.element_at(by_month, day)).otherwise(empty).alias("m"))
+    return joined.withColumn("months", F.transform(spine, of_month))
 
-    measures = [c for fact in facts for c in fact.columns if c not in KEYS]
-    return joined.selectExpr(*base.columns, *[filled(m) for m in measures])
+
+def exploded(nested: DataFrame, facts: Sequence[str] = ()) -> DataFrame:
+    """Gold rows of nested accounts: other columns, month_start, measures."""
+    kept = [c for c in nested.columns if c != "months"]
+    measures = [m for n in (facts or FACTS) for m in FACTS[n].measures]
+    rows = nested.select(*kept, F.explode("months").alias("e"))
+    return rows.select(*kept, F.col("e.month_start").alias("month_start"), *[filled(m, F.col(f"e.m.{m}")) for m in measures])
 
 
 def account_months(book: Book, facts: Sequence[str] = ()) -> DataFrame:
     """Gold table with all ten facts, or only the named ones."""
-    accounts = book.accounts().withColumnRenamed("status", "account_status").drop("schema_version")
-    base = account_month_base(accounts, book.start, book.end)
-    return build_gold(base, [FACTS[f](book) for f in (facts or FACTS)])
+    if 0 < len(facts) <= JOINED:
+        accounts = book.accounts().withColumnRenamed("status", "account_status").drop("schema_version")
+        base = account_month_base(accounts, book.start, book.end)
+        return build_gold(base, [monthly_fact(book, f) for f in facts])
+    return exploded(nested_gold(book, facts), facts)

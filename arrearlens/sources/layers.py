@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -33,6 +34,25 @@ def switch_version(spark: SparkSession, root: str, version: str) -> None:
     row.write.mode("append").parquet(f"{root.rstrip('/')}/versions")
 
 
+def list_stored(spark: SparkSession, version: str, tables: Sequence[tuple[str, str]]) -> None:
+    """Note which (layer, name) tables a version holds."""
+    spark.createDataFrame(tables, "layer string, name string").coalesce(1).write.parquet(f"{version}/tables")
+
+
+def stored_tables(spark: SparkSession, version: str) -> list[tuple[str, str]]:
+    return [(r.layer, r.name) for r in spark.read.parquet(f"{version}/tables").collect()]
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder in the shared storage the session names; of this machine only under a local master."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="arrearlens-scratch-")
+    return f"{named.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+
+
 def current_version(spark: SparkSession, root: str) -> str:
     """The version that `root` points to."""
     return spark.read.parquet(f"{root.rstrip('/')}/versions").agg(F.max_by("version", "at").alias("version")).first().version
