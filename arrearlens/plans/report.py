@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.codes import CRORE, RPC_LIKE, SUCCESS
-from ..functions.ratio import safe_div
+from ..functions.calendar import MICROS_PER_HOUR, micros_between
+from ..functions.codes import ANSWERED, CRORE, RPC_LIKE, SUCCESS
+from ..functions.ratio import count_if, safe_div
 from ..operators import quality
+from ..operators.checks import first_row, gathered, micros, number, observation, observe, rows_of
 from ..operators.stack import stack
-from .analysis import dedup_impact
 from .book import BORROWER_SOURCES, Book
 
 # Wording of the report (issue, detection method, treatment) per check.
@@ -70,21 +73,25 @@ WORDING = {
 SOURCE_LABELS = {"promises_to_pay": "PTP", "whatsapp_events": "WhatsApp", "sms_events": "SMS"}
 
 
-def _n(name: str) -> Column:
-    return F.format_number(F.col(name), 0)
+def _row(check: str, affected: Column, total: Column, impact: Column, source: str = "") -> dict[str, Column]:
+    title, method, treatment = WORDING[check]
+    return {
+        "issue": F.lit(title.format(source=SOURCE_LABELS.get(source, source))),
+        "detection_method": F.lit(method),
+        "treatment": F.lit(treatment),
+        "affected": affected.cast("long"),
+        "total": total.cast("long"),
+        "pct": safe_div(affected, total) * 100,
+        "business_impact": impact,
+    }
 
 
-def _row(counts: DataFrame, check: str, impact: Column, issue: Column | None = None) -> DataFrame:
-    title, method, treatment = WORDING[check]
-    return counts.select(
-        (F.lit(title) if issue is None else issue).alias("issue"),
-        F.lit(method).alias("detection_method"),
-        F.lit(treatment).alias("treatment"),
-        F.col("affected").cast("long").alias("affected"),
-        F.col("total").cast("long").alias("total"),
-        (safe_div(F.col("affected"), F.col("total")) * 100).alias("pct"),
-        impact.alias("business_impact"),
-    )
+def _n(c: Column) -> Column:
+    return F.format_number(c, 0)
+
+
+def _pct(affected: Column, total: Column, digits: int) -> Column:
+    return F.format_number(F.coalesce(safe_div(affected, total), F.lit(0.0)) * 100, digits)
 
 
 def reference_collisions(payments: DataFrame) -> DataFrame:
@@ -116,94 +123,92 @@ def mixed_zones(book: Book) -> DataFrame:
     return both.agg(F.sum("call_zones").alias("call_zones"), F.sum("account_zones").alias("account_zones"), F.sum("rows").alias("rows"))
 
 
-def dq_report(book: Book) -> DataFrame:
-    """One row per check: wording, affected and total counts, percentage, impact sentence."""
-    payments = book.stg("payments")
-    duplicates = quality.duplicate_keys(payments, "payment_id")
-    removed = dedup_impact(payments, book.events("payments", "payment_status", "amount")).select(
-        (F.col("cash_removed_by_dedup").cast("double") / CRORE).alias("crore")
-    )
-    payment_ids = stack([duplicates, removed])
-    payment_ids = payment_ids.agg(*[F.sum(c).alias(c) for c in payment_ids.columns])
+#: Columns by which an agent id must keep its identity.
+_IDENTITY = ("employee_code", "vendor_id", "team", "agent_name")
+
+
+def _own(book: Book, sources: Sequence[str]) -> DataFrame:
+    """Each account's own borrower, for every source that is held against it."""
+    borrower = _borrower("borrower_id")
+    own = [observation(f"conflict {s}", F.col("account_id"), value=borrower, own=F.lit(True)) for s in sources]
+    return observe(book.owners(), own)
+
+
+def _borrower(column: str) -> Column:
+    """A missing borrower is a value like any other here."""
+    return F.coalesce(F.concat(F.lit("="), F.col(column)), F.lit(""))
+
+
+def observations(book: Book) -> list[DataFrame]:
+    """What each staged table has to say to the checks, from one scan of it.
+
+    Accounts are read a second time for the owners, which are known only after deduplication."""
+    one, c = F.lit(1), F.col
+
+    def conflict(source: str) -> Column:
+        return observation(f"conflict {source}", c("account_id"), value=_borrower("borrower_id_raw"), rows=one, when=c("account_id").isNotNull())
+
+    paid = c("payment_status") == SUCCESS
+    # The copies of a payment in the order of the ledger, the latest first; unpaid amounts don't count.
+    latest = first_row([-micros(c("event_at"))], [c("payment_status"), c("account_id")], F.when(paid, c("amount")))
+    # The copies of a call, the earliest first; the last text is its status.
+    earliest = first_row([micros(c("event_at_local")), c("duration_sec")], [c("agent_id_raw"), c("account_id"), c("call_status")])
+    of_table = {
+        "payments": [
+            observation("payment", c("payment_id"), rows=one, cash=F.when(paid, c("amount")), least=F.when(c("payment_id").isNotNull(), latest)),
+            observation("reference", c("payment_reference"), value=c("account_id"), rows=one, when=c("payment_reference").isNotNull()),
+        ],
+        "calls": [
+            observation("call", c("call_id"), value=c("event_at_local"), rows=one, least=earliest, when=c("call_id").isNotNull()),
+            observation("call zone", c("timezone"), rows=one),
+        ],
+        # They meet their calls at the call id, which may be missing.
+        "call_dispositions": [observation("call", c("call_id"), hits=count_if(c("disposition_code_raw").isin(*RPC_LIKE))), observation("disposition", rows=one)],
+        "agents": [observation("agent", c("agent_id"), value=c(name), part=F.lit(k), rows=one, when=c("agent_id").isNotNull()) for k, name in enumerate(_IDENTITY)],
+        "accounts": [observation("account zone", c("timezone"), rows=one)],
+        "account_status_history": [observation("late", rows=one, hits=count_if(micros_between(c("event_at"), c("recorded_at")) > int(24 * MICROS_PER_HOUR)))],
+        "borrowers": [observation("borrower", c("borrower_id"), value=c("phone"), rows=one, when=c("borrower_id").isNotNull())],
+        "daily_targeting": [
+            observation("target", F.to_json(F.struct("account_id", "target_date")), rows=one, when=c("account_id").isNotNull() & c("target_date").isNotNull())
+        ],
+    }
+    for source in BORROWER_SOURCES:
+        of_table.setdefault(source, []).append(conflict(source))
+    frames = [observe(book.stg(t), found) for t, found in of_table.items()]
+    return [*frames, _own(book, BORROWER_SOURCES)]
 
-    conflicts = quality.count_conflicts({s: book.stg(s) for s in BORROWER_SOURCES}, book.owners()).select(
-        "source", F.col("conflict_rows").alias("affected"), F.col("total_rows").alias("total")
-    )
-    source = F.col("source")
-    for raw_name, shown in SOURCE_LABELS.items():
-        source = F.when(F.col("source") == raw_name, shown).otherwise(source)
-    conflict_issue = F.concat(F.lit(WORDING["conflict"][0].format(source="")), source)
-    share = F.format_number(F.coalesce(safe_div(F.col("affected"), F.col("total")), F.lit(0.0)) * 100, 2)
-
-    zones = mixed_zones(book).select(
-        F.col("call_zones").alias("affected"), F.col("rows").alias("total"), "call_zones", "account_zones"
-    )
-    late = quality.late_share(book.stg("account_status_history"), "event_at", "recorded_at")
-    late_pct = F.format_number(F.coalesce(safe_div(F.col("affected"), F.col("total")), F.lit(0.0)) * 100, 1)
 
-    return stack(
-        [
-            _row(
-                payment_ids,
-                "payment_ids",
-                F.concat(
-                    _n("affected"),
-                    F.lit(" duplicate IDs; ₹"),
-                    F.format_number("crore", 2),
-                    F.lit(f" Cr duplicate {SUCCESS} value removed"),
-                ),
-            ),
-            _row(
-                reference_collisions(payments),
-                "references",
-                F.concat(F.col("affected").cast("string"), F.lit(" references span multiple accounts")),
-            ),
-            _row(
-                conflicts,
-                "conflict",
-                F.concat(_n("affected"), F.lit("/"), _n("total"), F.lit(" ("), share, F.lit("%)")),
-                conflict_issue,
-            ),
-            _row(
-                unstable_agents(book.stg("agents")),
-                "agents",
-                F.concat(_n("affected"), F.lit("/"), _n("total"), F.lit(" agent IDs have conflicting identity fields")),
-            ),
-            _row(
-                quality.duplicate_keys(book.stg("calls"), "call_id", "event_at_local"),
-                "call_ids",
-                F.concat(
-                    _n("affected"),
-                    F.lit(" call IDs duplicated; "),
-                    F.col("conflicting").cast("string"),
-                    F.lit(" have conflicting timestamps"),
-                ),
-            ),
-            _row(
-                contradictions(book),
-                "contradiction",
-                F.concat(_n("affected"), F.lit(" RPC-like dispositions on non-ANSWERED calls")),
-            ),
-            _row(late, "late", F.concat(late_pct, F.lit("% of status-history rows arrive >24h late"))),
-            _row(
-                zones,
-                "zones",
-                F.concat(
-                    F.lit("calls use "),
-                    F.col("call_zones").cast("string"),
-                    F.lit(" timezones; accounts use "),
-                    F.col("account_zones").cast("string"),
-                ),
-            ),
-            _row(
-                quality.unstable_ids(book.stg("borrowers"), "borrower_id", ["phone"]),
-                "borrowers",
-                F.concat(_n("affected"), F.lit(" borrower IDs have changing phone values")),
-            ),
-            _row(
-                quality.repeated_groups(book.stg("daily_targeting"), ["account_id", "target_date"]),
-                "targets",
-                F.concat(F.col("affected").cast("string"), F.lit(" account-date pairs repeat")),
-            ),
-        ]
-    )
+def dq_report(book: Book) -> DataFrame:
+    """One row per check: wording, affected and total counts, percentage, impact sentence.
+
+    All checks share one pass (`operators.checks`)."""
+    crore = (number("payment", "cash").cast("decimal(38,2)") - number("payment", "first_cash").cast("decimal(38,2)")).cast("double") / CRORE
+    rows, present = [], []
+
+    def add(check: str, affected: Column, total: Column, impact: list, source: str = "", when: Column | None = None) -> None:
+        rows.append(_row(check, affected, total, F.concat(*[F.lit(x) if isinstance(x, str) else x for x in impact]), source))
+        present.append(when)
+
+    affected, total = number("payment", "repeated"), number("payment", "keys")
+    add("payment_ids", affected, total, [_n(affected), " duplicate IDs; ₹", F.format_number(crore, 2), f" Cr duplicate {SUCCESS} value removed"])
+    affected = number("reference", "unstable")
+    add("references", affected, number("reference", "keys"), [affected.cast("string"), " references span multiple accounts"])
+    for source in BORROWER_SOURCES:
+        family = f"conflict {source}"
+        affected, total = number(family, "known_others"), number(family, "known_rows")
+        add("conflict", affected, total, [_n(affected), "/", _n(total), " (", _pct(affected, total, 2), "%)"], source, number(family, "known") > 0)
+    affected, total = number("agent", "unstable"), number("agent", "keys")
+    add("agents", affected, total, [_n(affected), "/", _n(total), " agent IDs have conflicting identity fields"])
+    affected = number("call", "repeated")
+    add("call_ids", affected, number("call", "keys"), [_n(affected), " call IDs duplicated; ", number("call", "conflicting").cast("string"), " have conflicting timestamps"])
+    affected = number("call", "unwanted")
+    add("contradiction", affected, number("disposition", "rows"), [_n(affected), " RPC-like dispositions on non-ANSWERED calls"])
+    affected, total = number("late", "hits"), number("late", "rows")
+    add("late", affected, total, [_pct(affected, total, 1), "% of status-history rows arrive >24h late"])
+    calls, accounts = number("call zone", "keys"), number("account zone", "keys")
+    add("zones", calls, number("call zone", "rows") + number("account zone", "rows"), ["calls use ", calls.cast("string"), " timezones; accounts use ", accounts.cast("string")])
+    affected = number("borrower", "unstable")
+    add("borrowers", affected, number("borrower", "keys"), [_n(affected), " borrower IDs have changing phone values"])
+    affected = number("target", "repeated")
+    add("targets", affected, number("target", "keys"), [affected.cast("string"), " account-date pairs repeat"])
+    return rows_of(gathered(observations(book), ANSWERED), rows, present)
