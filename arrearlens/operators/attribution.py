@@ -8,7 +8,7 @@ an account owning a third of all events is no heavier than its calendar.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -146,6 +146,31 @@ def channel_yield(targeting: DataFrame, payments: DataFrame, accounts: DataFrame
     )
 
 
+def touch_kinds(kinds: Mapping[str, tuple[DataFrame, str, int]], payments: DataFrame, paid_at: str = "event_at") -> DataFrame:
+    """Payments by how many candidate touches of any kind they had: none, one, or several.
+
+    `kinds` maps a name to (events, time column, days): a touch counts from its day to that many days
+    later. All kinds lie on one day axis with the payments, each counted over a range of its own in the
+    same sweep. `after_<kind>` counts payments with at least one touch of that kind.
+    """
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    frames = [
+        df.select("account_id", F.col(at).cast("date").alias("day"), *[(one if k == kind else none).alias(k) for k in kinds]) for kind, (df, at, _) in kinds.items()
+    ]
+    frames.append(payments.select("account_id", F.col(paid_at).cast("date").alias("day"), F.col("amount").alias("paid"), one.alias("payments")))
+    both = stack(frames).where(F.col("account_id").isNotNull() & F.col("day").isNotNull())
+    days = both.groupBy("account_id", "day").agg(F.sum("paid").alias("paid"), F.sum("payments").alias("payments"), *[F.sum(k).alias(k) for k in kinds])
+    axis = _day_axis()
+    seen = {k: F.coalesce(F.sum(k).over(axis.rangeBetween(-n, 0)), F.lit(0)).alias(k) for k, (_, _, n) in kinds.items()}
+    counted = days.select("paid", "payments", *seen.values()).where("payments is not null")
+    n = sum((F.col(k) for k in kinds), F.lit(0))
+    return counted.groupBy(F.when(n == 0, "0").when(n == 1, "1").otherwise("many").alias("candidate_touches")).agg(
+        F.sum("payments").alias("payments"),
+        F.sum("paid").alias("amount"),
+        *[F.sum(F.when(F.col(k) > 0, F.col("payments")).otherwise(0)).alias(f"after_{k}") for k in kinds],
+    )
+
+
 def touch_multiplicity(touches: DataFrame, payments: DataFrame, days: int = 14) -> DataFrame:
     """How many payments had no, one, or several candidate touches in the prior `days`."""
     axis = _day_axis().rangeBetween(-days, 0)

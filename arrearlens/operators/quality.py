@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import MICROS_PER_HOUR, micros_between
+from ..functions.calendar import MICROS_PER_HOUR, known_zone, micros_between
 from ..functions.ratio import count_if
 from ..sources.schemas import TABLES
 from ..functions.conform import CASTING_KINDS, KINDS
@@ -154,6 +154,12 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def zone_labels(df: DataFrame, column: str) -> DataFrame:
+    """(label, rows, resolved): each zone label, and whether the engine knows it; others mean the default zone."""
+    labels = df.groupBy(F.col(column).alias("label")).agg(F.count(F.lit(1)).alias("rows"))
+    return labels.withColumn("resolved", known_zone("label"))
+
+
 def cast_failures(raw: DataFrame, table: str) -> DataFrame:
     """Per typed column: values present in the source that the lenient cast turned to null."""
     fields = [f for f in TABLES[table] if f.kind in CASTING_KINDS]

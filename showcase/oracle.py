@@ -109,8 +109,12 @@ for _m in ("whatsapp", "sms"):
 
 _ZONE = (
     "case when timezone in ('Asia/Kolkata', 'UTC', 'Asia/Dubai') then timezone when timezone = 'Singapore' then 'Asia/Singapore' "
-    "when timezone = '-03:00' then 'Etc/GMT+3' else 'Asia/Kolkata' end"
+    "when timezone = '-03:00' then 'Etc/GMT+3' when timezone = 'PST' then 'America/Los_Angeles' when timezone = 'JST' then 'Asia/Tokyo' "
+    "when timezone = '+18:00' then 'UTC' else 'Asia/Kolkata' end"
 )
+# No named zone is as far from UTC.
+_FAR = "case when timezone = '+18:00' then interval '18' hour else interval '0' hour end"
+_CALLER = f"(timezone({_ZONE}, timezone('UTC', event_at_utc)) + {_FAR})"
 _CALL_TIES = _asc(
     "agent_id_raw account_id call_status timezone vendor_id_raw campaign_id direction borrower_id_raw"
 )
@@ -122,7 +126,7 @@ _PAY_TIES = _asc(
 def _call_columns(source: str) -> str:
     return f"""select call_id, event_at_local, duration_sec, agent_id_raw as agent_id, account_id, call_status, timezone,
         vendor_id_raw as vendor_id, campaign_id, direction, borrower_id_raw,
-        timezone('UTC', timezone({_ZONE}, event_at_local)) as event_at_utc from ({source})"""
+        timezone('UTC', timezone({_ZONE}, event_at_local)) - {_FAR} as event_at_utc from ({source})"""
 
 
 CTES |= {
@@ -354,7 +358,7 @@ CTES |= {
         cast(date_diff('month', date_trunc('month', first_target_date), month_start) as integer) as months_since_first_target
         from feat f left join cohort using (account_id)""",
     "call_hour": f"""select account_id, {_month("event_at_utc")} as month_start,
-        cast(extract(hour from timezone({_ZONE}, timezone('UTC', event_at_utc))) as integer) as local_hour, count(*) as calls,
+        cast(extract(hour from {_CALLER}) as integer) as local_hour, count(*) as calls,
         count(*) filter (call_status = 'ANSWERED') as answered_calls,
         cast(sum(duration_sec) filter (call_status = 'ANSWERED') as bigint) as answered_seconds
         from one_calls group by 1, 2, 3""",
@@ -741,7 +745,7 @@ ORACLE |= {
     "targeting_cohort": "select * from cohort",
     "features_enriched": "select * from enriched",
     "call_hours": "select * from call_hour",
-    "local_call_times": f"""select call_id, event_at_utc, timezone({_ZONE}, timezone('UTC', event_at_utc)) as event_at_caller
+    "local_call_times": f"""select call_id, event_at_utc, {_CALLER} as event_at_caller
         from one_calls""",
     "agent_month_hours": f"""select {_month("login_at")} as month_start, employee_code, canonical_agent_id, channel,
         cast(sum(date_diff('microsecond', login_at, coalesce(logout_at, login_at))) as bigint) / 3.6e9::double as logged_hours,
@@ -841,7 +845,27 @@ ORACLE |= {
         left join (select channel, sum(amount) as cash from (select distinct p.payment_id, p.amount, t.recommended_channel as channel
             from paid p join targets t on t.account_id = p.account_id
             and t.target_date between cast(p.event_at as date) - 14 and cast(p.event_at as date)) group by 1) using (channel)""",
-    "touch_multiplicity": """select case n when 0 then '0' when 1 then '1' else 'many' end as candidate_touches,
+    "stored_monthly_kpis": "select * from kpis",
+    "source_csv_payments": ORACLE["stg_payments"],
+    "source_csv_rejects": """select 8::bigint as fields, count(*) as rejected, count(*) as lines from raw_borrowers where borrower_id like '%7'""",
+    "source_table_agents": ORACLE["stg_agents"],
+    "source_view_payments": """select payment_status, count(*) as rows, cast(sum(amount) as double) as amount from stg_payments group by 1""",
+    "zone_labels": """select timezone as label, count(*) as rows, coalesce(any_value(timezone in (select name from pg_timezone_names())
+            or regexp_full_match(timezone, '[+-](0?[0-9]|1[0-7])(:[0-5][0-9])?|[+-]18(:00)?')), false) as resolved from stg_calls group by 1""",
+    "touch_multiplicity": """select case n when 0 then '0' when 1 then '1' else 'many' end as candidate_touches, count(*) as payments,
+        cast(sum(amount) as double) as amount, count(*) filter (target) as after_target, count(*) filter (call) as after_call,
+        count(*) filter (message) as after_message, count(*) filter (visit) as after_visit from (
+            select payment_id, any_value(amount) as amount, count(kind) as n, coalesce(bool_or(kind = 'target'), false) as target,
+                coalesce(bool_or(kind = 'call'), false) as call, coalesce(bool_or(kind = 'message'), false) as message,
+                coalesce(bool_or(kind = 'visit'), false) as visit from paid left join (
+                select account_id, target_date as day, 'target' as kind, 14 as days from targets
+                union all select account_id, cast(event_at_local as date), 'call', 7 from one_calls
+                union all select account_id, cast(event_at as date), 'message', 3 from one_whatsapp_events
+                union all select account_id, cast(event_at as date), 'message', 3 from one_sms_events
+                union all select account_id, cast(event_at as date), 'visit', 30 from one_field_visits) t
+            on t.account_id = paid.account_id and cast(paid.event_at as date) between day and day + days
+            where paid.account_id is not null and paid.event_at is not null group by 1) group by 1""",
+    "target_multiplicity": """select case n when 0 then '0' when 1 then '1' else 'many' end as candidate_touches,
         count(*) as payments, cast(sum(amount) as double) as amount from (select p.payment_id, p.amount, count(t.target_id) as n
         from paid p left join targets t on t.account_id = p.account_id
             and t.target_date between cast(p.event_at as date) - 14 and cast(p.event_at as date) group by 1, 2) group by 1""",
@@ -868,7 +892,7 @@ ORACLE |= {
     "driver_campaign": _modal("one_calls", "campaign_id", "campaign"),
     "driver_vendor": _modal("one_calls", "vendor_id", "vendor"),
     "driver_call_hour": _modal(
-        f"""(select account_id, cast(extract(hour from timezone({_ZONE}, timezone('UTC', event_at_utc))) as integer) as h
+        f"""(select account_id, cast(extract(hour from {_CALLER}) as integer) as h
         from one_calls)""",
         "h",
         "call_hour",

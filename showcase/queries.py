@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +17,9 @@ from arrearlens.operators.calendar import month_spine
 from arrearlens.operators.lookup import attach_account, lookup
 from arrearlens.operators.stack import stack
 from arrearlens.plans import analysis, cleaning, metrics, report
-from arrearlens.plans.book import CLEAN_TABLES, Book
+from arrearlens.plans.book import CLEAN_TABLES, Book, materialise, open_book
+from arrearlens.sources.layers import register_views, scratch_folder, write_result_csv
+from arrearlens.sources.raw import raw_reader, rejected_records
 from arrearlens.sources.schemas import TABLES
 
 from .frames import raw_frames
@@ -204,6 +206,52 @@ def agent_month_hours(b: Book) -> DataFrame:
     return b.agent_months()
 
 
+# Sources: what was written is read back through the library's readers.
+
+
+@query
+def source_csv_payments(b: Book) -> DataFrame:
+    raw = b.raw("payments")
+    folder = scratch_folder(raw.sparkSession)
+    write_result_csv(raw, f"{folder}/payments.csv")
+    return Book(raw_reader(raw.sparkSession, folder), b.start, b.end).stg("payments")
+
+
+@query
+def source_csv_rejects(b: Book) -> DataFrame:
+    """Records with a field too many, where an id holds a bare comma."""
+    raw = b.raw("borrowers")
+    folder = scratch_folder(raw.sparkSession)
+    torn = F.when(F.col("borrower_id").endswith("7"), F.concat(F.col("borrower_id"), F.lit(",more"))).otherwise(F.col("borrower_id"))
+    raw.withColumn("borrower_id", torn).write.options(header=True, quote="", escapeQuotes=False).csv(f"{folder}/borrowers.csv")
+    bad = rejected_records(raw.sparkSession, folder, "borrowers")
+    return bad.groupBy(F.col("fields").cast("long").alias("fields")).agg(F.count(F.lit(1)).alias("rejected"), F.countDistinct("file", "line").alias("lines"))
+
+
+@query
+def source_table_agents(b: Book) -> DataFrame:
+    raw = b.raw("agents")
+    raw.createOrReplaceGlobalTempView("agents")
+    return Book(raw_reader(raw.sparkSession, "global_temp", "table"), b.start, b.end).stg("agents")
+
+
+@query
+def source_view_payments(b: Book) -> DataFrame:
+    staged = b.stg("payments")
+    register_views({"payments": staged})
+    return staged.sparkSession.sql("select payment_status, count(*) as rows, sum(amount) as amount from stg_payments group by payment_status")
+
+
+@query
+def stored_monthly_kpis(b: Book) -> DataFrame:
+    """Monthly KPIs by another session, from layers that this one stored."""
+    spark = b.raw("payments").sparkSession
+    root = scratch_folder(spark)
+    materialise(b, spark, root, tables=[("clean", "accounts"), ("clean", "payments")])
+    opened = open_book(spark.newSession(), b.raw, b.start, b.end, root)
+    return metrics.monthly_kpis(opened.payments())
+
+
 # Metrics.
 
 
@@ -353,9 +401,28 @@ def channel_yield(b: Book) -> DataFrame:
 
 @query
 def touch_multiplicity(b: Book) -> DataFrame:
+    messages = stack([b.events(t, "account_id").select("account_id", "event_at") for t in ("whatsapp_events", "sms_events")])
+    return attribution.touch_kinds(
+        {
+            "target": (b.targeting(), "target_date", 14),
+            "call": (b.events("calls", "account_id"), "event_at_local", 7),
+            "message": (messages, "event_at", 3),
+            "visit": (b.events("field_visits", "account_id"), "event_at", 30),
+        },
+        b.payments(),
+    )
+
+
+@query
+def target_multiplicity(b: Book) -> DataFrame:
     return attribution.touch_multiplicity(b.targeting(), b.payments())
 
 
+@query
+def zone_labels(b: Book) -> DataFrame:
+    return quality.zone_labels(b.stg("calls"), "timezone")
+
+
 @query
 def age_cohort(b: Book) -> DataFrame:
     return drivers.age_cohort(b.gold("payments"))
@@ -483,15 +550,16 @@ def experiment_assignment(b: Book) -> DataFrame:
 
 @query
 def experiment_readout(b: Book) -> DataFrame:
+    span = EXPERIMENT_START, EXPERIMENT_START + timedelta(days=30)
     return experiment.experiment_readout(
         assignment(b),
         EXPERIMENT_START,
-        b.payments(),
-        b.events("complaints", "account_id"),
+        b.payments_between(*span),
+        b.events_between("complaints", *span, "account_id"),
         [
-            (b.events("calls", "account_id"), "event_at_local"),
-            (b.events("whatsapp_events", "account_id"), "event_at"),
-            (b.events("sms_events", "account_id"), "event_at"),
-            (b.events("field_visits", "account_id"), "event_at"),
+            (b.events_between("calls", *span, "account_id"), "event_at_local"),
+            (b.events_between("whatsapp_events", *span, "account_id"), "event_at"),
+            (b.events_between("sms_events", *span, "account_id"), "event_at"),
+            (b.events_between("field_visits", *span, "account_id"), "event_at"),
         ],
     )
