@@ -3,6 +3,11 @@
 Every stage reads what the one before it wrote. The first four return the columns of `documents`; the
 last returns a row of token digests for each document that is left. A stage is a plain function of
 (spark, docs, sf_dir), so that stages can be run and tested one by one.
+
+Defined results: documents with a null or empty text fail the quality rules and go. Rows without an id pass
+the line and near-duplicate stages as they are; repeated rows are copies, of which one stays. Ties go to the
+smaller id, then to the earlier line. Columns beyond those of `documents` stay, whatever their names. Empty
+tables give no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrearlens.llm import decontaminate, line_dedup, minhash_join, pieces, repetition
-from arrearlens.llm.common import checkpoint_dir, ship, table
+from arrearlens.llm.common import checkpoint_dir, ship, table, unused
 
 #: Documents are near copies from this percentage of their runs of words on (op5's own threshold is 85).
 SIMILAR = 80
@@ -28,13 +33,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that match an earlier one go, and with them documents that had no other words."""
-    rows = line_dedup.dedup_lines(docs, "_kept")
+    (kept,) = unused(docs, "_kept")
+    while f"{kept}_removed" in docs.columns:
+        kept += "_"
+    rows = line_dedup.dedup_lines(docs, kept)
     has_words = r"[^\x20\x09-\x0D]"
-    emptied = (F.col("_kept_removed") > 0) & ~F.col("_kept").rlike(has_words)
+    emptied = (F.col(f"{kept}_removed") > 0) & ~F.col(kept).rlike(has_words)
     rows = rows.where(~F.coalesce(emptied, F.lit(False)))
-    changed = F.col("_kept_removed") > 0
-    rows = rows.withColumn("n_chars", F.when(changed, F.char_length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.withColumn("text", F.col("_kept")).select(*[F.col(f"`{c}`") for c in docs.columns])
+    changed = F.col(f"{kept}_removed") > 0
+    rows = rows.withColumn("n_chars", F.when(changed, F.char_length(kept).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.withColumn("text", F.col(kept)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,8 +52,9 @@ def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold passages of the benchmark go."""
-    rows = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), "_found")
-    return rows.where(~decontaminate.contaminated("_found")).drop("_found")
+    (found,) = unused(docs, "_found")
+    rows = decontaminate.with_hits(docs, table(spark, sf_dir, "benchmark"), found)
+    return rows.where(~decontaminate.contaminated(found)).drop(found)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
