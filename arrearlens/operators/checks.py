@@ -14,88 +14,66 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.calendar import micros_between
 from ..functions.ratio import count_if
 from .stack import stack
 
-#: What an observation may hold besides family, key and value.
-#: rows, hits: counted; cash: added up; part: which of several values of a key this is; own: the value is the
-#: key's own; least: the row that comes first in the key's order, a struct of `first_row`.
+#: What an observation may hold besides family and key.
+#: value: what a key's rows may differ in; part: which of several values this is; rows, hits: counted; cash:
+#: added up; own: the value is the key's own.
 _FIELDS = {"value": "string", "rows": "bigint", "hits": "bigint", "cash": "decimal(38,2)", "part": "int", "own": "boolean"}
-_RANK = "struct<m1:boolean,n1:bigint,m2:boolean,n2:bigint,m3:boolean,t1:string,m4:boolean,t2:string,m5:boolean,t3:string,m6:boolean,amount:decimal(18,2)>"
 #: Parts of a key that a family may tell apart.
 _PARTS = 4
 
 
-def first_row(numbers: Sequence[Column], texts: Sequence[Column], amount: Column | None = None) -> Column:
-    """A struct that sorts by up to two numbers, three texts and an amount, missing ones last."""
-    numbers = [*numbers, *[F.lit(None)] * (2 - len(numbers))]
-    texts = [*texts, *[F.lit(None)] * (3 - len(texts))]
-    fields = []
-    for c in [*[n.cast("bigint") for n in numbers], *[t.cast("string") for t in texts], F.lit(None) if amount is None else amount]:
-        fields += [c.isNull(), c]
-    names = [f.split(":")[0] for f in _RANK[len("struct<") : -1].split(",") if ":" in f]
-    return F.struct(*[c.alias(n) for c, n in zip(fields, names, strict=False)]).cast(_RANK)
-
-
-def micros(at: Column) -> Column:
-    return micros_between(F.lit("1970-01-01").cast("timestamp_ntz"), at.cast("timestamp_ntz"))
-
-
-def observation(family: str, key: Column | None = None, least: Column | None = None, when: Column | None = None, **fields: Column) -> Column:
-    """One row's part in a family; null where `when` does not hold."""
+def observation(family: str, key: Column | None = None, when: Column | None = None, **fields: Column) -> dict[str, Column]:
+    """One row's part in a family, column by column; without a family where `when` does not hold."""
     unknown = set(fields) - set(_FIELDS)
     if unknown:
         raise ValueError(f"an observation has no field {sorted(unknown)}")
-    columns = [F.lit(family).alias("family"), (F.lit(None) if key is None else key).cast("string").alias("key")]
-    columns += [fields.get(n, F.lit(None)).cast(kind).alias(n) for n, kind in _FIELDS.items()]
-    columns.append((F.lit(None) if least is None else least).cast(_RANK).alias("least"))
-    one = F.struct(*columns)
-    return one if when is None else F.when(when, one)
+    name = F.lit(family) if when is None else F.when(when, F.lit(family))
+    out = {"family": name, "key": (F.lit(None) if key is None else key).cast("string")}
+    return out | {n: fields.get(n, F.lit(None)).cast(kind) for n, kind in _FIELDS.items()}
 
 
-def observe(df: DataFrame, observations: Sequence[Column]) -> DataFrame:
+def observe(df: DataFrame, observations: Sequence[Mapping[str, Column]]) -> DataFrame:
     """All observations of a table, from one scan."""
-    return df.select(F.explode(F.filter(F.array(*observations), lambda o: o.isNotNull())).alias("o")).select("o.*")
+    values = [c for o in observations for c in o.values()]
+    return df.select(F.stack(F.lit(len(observations)), *values).alias(*observations[0])).where("family is not null")
 
 
-def counters(frames: Sequence[DataFrame], wanted: str) -> DataFrame:
-    """One row for each family: what its keys amount to. `unwanted` are hits of keys whose first row does not
-    have the last text `wanted`, or that have no first row."""
+def counters(frames: Sequence[DataFrame]) -> DataFrame:
+    """One row for each family: what its keys amount to."""
     per_value = stack(frames).groupBy("family", "key", "value", "part").agg(
-        F.sum("rows").alias("rows"), F.sum("hits").alias("hits"), F.sum("cash").alias("cash"), F.max("own").alias("own"), F.min("least").alias("least")
+        F.sum("rows").alias("rows"), F.sum("hits").alias("hits"), F.sum("cash").alias("cash"), F.max("own").alias("own")
     )
     valued = F.col("value").isNotNull()
     per_key = per_value.groupBy("family", "key").agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
-        F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"),
+        F.sum("hits").alias("hits"),
         F.sum("cash").alias("cash"),
-        F.count_if(valued & F.col("part").isNull()).alias("values"),
-        F.greatest(*[F.count_if(valued & (F.col("part") == k)) for k in range(_PARTS)]).alias("most"),
+        # One row for each different value of a part by now.
+        F.greatest(*[F.count_if(valued & F.col("part").eqNullSafe(F.lit(k))) for k in (None, *range(_PARTS))]).alias("most"),
         F.max("own").alias("known"),
-        F.coalesce(F.sum(F.when(F.col("own").isNull(), F.col("rows"))), F.lit(0)).alias("others"),
-        F.min("least").alias("least"),
+        F.sum(F.when(F.col("own").isNull(), F.col("rows"))).alias("others"),
     )
     keyed, known, several = F.col("key").isNotNull(), F.coalesce("known", F.lit(False)), F.col("rows") > 1
     return per_key.groupBy("family").agg(
         F.sum("rows").alias("rows"),
         F.sum("hits").alias("hits"),
         F.sum("cash").alias("cash"),
-        F.sum(count_if(keyed & (F.col("rows") > 0))).alias("keys"),
+        F.sum(count_if(keyed)).alias("keys"),
         F.sum(count_if(keyed & several)).alias("repeated"),
-        F.sum(count_if(keyed & several & (F.col("values") > 1))).alias("conflicting"),
-        F.sum(count_if(keyed & ((F.col("values") > 1) | (F.col("most") > 1)))).alias("unstable"),
+        F.sum(count_if(keyed & several & (F.col("most") > 1))).alias("conflicting"),
+        F.sum(count_if(keyed & (F.col("most") > 1))).alias("unstable"),
         F.sum(count_if(known)).alias("known"),
         F.sum(F.when(known, F.col("rows"))).alias("known_rows"),
         F.sum(F.when(known, F.col("others"))).alias("known_others"),
-        F.sum(F.when(keyed, F.col("least.amount"))).alias("first_cash"),
-        F.sum(F.when(F.col("least").isNull() | ~F.col("least.t3").eqNullSafe(F.lit(wanted)), F.col("hits"))).alias("unwanted"),
     )
 
 
-def gathered(frames: Sequence[DataFrame], wanted: str) -> DataFrame:
+def gathered(frames: Sequence[DataFrame]) -> DataFrame:
     """One row with a map from family to its counters; empty sources give an empty map."""
-    per_family = counters(frames, wanted)
+    per_family = counters(frames)
     names = [c for c in per_family.columns if c != "family"]
     return per_family.agg(F.map_from_entries(F.collect_list(F.struct("family", F.struct(*names)))).alias("found"))
 

@@ -120,11 +120,11 @@ def repeated_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def status_contradictions(
+def contradictions_by_call(
     dispositions: DataFrame, calls: DataFrame, rpc_like: Column, answered: str = "ANSWERED"
 ) -> DataFrame:
-    """Right-party dispositions on calls that were not answered, split from those
-    whose call is unknown. Dispositions are counted per call before meeting calls."""
+    """(rows, not_answered, unmatched) by call id: its dispositions, and the right-party ones among them on a
+    call that was not answered or is unknown. Dispositions are counted per call before meeting calls."""
     per_call = dispositions.groupBy("call_id").agg(
         F.sum(count_if(rpc_like)).alias("rpc_rows"), F.count(F.lit(1)).alias("rows")
     )
@@ -132,10 +132,18 @@ def status_contradictions(
     joined = per_call.join(known, "call_id", "left")
     unmatched = F.col("known").isNull()
     contradicting = ~unmatched & ~F.col("call_status").eqNullSafe(F.lit(answered))
-    return joined.agg(
-        F.coalesce(F.sum(F.when(contradicting | unmatched, F.col("rpc_rows"))), F.lit(0)).alias("affected"),
-        F.coalesce(F.sum(F.when(contradicting, F.col("rpc_rows"))), F.lit(0)).alias("not_answered"),
-        F.coalesce(F.sum(F.when(unmatched, F.col("rpc_rows"))), F.lit(0)).alias("unmatched"),
+    rpc = F.col("rpc_rows")
+    return joined.select("rows", F.when(contradicting, rpc).otherwise(0).alias("not_answered"), F.when(unmatched, rpc).otherwise(0).alias("unmatched"))
+
+
+def status_contradictions(
+    dispositions: DataFrame, calls: DataFrame, rpc_like: Column, answered: str = "ANSWERED"
+) -> DataFrame:
+    """Right-party dispositions on calls that were not answered, split from those whose call is unknown."""
+    return contradictions_by_call(dispositions, calls, rpc_like, answered).agg(
+        F.coalesce(F.sum(F.col("not_answered") + F.col("unmatched")), F.lit(0)).alias("affected"),
+        F.coalesce(F.sum("not_answered"), F.lit(0)).alias("not_answered"),
+        F.coalesce(F.sum("unmatched"), F.lit(0)).alias("unmatched"),
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
     )
 

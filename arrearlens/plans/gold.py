@@ -6,9 +6,9 @@ month and joined to the months; more are laid together in slots of equal type:
 1. seven event tables that need nothing but one row per key share one deduplication;
 2. events are added up by account, month, fact and the value to be counted once, each row updating a few
    slots instead of all measures;
-3. those few rows become measures by account and month, and then one array of months for each account;
-4. accounts, which their own deduplication has already partitioned, take their array by a join without a
-   further exchange, and months come into being last, by exploding it.
+3. those few rows become measures by account and month, and then one map of months for each account;
+4. accounts, which their own deduplication has already partitioned, take their map by a join without a
+   further exchange, and months come into being last, by exploding it over the account's calendar.
 
 Wide rows of accounts and their months are never shuffled. All additions are partial before each exchange,
 so a hot account costs a few rows a task.
@@ -248,6 +248,7 @@ def _together(book: Book, tags: dict[str, int]) -> DataFrame | None:
 
 
 def _apart(book: Book, name: str, tag: int) -> DataFrame:
+    """Events of a fact that has a deduplication of its own, or none."""
     fact = FACTS[name]
     events = fact.events(book)
     if fact.where:
@@ -255,8 +256,15 @@ def _apart(book: Book, name: str, tag: int) -> DataFrame:
     return events.select(*[c.alias(k) for k, c in _row(tag, fact, F.col).items()])
 
 
+def _again(book: Book, name: str, tag: int) -> DataFrame:
+    """A second value to be counted once, in rows of their own without numbers."""
+    row = _row(tag, FACTS[name], F.col)
+    kept = {k: c if k in KEYS or k == "fact" else F.lit(None).cast(_TYPES[_kind(k)]) for k, c in row.items()}
+    return FACTS[name].events(book).select(*[c.alias(k) for k, c in (kept | {"sub1": row["sub2"]}).items()], F.lit(True).alias("again"))
+
+
 def nested_facts(book: Book, facts: Sequence[str], cohort: bool = False) -> DataFrame:
-    """(account_id, months[, first_target_date]): per account one array of (month_start, measures).
+    """(account_id, months[, first_target_date]): per account one map from month to measures.
 
     With `cohort` the first target of all is carried along, whatever month it lies in.
     """
@@ -268,21 +276,13 @@ def nested_facts(book: Book, facts: Sequence[str], cohort: bool = False) -> Data
         frames.append(together)
     if cohort and "targets" not in tags:
         tags["targets"] = len(tags)
-        frames.append(_apart(book, "targets", tags["targets"]).withColumns({s: F.lit(None).cast(_TYPES[_kind(s)]) for s in ("sub1", "sub2")}))
+        frames.append(_apart(book, "targets", tags["targets"]).withColumn("sub1", F.lit(None).cast("string")))
+    second = [n for n in facts if "sub2" in _slots(FACTS[n]).values()]
+    frames = [f.drop("sub2").withColumn("again", F.lit(False)) for f in frames] + [_again(book, n, tags[n]).drop("sub2") for n in second]
     rows = stack(frames).where("account_id is not null and month_start is not null")
-    rows = rows.withColumn("earliest", F.when(F.col("fact") == tags.get("targets", -1), F.col("latest1")))
-
-    # A second value to be counted once gets a row of its own, without numbers.
-    second = [tags[n] for n in facts if "sub2" in _slots(FACTS[n]).values()]
-    if second:
-        again = F.struct(F.lit(True).alias("again"), F.col("sub2").alias("sub"))
-        first = F.struct(F.lit(False).alias("again"), F.col("sub1").alias("sub"))
-        rows = rows.withColumn("s", F.explode(F.when(F.col("fact").isin(second), F.array(first, again)).otherwise(F.array(first))))
-    else:
-        rows = rows.withColumn("s", F.struct(F.lit(False).alias("again"), F.col("sub1").alias("sub")))
-    # On the second row numbers are counted no more than once; latest and earliest may repeat.
-    per_value = rows.groupBy(*KEYS, "fact", F.col("s.again").alias("again"), F.col("s.sub").alias("sub")).agg(
-        *[F.sum(F.when(~F.col("s.again"), F.col(s))).alias(s) for s in _SUMMED], F.max("latest1").alias("latest1"), F.min("earliest").alias("earliest")
+    target_day = F.when(F.col("fact") == tags.get("targets", -1), F.col("latest1"))
+    per_value = rows.groupBy(*KEYS, "fact", "again", F.col("sub1").alias("sub")).agg(
+        *[F.sum(s).alias(s) for s in _SUMMED], F.max("latest1").alias("latest1"), F.min(target_day).alias("earliest")
     )
 
     measures, total = [], {"money": F.sum, "number": F.sum, "latest": F.max, "sub": F.count}
@@ -296,7 +296,8 @@ def nested_facts(book: Book, facts: Sequence[str], cohort: bool = False) -> Data
             measures.append(total[_kind(slot)](F.when(mine, value)).alias(measure))
     per_month = per_value.groupBy(*KEYS).agg(*measures, F.min("earliest").alias(FIRST_TARGET))
     names = [m for n in facts for m in FACTS[n].measures]
-    out = [F.collect_list(F.struct("month_start", *names)).alias("months")]
+    # Made before the join, so that it is made once and not for each month that looks into it.
+    out = [F.map_from_entries(F.collect_list(F.struct("month_start", F.struct(*names)))).alias("months")]
     if cohort:
         out.append(F.min(FIRST_TARGET).alias(FIRST_TARGET))
     return per_month.groupBy("account_id").agg(*out)
@@ -308,9 +309,7 @@ def nested_gold(book: Book, facts: Sequence[str] = (), cohort: bool = False) ->
     accounts = book.accounts().withColumnRenamed("status", "account_status").drop("schema_version")
     joined = accounts.join(nested_facts(book, facts, cohort), "account_id", "left")
     spine = account_months_array(book.start, book.end)
-    by_month = F.map_from_entries(F.transform("months", lambda m: F.struct(m["month_start"], m)))
-    empty = F.lit(None).cast(joined.schema["months"].dataType.elementType)
-    of_month = lambda day: F.struct(day.alias("month_start"), F.when(F.col("months").isNotNull(), F.element_at(by_month, day)).otherwise(empty).alias("m"))
+    of_month = lambda day: F.struct(day.alias("month_start"), F.try_element_at("months", day).alias("m"))
     return joined.withColumn("months", F.transform(spine, of_month))
 
 

@@ -11,7 +11,7 @@ from ..functions.calendar import MICROS_PER_HOUR, micros_between
 from ..functions.codes import ANSWERED, CRORE, RPC_LIKE, SUCCESS
 from ..functions.ratio import count_if, safe_div
 from ..operators import quality
-from ..operators.checks import first_row, gathered, micros, number, observation, observe, rows_of
+from ..operators.checks import gathered, number, observation, observe, rows_of
 from ..operators.stack import stack
 from .book import BORROWER_SOURCES, Book
 
@@ -142,28 +142,22 @@ def _borrower(column: str) -> Column:
 def observations(book: Book) -> list[DataFrame]:
     """What each staged table has to say to the checks, from one scan of it.
 
-    Accounts are read a second time for the owners, which are known only after deduplication."""
+    What is known only after deduplication is observed there: owners, cash that is kept, dispositions by call."""
     one, c = F.lit(1), F.col
 
-    def conflict(source: str) -> Column:
+    def conflict(source: str) -> dict[str, Column]:
         return observation(f"conflict {source}", c("account_id"), value=_borrower("borrower_id_raw"), rows=one, when=c("account_id").isNotNull())
 
     paid = c("payment_status") == SUCCESS
-    # The copies of a payment in the order of the ledger, the latest first; unpaid amounts don't count.
-    latest = first_row([-micros(c("event_at"))], [c("payment_status"), c("account_id")], F.when(paid, c("amount")))
-    # The copies of a call, the earliest first; the last text is its status.
-    earliest = first_row([micros(c("event_at_local")), c("duration_sec")], [c("agent_id_raw"), c("account_id"), c("call_status")])
     of_table = {
         "payments": [
-            observation("payment", c("payment_id"), rows=one, cash=F.when(paid, c("amount")), least=F.when(c("payment_id").isNotNull(), latest)),
+            observation("payment", c("payment_id"), rows=one, cash=F.when(paid, c("amount"))),
             observation("reference", c("payment_reference"), value=c("account_id"), rows=one, when=c("payment_reference").isNotNull()),
         ],
         "calls": [
-            observation("call", c("call_id"), value=c("event_at_local"), rows=one, least=earliest, when=c("call_id").isNotNull()),
+            observation("call", c("call_id"), value=c("event_at_local"), rows=one, when=c("call_id").isNotNull()),
             observation("call zone", c("timezone"), rows=one),
         ],
-        # They meet their calls at the call id, which may be missing.
-        "call_dispositions": [observation("call", c("call_id"), hits=count_if(c("disposition_code_raw").isin(*RPC_LIKE))), observation("disposition", rows=one)],
         "agents": [observation("agent", c("agent_id"), value=c(name), part=F.lit(k), rows=one, when=c("agent_id").isNotNull()) for k, name in enumerate(_IDENTITY)],
         "accounts": [observation("account zone", c("timezone"), rows=one)],
         "account_status_history": [observation("late", rows=one, hits=count_if(micros_between(c("event_at"), c("recorded_at")) > int(24 * MICROS_PER_HOUR)))],
@@ -175,14 +169,19 @@ def observations(book: Book) -> list[DataFrame]:
     for source in BORROWER_SOURCES:
         of_table.setdefault(source, []).append(conflict(source))
     frames = [observe(book.stg(t), found) for t, found in of_table.items()]
-    return [*frames, _own(book, BORROWER_SOURCES)]
+    kept = observe(book.payments(), [observation("kept", cash=c("amount"))])
+    calls = quality.contradictions_by_call(
+        book.stg("call_dispositions"), book.events("calls", "call_status", keep="first"), c("disposition_code_raw").isin(*RPC_LIKE), ANSWERED
+    )
+    contradicted = observe(calls, [observation("contradiction", rows=c("rows"), hits=c("not_answered") + c("unmatched"))])
+    return [*frames, kept, contradicted, _own(book, BORROWER_SOURCES)]
 
 
 def dq_report(book: Book) -> DataFrame:
     """One row per check: wording, affected and total counts, percentage, impact sentence.
 
     All checks share one pass (`operators.checks`)."""
-    crore = (number("payment", "cash").cast("decimal(38,2)") - number("payment", "first_cash").cast("decimal(38,2)")).cast("double") / CRORE
+    crore = (number("payment", "cash").cast("decimal(38,2)") - number("kept", "cash").cast("decimal(38,2)")).cast("double") / CRORE
     rows, present = [], []
 
     def add(check: str, affected: Column, total: Column, impact: list, source: str = "", when: Column | None = None) -> None:
@@ -201,8 +200,8 @@ def dq_report(book: Book) -> DataFrame:
     add("agents", affected, total, [_n(affected), "/", _n(total), " agent IDs have conflicting identity fields"])
     affected = number("call", "repeated")
     add("call_ids", affected, number("call", "keys"), [_n(affected), " call IDs duplicated; ", number("call", "conflicting").cast("string"), " have conflicting timestamps"])
-    affected = number("call", "unwanted")
-    add("contradiction", affected, number("disposition", "rows"), [_n(affected), " RPC-like dispositions on non-ANSWERED calls"])
+    affected = number("contradiction", "hits")
+    add("contradiction", affected, number("contradiction", "rows"), [_n(affected), " RPC-like dispositions on non-ANSWERED calls"])
     affected, total = number("late", "hits"), number("late", "rows")
     add("late", affected, total, [_pct(affected, total, 1), "% of status-history rows arrive >24h late"])
     calls, accounts = number("call zone", "keys"), number("account zone", "keys")
@@ -211,4 +210,4 @@ def dq_report(book: Book) -> DataFrame:
     add("borrowers", affected, number("borrower", "keys"), [_n(affected), " borrower IDs have changing phone values"])
     affected = number("target", "repeated")
     add("targets", affected, number("target", "keys"), [affected.cast("string"), " account-date pairs repeat"])
-    return rows_of(gathered(observations(book), ANSWERED), rows, present)
+    return rows_of(gathered(observations(book)), rows, present)
