@@ -7,15 +7,15 @@ counts of single words bound whole branches, and the rarest words head the front
 
 Words below `least` can't belong to a phrase. The others form bands by count, rarest first. A round takes in
 the next band: it grows phrases that begin or end in the words taken in so far. A first scan counts their pairs
-by hashes alone, a second one adds up triples along frequent pairs in a field of counters, and a third one counts
-phrases word by word along pairs and triples that may be frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
+by hashes alone, a second one adds up longer phrases along frequent pairs in a field of counters, and a third one
+counts phrases word by word, as far as these say that they may be frequent enough. A phrase both of whose ends are taken in has all its parts counted, so its score
 is exact; all others lie under the bound of the next band. A language is settled once `keep` surviving scores
 lie above that bound (equal ones don't count, so ties stay whole) or no band is left; settled languages leave
 the frontier, and the rounds end when all have.
 
 A phrase that a longer one covers at the same count has the same neighbour on one side at every occurrence, so
 each count carries the least and greatest 64-bit hash of the words to the left and to the right. Counting is by
-the phrase itself, not by hashes; bands, frequent pairs and triples reach the tasks as bit fields of fixed size
+the phrase itself, not by hashes; bands, frequent pairs and buckets reach the tasks as bit fields of fixed size
 (see `sketch`), which can let too much pass but lose nothing. Tasks count in parts of bounded size before the shuffle.
 
 Defined results: null and empty texts hold no words; a null language is `und`. Repeated rows count each time.
@@ -42,8 +42,8 @@ LONGEST = 5
 #: The first band holds about so many words, the second up to this share of the frequent words' occurrences, the
 #: third the rest.
 FIRST_WORDS, SECOND_SHARE, N_BANDS = 1 << 16, 1 / 16, 3
-#: Counters of triples, and how many travel in one row.
-BUCKETS, CHUNK = 1 << 22, 4096
+#: Counters of phrases of three words and more, and how many travel in one row.
+BUCKETS, CHUNK = 1 << 24, 1 << 14
 #: Cells of the field of words, four bits each: one for each band.
 CELLS = 1 << 24
 #: Words that are counted at a time; entries of a task's memory of words.
@@ -197,30 +197,39 @@ class Growth:
         alive[at] = ~known | held(pairs, self.pair_hash(at) % np.uint64(BITS))
         return alive
 
-    def triples(self, alive: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of triples along such pairs, and their buckets."""
-        at = np.flatnonzero(alive[:-1] & alive[1:])
-        hashed = mix(self.pair_hash(at) * _MIX + self.hash_of[self.row[at + 2]])
-        return at, (hashed % np.uint64(self.n_buckets)).astype(np.int64)
+    def longer(self, alive: np.ndarray, at: np.ndarray, hashed: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the places of phrases of size - 1 words go on along such pairs, and the longer ones' hashes."""
+        goes_on = alive[at + size - 2]
+        return goes_on, mix(hashed[goes_on] * _MIX + self.hash_of[self.row[at[goes_on] + size - 1]])
 
-    def buckets(self, pairs: np.ndarray) -> np.ndarray:
-        """Buckets of the round's triples."""
-        at, bucket = self.triples(self.alive_pairs(pairs))
-        return bucket[self.due(at, 3)]
+    def bucket(self, hashed: np.ndarray) -> np.ndarray:
+        return (hashed % np.uint64(self.n_buckets)).astype(np.int64)
 
-    def phrases(self, lang: str, pairs: np.ndarray, triples: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """The round's phrases, grown from their beginnings word by word along frequent pairs and triples."""
+    def buckets(self, pairs: np.ndarray) -> np.ndarray:
+        """Buckets of the round's phrases of three words and more."""
+        alive = self.alive_pairs(pairs)
+        at = np.flatnonzero(alive)
+        hashed, found = self.pair_hash(at), []
+        for size in range(3, LONGEST + 1):
+            goes_on, hashed = self.longer(alive, at, hashed, size)
+            at = at[goes_on]
+            found.append(self.bucket(hashed[self.due(at, size)]))
+        return np.concatenate(found)
+
+    def phrases(self, lang: str, pairs: np.ndarray, longer: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """The round's phrases, grown from their beginnings word by word as long as they may be frequent enough."""
         alive = self.alive_pairs(pairs)
-        three, bucket = self.triples(alive)
-        known = np.minimum(self.band[three], self.band[three + 2]) <= self.round
-        alive_three = np.zeros(len(self.row), bool)
-        alive_three[three] = ~known | held(triples, bucket)
         at = np.flatnonzero(alive)
+        hashed = self.pair_hash(at)
         key = self.row[at] * len(self.codes.words) + self.row[at + 1]
         for size in range(2, LONGEST + 1):
             if size > 2:
-                goes_on = alive_three[at + size - 3]
+                goes_on, hashed = self.longer(alive, at, hashed, size)
                 at, key = at[goes_on], key[goes_on]
+                # what is counted in a later round is not known yet
+                known = np.minimum(self.band[at], self.band[at + size - 1]) <= self.round
+                stays = ~known | held(longer, self.bucket(hashed))
+                at, key, hashed = at[stays], key[stays], hashed[stays]
                 prefix = np.unique(key, return_inverse=True)[1]
                 key = prefix * len(self.codes.words) + self.row[at + size - 1]
             due = self.due(at, size)
@@ -270,7 +279,7 @@ def frequent_pairs(texts: DataFrame, round_: int, cells: Broadcast, least: int)
 
 
 def frequent_buckets(texts: DataFrame, round_: int, cells: Broadcast, pairs: Broadcast, least: int) -> DataFrame:
-    """(at) of the buckets to which the round's triples come `least` times or more.
+    """(at) of the buckets to which the round's phrases of three words and more come `least` times or more.
 
     A task counts up to `least` in each bucket and sends chunks of counters; chunks are added up as they come
     in, so that memory stays with the chunks of a task whatever the number of tasks.
@@ -278,16 +287,15 @@ def frequent_buckets(texts: DataFrame, round_: int, cells: Broadcast, pairs: Bro
     kind = np.uint8 if least <= 255 else np.uint32
 
     def worker():
-        counts = np.zeros(BUCKETS, np.uint32)
+        counts = np.zeros(BUCKETS, kind)
 
         def add(growth: Growth, lang: str) -> list:
-            bucket = growth.buckets(pairs.value)
-            if len(bucket):
-                np.minimum(counts + np.bincount(bucket, minlength=BUCKETS), least, out=counts, casting="unsafe")
+            bucket, n = np.unique(growth.buckets(pairs.value), return_counts=True)
+            counts[bucket] = np.minimum(counts[bucket] + n, least)
             return []
 
         def send() -> Iterator[pa.RecordBatch]:
-            parts = counts.astype(kind).reshape(-1, CHUNK)
+            parts = counts.reshape(-1, CHUNK)
             used = np.flatnonzero(parts.any(axis=1))
             for some in np.array_split(used, max(1, len(used) // 256)):
                 yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([parts[k].tobytes() for k in some], pa.binary())], ["chunk", "counts"])
@@ -307,9 +315,9 @@ def frequent_buckets(texts: DataFrame, round_: int, cells: Broadcast, pairs: Bro
     return chunks.repartition("chunk").mapInArrow(total, "at long")
 
 
-def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, pairs: Broadcast, triples: Broadcast, least: int) -> DataFrame:
+def phrase_counts(texts: DataFrame, round_: int, cells: Broadcast, pairs: Broadcast, longer: Broadcast, least: int) -> DataFrame:
     """The round's phrases with a >= `least`."""
-    found = _grown(texts, round_, cells, PHRASE, lambda: (lambda growth, lang: growth.phrases(lang, pairs.value, triples.value), list))
+    found = _grown(texts, round_, cells, PHRASE, lambda: (lambda growth, lang: growth.phrases(lang, pairs.value, longer.value), list))
     sides = [f(c).alias(c) for s in ("left", "right") for f, c in ((F.min, f"{s}_low"), (F.max, f"{s}_high"))]
     return found.groupBy("lang", "phrase", "size", "reach").agg(F.sum("a").alias("a"), *sides).where(F.col("a") >= least)
 
@@ -353,7 +361,7 @@ def collocations(docs: DataFrame, least: int = 100, keep: int = 2000, lang_col:
     frequent = open_words = cut(frequent)
     lowest = cut(lowest)
     counts = frequent.select("lang", F.col("word").alias("part"), "f")
-    phrases = pairs = triples = found = None
+    phrases = pairs = longer = found = None
     for k in range(N_BANDS):
         place = remainder(F.xxhash64("lang", "word"), CELLS) * 4 + F.col("band")
         cells = field(open_words, place, 4 * CELLS)
@@ -361,8 +369,8 @@ def collocations(docs: DataFrame, least: int = 100, keep: int = 2000, lang_col:
         pairs = hashes if pairs is None else pairs.unionByName(hashes)
         pair_field = field(pairs, remainder(F.col("hash"), BITS))
         buckets = cut(frequent_buckets(texts, k, cells, pair_field, least))
-        triples = buckets if triples is None else triples.unionByName(buckets)
-        new = cut(phrase_counts(texts, k, cells, pair_field, field(triples, F.col("at"), BUCKETS), least))
+        longer = buckets if longer is None else longer.unionByName(buckets)
+        new = cut(phrase_counts(texts, k, cells, pair_field, field(longer, F.col("at"), BUCKETS), least))
         phrases = new if phrases is None else phrases.unionByName(new)
         counts = counts.unionByName(new.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")))
         more = cut(survivors(phrases.where(F.col("reach") == k), counts, totals))
