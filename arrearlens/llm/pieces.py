@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from .common import id_and_text, ship
 
 BOUNDARY = "▁"
-#: Stretches, and parts of stretches, remembered by each Python worker (about 500 bytes each); a memory starts
-#: anew when full.
-REMEMBERED = 250_000
+#: Stretches, and parts of stretches, remembered by each Python worker (about 420 and 240 bytes each); a memory
+#: starts anew when full.
+REMEMBERED = 600_000
 
 
 class PieceCodec:
@@ -95,7 +95,7 @@ class PieceCodec:
         for part in self.apart(stretch):
             known = self.parts.get(part)
             if known is None:
-                if len(self.parts) > REMEMBERED:
+                if len(self.parts) > REMEMBERED // 2:
                     self.parts.clear()
                 known = self.parts[part] = tuple(i for s in self.merged(part) for i in self.fallback(s))
             ids += known
