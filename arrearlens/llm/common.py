@@ -54,11 +54,15 @@ def ship(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names; only where there is none (tests) a folder of this machine."""
+    """The shared folder the cluster names; only under a local master (tests) a folder of this machine will do."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if named is None:
-        named = context.getCheckpointDir() or tempfile.mkdtemp(prefix="arrearlens-checkpoint-")
+        named = context.getCheckpointDir()
+    if named is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="arrearlens-checkpoint-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
