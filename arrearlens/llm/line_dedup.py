@@ -7,7 +7,7 @@ one (by doc_id, then place) is removed, and of equal lines the first stays.
 A prefix filter needs one order of all tokens: two lines that match share a token among the first
 n - ceil(t * n) + 1 of each. Tokens stand in the order of their rarity, so that a passage that many lines
 hold comes last in each and does not bring them together: a token's level is the logarithm of how many
-lines hold it, counted on every sixteenth different line and kept in a field of fixed size, which
+lines hold it, counted on all lines with their repeats and kept in a field of fixed size, which
 every task has. Any order is exact; a level that is off only costs work. Among equals the hash decides. Lines
 meet on the tokens that their prefixes share under length and positional bounds, then on how far their
 prefixes differ, and the pairs that are left are verified on the full sets.
@@ -39,8 +39,8 @@ BROADCAST_HASHES = 3_000_000
 #: Tokens of all lines together (8 bytes each) up to which the lines of a verification are broadcast.
 BROADCAST_TOKENS = 4_000_000
 
-#: One line in so many, by its hash, is counted for the levels; cells of the field.
-SAMPLED, CELLS = 16, 1 << 14
+#: Cells of the field of levels; lines that count as one, so that levels tell up to 2**19 lines apart.
+CELLS, UNIT = 1 << 14, 16
 #: Levels take the highest bits of a token but the sign.
 _HIGHEST, _LEVEL_BITS = 15, 4
 
@@ -76,11 +76,12 @@ def _runs(line: Column) -> Column:
 
 
 def levels(docs: DataFrame) -> Column:
-    """An array of CELLS levels: how common tokens are, as a power of two of the sampled lines.
+    """An array of CELLS levels: how common tokens are, as a power of two of the lines that hold them.
 
     It stands in the plan as a literal, so it is kept short."""
-    few = _lines(docs).where(F.pmod(F.xxhash64("lid"), F.lit(SAMPLED)) == 0).select("lid", "line").dropDuplicates(["lid"])
-    held = few.select(F.explode(F.array_distinct(_runs(F.col("line")))).alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1")
+    every = _lines(docs).select(F.explode(F.array_distinct(_runs(F.col("line")))).alias("token"))
+    # 32 bits tell tokens well enough apart to count them, and shuffle in little more than half the room
+    held = every.groupBy(F.col("token").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token")).agg(F.floor(F.count("*") / UNIT).alias("n")).where("n > 0")
     cell = F.col("token").bitwiseAND(F.lit(CELLS - 1))
     of_cell = held.groupBy(cell.alias("cell")).agg(F.least(F.length(F.bin(F.max("n"))) - 1, F.lit(_HIGHEST)).alias("level"))
     found = [0] * CELLS

@@ -197,6 +197,15 @@ def test_the_order_of_tokens_is_one_order(spark):
     assert line_dedup._met(seen).isEmpty()
 
 
+def test_levels_count_every_line(spark):
+    # twenty passages of one run of words, each in 64 lines: 64 is four times the unit, whichever lines hold it
+    rows = [(64 * p + k, f"a{p} b{p} c{p} d{p} e{p}\nown{p}x{k}") for p in range(20) for k in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    common = line_dedup.levels(docs)
+    first = docs.where("doc_id % 64 = 0").select(line_dedup.tokens(F.split("text", "\n")[0], common)[0].alias("t"))
+    assert [r.t >> (63 - line_dedup._LEVEL_BITS) for r in first.collect()] == [2] * 20
+
+
 def test_lines_with_a_common_passage(spark):
     from tests.llm.test_queries import kept_lines
 
