@@ -92,6 +92,16 @@ def test_pruned_dedup_agrees_with_the_full_one(spark):
     assert "borrower_id_raw" not in dedupe(stg, "calls", need).columns
 
 
+def test_months_are_looked_up_in_compiled_code(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    whole = plan(book(spark, SF).enriched())
+    assert "lambda" not in whole
+    # sums of money stay whole numbers until a month is looked up
+    assert "sum(cast(money" not in whole and "decimal(28,2)" not in whole
+    # the check of the keys still joins the facts to the accounts
+    assert "Join LeftOuter" in plan(showcase_queries()["gold_key_violations"](spark, SF))
+
+
 def test_gold_invariants(spark):
     b = book(spark, SF)
     gold = b.gold("payments").cache()
