@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from arrearlens.operators import quality
 from arrearlens.operators.calendar import within
-from arrearlens.plans import metrics
+from arrearlens.plans import gold, metrics
 from arrearlens.plans.book import CLEAN_TABLES, materialise
 from arrearlens.plans.cleaning import dedupe
 from arrearlens.plans.report import dq_report
@@ -102,6 +102,25 @@ def test_months_are_looked_up_in_compiled_code(spark):
     assert "Join LeftOuter" in plan(showcase_queries()["gold_key_violations"](spark, SF))
 
 
+def test_monthly_metrics_ask_for_their_measures_only(spark):
+    b, facts = book(spark, SF), ("payments", "calls", "dispositions", "promises")
+    whole = metrics.monthly_metrics(b.features(*facts))
+    assert b.monthly().exceptAll(whole).isEmpty() and whole.exceptAll(b.monthly()).isEmpty()
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    # no value is counted once, so rows are not kept apart by campaign
+    by_value = [line for line in plan(b.monthly()).splitlines() if "Aggregate [" in line and "sub" in line]
+    assert not by_value and "sub" in plan(whole)
+    with pytest.raises(ValueError):
+        b.gold("payments", "sms", measures=["calls"])
+
+
+def test_facts_lie_together_by_account_before_they_are_nested(spark):
+    nested = gold.nested_gold(book(spark, SF))
+    plan = nested._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(k for k, line in enumerate(plan) if "Aggregate [account_id" in line and "collect_list" in line)
+    assert "RepartitionByExpression [account_id" in plan[at + 1]
+
+
 def test_gold_invariants(spark):
     b = book(spark, SF)
     gold = b.gold("payments").cache()
