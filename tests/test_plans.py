@@ -1,4 +1,5 @@
 from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -7,8 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from arrearlens.operators import quality
 from arrearlens.operators.calendar import within
-from arrearlens.plans import gold, metrics
-from arrearlens.plans.book import CLEAN_TABLES, materialise
+from arrearlens.plans import metrics
+from arrearlens.plans.book import CLEAN_TABLES, Book, materialise
 from arrearlens.plans.cleaning import dedupe
 from arrearlens.plans.report import dq_report
 from arrearlens.sources.layers import (
@@ -114,11 +115,26 @@ def test_monthly_metrics_ask_for_their_measures_only(spark):
         b.gold("payments", "sms", measures=["calls"])
 
 
-def test_facts_lie_together_by_account_before_they_are_nested(spark):
-    nested = gold.nested_gold(book(spark, SF))
-    plan = nested._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    at = next(k for k, line in enumerate(plan) if "Aggregate [account_id" in line and "collect_list" in line)
-    assert "RepartitionByExpression [account_id" in plan[at + 1]
+def test_busy_months_are_not_gathered_into_maps(spark):
+    plan = book(spark, SF).gold()._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "RepartitionByExpression [account_id" in plan
+
+
+def test_every_month_comes_once_between_busy_ones(spark):
+    raw = {t: f.limit(0) for t, f in ((t, book(spark, SF).raw(t)) for t in TABLES)}
+    made = lambda table, rows: spark.createDataFrame(rows, ", ".join(" ".join(t) for t in raw[table].dtypes))
+    empty = dict.fromkeys(raw["accounts"].columns)
+    opened = {"early": date(2025, 3, 9), "inside": date(2026, 2, 14), "late": date(2026, 7, 1), "idle": date(2025, 1, 1), "none": None}
+    raw["accounts"] = made("accounts", [tuple((empty | {"account_id": a, "opened_at": at}).values()) for a, at in opened.items()])
+    paid = [("early", d) for d in ((2025, 11), (2026, 1), (2026, 4), (2026, 6), (2026, 7))] + [("inside", (2025, 12)), ("inside", (2026, 1)), ("late", (2026, 5)), ("none", (2026, 3)), ("early", (2026, 4))]
+    empty = dict.fromkeys(raw["payments"].columns)
+    rows = [empty | {"payment_id": str(k), "account_id": a, "event_at": datetime(*d, 5), "amount": Decimal("1.50"), "payment_status": "success"} for k, (a, d) in enumerate(paid)]
+    raw["payments"] = made("payments", [tuple(r.values()) for r in rows])
+    b = Book(raw.__getitem__, date(2026, 1, 1), date(2026, 6, 1))
+    got = sorted((r.account_id, r.month_start.month, str(r.recovered_amount)) for r in b.gold("payments", "promises", "sms").collect())
+    months = {"early": range(1, 7), "inside": range(2, 7), "idle": range(1, 7)}
+    sums = {("early", 1): "1.50", ("early", 4): "3.00", ("early", 6): "1.50"}
+    assert got == sorted((a, m, sums.get((a, m), "0.00")) for a, ms in months.items() for m in ms)
 
 
 def test_gold_invariants(spark):
