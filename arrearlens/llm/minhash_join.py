@@ -45,10 +45,11 @@ MISSED = 1e-8
 HUBS = 3
 #: Ids of this many classes (16 bytes each) may be broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-#: Prefixes of so many shingles are carried whole in the last join.
-SHORT_PREFIX = 32
+#: Prefixes of so many shingles are carried whole in the last join; of longer ones so many shingles before each.
+SHORT_PREFIX, BEFORE = 32, 16
 #: Bits of each coordinate that travel along there.
 BITS = 4
+_BIT_COLUMNS = [f"bits{k}" for k in range(BITS)]
 _AT_ONCE = 2048
 
 _SEEDS = mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -147,27 +148,38 @@ def _across(postings: DataFrame, labels: DataFrame, sets: DataFrame, classes: Da
     own = Window.partitionBy("cls")
     ranked = every.join(shared, "token").withColumns({"at": F.row_number().over(own.orderBy("held", "token")), "s": F.count("*").over(own)})
     prefix = F.col("n") - F.ceil(F.col("n") * similar / 100) + 1
-    posted = ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).groupBy("cls", "n", "s").agg(F.collect_list(F.struct("token", "at")).alias("rows"))
-    # a short prefix travels along whole, so that its pairs are counted out and named once, at their least common token
-    whole = F.when(F.size("rows") <= SHORT_PREFIX, F.col("rows.token"))
-    bits = [f"bits{k}" for k in range(BITS)]
-    posts = posted.join(open_, "cls").join(classes.select("cls", *[F.get("bits", F.lit(k)).alias(b) for k, b in enumerate(bits)]), "cls")
-    posts = cut(posts.select("cls", "label", "n", "s", *bits, F.size("rows").alias("p"), whole.alias("whole"), F.inline("rows")))
-    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s", "p", "whole", *bits)])
+    posted = ranked.where(F.col("n") - F.col("s") + F.col("at") <= prefix).groupBy("cls", "n", "s").agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("rows"))
+    bits = [F.get("bits", F.lit(k)).alias(b) for k, b in enumerate(_BIT_COLUMNS)]
+    posts = posted.join(open_, "cls").join(classes.select("cls", *bits), "cls").withColumns({"p": F.size("rows"), "tokens": F.col("rows.token")})
+    first = lambda i: F.greatest(i - BEFORE, F.lit(0))
+    known = lambda i: F.when(F.col("p") <= SHORT_PREFIX, F.col("tokens")).otherwise(F.slice("tokens", first(i) + 1, i - first(i)))
+    rows = F.transform("rows", lambda x, i: F.struct(x["token"].alias("token"), x["at"].alias("at"), known(i).alias("known")))
+    posts = cut(posts.select("cls", "label", "n", "s", *_BIT_COLUMNS, "p", F.inline(rows)))
+    return _meeting(posts, similar, least).distinct()
+
+
+def _meeting(posts: DataFrame, similar: int, least: int) -> DataFrame:
+    """Pairs (a, b) of different components from postings under one shingle, hardly any of them twice.
+
+    A short prefix travels along whole, so that its pairs are counted out and named once, at their least common
+    shingle. With a longer one go the `BEFORE` shingles that come before each: two classes that share one of
+    these have met there. All prefixes stand in the same order, so a pair is named where it first shares one.
+    """
+    side = lambda x: posts.select(*[F.col(c).alias(f"{c}_{x}") for c in ("token", "cls", "label", "n", "at", "s", "p", "known", *_BIT_COLUMNS)])
     # coordinates that agree have all their bits in common
-    differing = reduce(lambda x, y: x.bitwiseOR(y), [F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b")) for b in bits])
+    differing = reduce(lambda x, y: x.bitwiseOR(y), [F.col(f"{b}_a").bitwiseXOR(F.col(f"{b}_b")) for b in _BIT_COLUMNS])
     collide = F.bit_count(differing) <= COORDINATES - least
     n, m, i, j, s, t = (F.col(c) for c in ("n_a", "n_b", "at_a", "at_b", "s_a", "s_b"))
     wanted = F.ceil((n + m) * similar / (100 + similar))
     sizes = F.least(n, m) * 100 >= F.greatest(n, m) * similar
     room = (F.least(s, t) >= wanted) & (F.least(i, j) + F.least(s - i, t - j) >= wanted)
-    common = F.array_intersect("whole_a", "whole_b")
+    common = F.array_intersect("known_a", "known_b")
     # behind the shorter prefix there are at most as many shared shingles as one of both has left
     enough = F.size(common) + F.greatest(s - F.col("p_a"), t - F.col("p_b")) >= wanted
-    once = common.isNull() | (enough & (F.array_min(common) == F.col("token_a")))
+    short = F.greatest("p_a", "p_b") <= SHORT_PREFIX
+    once = F.when(short, enough & (F.array_min(common) == F.col("token_a"))).otherwise(~F.arrays_overlap("known_a", "known_b"))
     meet = (F.col("token_a") == F.col("token_b")) & (F.col("label_a") < F.col("label_b")) & sizes & room & collide & once
-    pairs = side("a").join(side("b"), meet)
-    return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
+    return side("a").join(side("b"), meet).select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
