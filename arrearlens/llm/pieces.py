@@ -6,7 +6,7 @@ two new neighbour pairs on the agenda. What is no piece in the end falls back to
 
 No piece has a word boundary behind another character, and many characters are neighbours in no piece.
 Joins can't span such places, so the agenda runs on the stretches between them, and stretches seen
-before come from a bounded memory, with their ids, these in decimals, and the bytes they stand for. Each new
+before come from a bounded memory, with the number of their ids, these in decimals, and the bytes they stand for. Each new
 stretch is also encoded by the sentencepiece library, and stretches on which it differs are counted; the ids
 stay the agenda's.
 
@@ -18,9 +18,11 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -30,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import id_and_text, ship
 
 BOUNDARY = "▁"
-#: Stretches, and parts of stretches, remembered by each Python worker (about 420 and 240 bytes each); a memory
+#: Stretches, and parts of stretches, remembered by each Python worker (about 350 and 240 bytes each); a memory
 #: starts anew when full.
 REMEMBERED = 600_000
+#: Symbols of a stretch whose agenda is a plain list; score of what is no piece.
+SHORT, NEVER = 24, -math.inf
 
 
 class PieceCodec:
@@ -64,12 +68,14 @@ class PieceCodec:
         #: Bytes that each id stands for.
         self.bytes = [p.piece.replace(BOUNDARY, " ").encode() if p.type == kinds.NORMAL else bytes([int(p.piece[3:5], 16)]) if p.type == kinds.BYTE else " ⁇ ".encode() if p.type == kinds.UNKNOWN else b"" for p in model.pieces]
         alone = "".join(c for c in "\n\t" if not any(c in p for p in self.ids))
+        #: Whether a line's end always is one id of its own: then the library may encode many lines at once.
+        self.lines = "\n" in alone and 10 in self.byte_ids
         apart = f"|[{re.escape(alone)}]" if alone else ""
         self.stretches = re.compile(f"{BOUNDARY}+[^{BOUNDARY}{re.escape(alone)}]*|[^{BOUNDARY}{re.escape(alone)}]+{apart}").findall
         self.decimals = [str(i) for i in range(len(self.bytes))]
         self.parts: dict[str, tuple[int, ...]] = {}
-        #: Ids of a stretch, the same as text, and its bytes.
-        self.seen: dict[str, tuple[tuple[int, ...], str, bytes]] = {}
+        #: Number of a stretch's ids, these in decimals, and its bytes.
+        self.seen: dict[str, tuple[int, str, bytes]] = {}
         self.differing = 0
 
     def escaped(self, text: str | None) -> str:
@@ -105,6 +111,8 @@ class PieceCodec:
         """Final symbols of a stretch by the score-ordered agenda."""
         scores, symbols = self.scores, list(stretch)
         n = len(symbols)
+        if n <= SHORT:
+            return self.merged_short(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         agenda: list[tuple[float, int, int, str]] = []
         for left in range(n - 1):
@@ -129,8 +137,22 @@ class PieceCodec:
                     heapq.heappush(agenda, (-s, near, left, wider))
         return [s for s in symbols if s]
 
-    def encoded(self, texts: Iterable[str | None]) -> list[list[tuple[tuple[int, ...], str, bytes]]]:
-        """The stretches of whole texts as (ids, decimals, bytes); the library checks what the batch has new."""
+    def merged_short(self, symbols: list[str]) -> list[str]:
+        """The same with an agenda by place: in a short stretch the best pair is soon looked up."""
+        score = self.scores.get
+        agenda = [score(a + b, NEVER) for a, b in pairwise(symbols)]
+        while agenda and (best := max(agenda)) != NEVER:
+            k = agenda.index(best)
+            joined = symbols[k] = symbols[k] + symbols.pop(k + 1)
+            del agenda[k]
+            if k < len(agenda):
+                agenda[k] = score(joined + symbols[k + 1], NEVER)
+            if k:
+                agenda[k - 1] = score(symbols[k - 1] + joined, NEVER)
+        return symbols
+
+    def encoded(self, texts: Iterable[str | None]) -> list[list[tuple[int, str, bytes]]]:
+        """The stretches of whole texts as (number of ids, decimals, bytes); the library checks what the batch has new."""
         if len(self.seen) > REMEMBERED:
             self.seen.clear()
         seen, cuts = self.seen, [self.stretches(self.escaped(t)) for t in texts]
@@ -139,25 +161,25 @@ class PieceCodec:
         for stretch, want in zip(fresh, self.library_ids(fresh), strict=True):
             ids = self.ids_of(stretch)
             self.differing += ids != want
-            seen[stretch] = ids, ",".join([self.decimals[i] for i in ids]), b"".join([self.bytes[i] for i in ids])
+            seen[stretch] = len(ids), ",".join([self.decimals[i] for i in ids]), b"".join([self.bytes[i] for i in ids])
         return [[seen[s] for s in c] for c in cuts]
 
     def encode_batch(self, texts: Iterable[str | None]) -> list[list[int]]:
         """Ids of whole texts, without begin and end."""
-        return [[i for ids, _, _ in found for i in ids] for found in self.encoded(texts)]
+        return [[int(i) for _, decimals, _ in found for i in decimals.split(",")] for found in self.encoded(texts)]
 
     def library_ids(self, stretches: list[str]) -> list[tuple[int, ...]]:
-        """The library's ids of stretches, encoded as lines of one text."""
-        if not stretches:
-            return []
-        line = tuple(self.library.encode("\n"))[-1:]
-        if len(line) != 1 or any("\n" in s for s in stretches) or "\n" in "".join(self.ids):
-            lead = self.library.encode("\n")
-            return [tuple(self.library.encode("\n" + s.replace(BOUNDARY, " "))[len(lead) :]) for s in stretches]
-        got = np.array(self.library.encode("\n" + "\n".join(stretches).replace(BOUNDARY, " ")))
-        ends = np.flatnonzero(got == line[0])
-        many = got.tolist()
-        return [tuple(many[a + 1 : b]) for a, b in zip(ends, [*ends[1:], len(many)], strict=True)]
+        """The library's ids of stretches, encoded as lines of one text; those that hold a line's end one by one."""
+        lead = self.library.encode("\n")
+        line = lead[-1:] if self.lines else []
+        found = {s: tuple(self.library.encode("\n" + s.replace(BOUNDARY, " "))[len(lead) :]) for s in stretches if not line or "\n" in s}
+        together = [s for s in stretches if s not in found]
+        if together:
+            got = np.array(self.library.encode("\n" + "\n".join(together).replace(BOUNDARY, " ")))
+            ends = np.flatnonzero(got == line[0])
+            many = got.tolist()
+            found |= {s: tuple(many[a + 1 : b]) for s, a, b in zip(together, ends, [*ends[1:], len(many)], strict=True)}
+        return [found[s] for s in stretches]
 
     def encode(self, text: str | None) -> list[int]:
         return self.encode_batch([text])[0]
@@ -190,9 +212,9 @@ def coded(text_col: F.Column, model_path: str) -> F.Column:
                 part = [t if isinstance(t, str) else None for t in texts.iloc[start : start + 256]]
                 many, differing = c.encoded(part), c.differing
                 for found in many:
-                    ids, decimals, data = zip(*found, strict=True) if found else ((), (), ())
+                    numbers, decimals, data = zip(*found, strict=True) if found else ((), (), ())
                     decoded = c.text_of(b"".join(data))
-                    rows.append((sum(map(len, ids)), hashlib.sha256(",".join(decimals).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), differing))
+                    rows.append((sum(numbers), hashlib.sha256(",".join(decimals).encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest(), differing))
                     differing = 0
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256", "n_differing"])
 

@@ -176,6 +176,30 @@ def test_copies_don_t_fill_a_dictionary(spark):
     assert found.count(distinct[0].encode()) <= 1
 
 
+def test_line_ends_do_not_part_what_the_library_checks_together():
+    c = pieces.PieceCodec(public_tokenizers.path(MODEL))
+    real, calls = c.library, []
+
+    class Counting:
+        def encode(self, text):
+            calls.append(text)
+            return real.encode(text)
+
+    c.library = Counting()
+    texts = ["\n".join(f"line {k} of {t}\twith words{k * t}" for k in range(40)) for t in range(20)]
+    assert c.encode_batch(texts) == [real.encode(t) for t in texts]
+    assert c.differing == 0 and len(calls) <= 4
+
+
+def test_both_agendas_join_alike(codec, monkeypatch):
+    rng = random.Random(5)
+    symbols = sorted({x for p in codec.ids for x in p})[:80] + list("abcdefghi▁aaaee") * 8
+    some = ["".join(rng.choices(symbols, k=rng.randrange(1, pieces.SHORT + 1))) for _ in range(3000)]
+    short = [codec.merged(s) for s in some]
+    monkeypatch.setattr(pieces, "SHORT", 0)
+    assert short == [codec.merged(s) for s in some]
+
+
 # -- lines, documents, windows --------------------------------------------------------------------------
 
 
