@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, unused
+from .common import cut, release, unused
 
 SHINGLE = 5
 PERCENT = 80
@@ -87,6 +87,8 @@ def levels(docs: DataFrame) -> Column:
     found = [0] * CELLS
     for r in of_cell.collect():  # CELLS rows of two small numbers at most
         found[r.cell] = r.level
+    del every, held, of_cell
+    release(docs.sparkSession)  # a shuffle of all tokens
     return F.from_json(F.lit(str(found).replace(" ", "")), "array<bigint>")
 
 
@@ -119,6 +121,8 @@ def _met(seen: DataFrame) -> DataFrame:
     again = seen.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token")
     posted = seen.select(F.xxhash64("lid").alias("line"), F.explode("prefix").alias("token")).join(_small(cut(again), BROADCAST_HASHES), "token")
     rows = cut(posted.distinct())
+    del again, posted
+    release(seen.sparkSession)
     shared = rows.groupBy("token").agg(F.count("*").alias("lines")).where("lines > 1").select("token")
     return rows.join(shared, "token").select("line", "token")
 
@@ -194,17 +198,24 @@ def removed_lines(docs: DataFrame, similar: int = PERCENT) -> tuple[DataFrame, D
     place = F.struct("doc_id", "pos")
     distinct = cut(seen.groupBy("lid").agg(F.min(place).alias("first"), (F.min(place) != F.max(place)).alias("many")))
     met = cut(_met(seen))
+    release(docs.sparkSession)
     lines = _small(cut(met.select("line").distinct()), BROADCAST_HASHES)
     own = seen.withColumn("line", F.xxhash64("lid")).join(lines, "line", "left_semi").dropDuplicates(["lid"])
     prefixes = cut(own.select("lid", "n", "prefix").join(distinct.select("lid", "first"), "lid"))
+    del seen, own, lines
+    release(docs.sparkSession)
     every = prefixes.select("lid", "first", "n", F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + 1)
     every = every.join(_small(cut(met.select("token").distinct()), BROADCAST_HASHES), "token")
     postings = cut(every.withColumn("s", F.count("*").over(Window.partitionBy("lid"))).select("token", "lid", "first", "n", "at", "s"))
+    del every, met
+    release(docs.sparkSession)
     earliest = postings.groupBy("token").agg(F.min(F.struct("first", "lid", "n", "at", "s")).alias("e"))
     earliest = earliest.select("token", *[F.col(f"e.{c}").alias(f"e_{c}") for c in ("first", "lid", "n", "at", "s")])
     meet = postings.join(earliest, "token").where((F.col("e_first") < F.col("first")) & _may_match(similar))
     tried = cut(meet.select("lid", "e_lid").distinct())
     settled = cut(_verified(docs, tried, prefixes, similar, common))
+    del earliest, meet
+    release(docs.sparkSession)
     unsettled = postings.join(settled, "lid", "left_anti")
     others = postings.select(F.col("token").alias("e_token"), *[F.col(c).alias(f"e_{c}") for c in ("first", "lid", "n", "at", "s")])
     bounds = (F.col("token") == F.col("e_token")) & (F.col("e_first") < F.col("first")) & _may_match(similar)
@@ -212,7 +223,10 @@ def removed_lines(docs: DataFrame, similar: int = PERCENT) -> tuple[DataFrame, D
     met_again = unsettled.join(others, bounds).groupBy("lid", "e_lid", "n", "e_n").agg(F.count("*").alias("c"))
     further = met_again.where(F.col("c") >= _least_common(similar)).select("lid", "e_lid").join(tried, ["lid", "e_lid"], "left_anti")
     more = _verified(docs, cut(further), prefixes, similar, common)
-    return distinct, cut(settled.unionAll(more))
+    removed = cut(settled.unionAll(more))
+    del postings, prefixes, unsettled, others, met_again, further, tried, settled, more
+    release(docs.sparkSession)
+    return distinct, removed
 
 
 def dedup_lines(docs: DataFrame, into: str = "kept_text", similar: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arrearlens.llm import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, reshard
-from arrearlens.llm.common import unused
+from arrearlens.llm.common import release, unused
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = "piece_bpe_32k.model"
@@ -230,6 +230,19 @@ def test_levels_count_every_line(spark):
     assert [r.t >> (63 - line_dedup._LEVEL_BITS) for r in first.collect()] == [2] * 20
 
 
+def test_finished_steps_leave_the_disk(spark):
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    docs = spark.createDataFrame([(i, f"{i} a b c d e f\n{i} g h i j k l") for i in range(50)], "doc_id long, text string")
+    release(spark)
+    time.sleep(2)
+    before = disk.getAllFiles().size()
+    line_dedup.levels(docs)
+    until = time.time() + 10
+    while disk.getAllFiles().size() > before and time.time() < until:
+        time.sleep(0.2)
+    assert disk.getAllFiles().size() <= before
+
+
 def test_lines_with_a_common_passage(spark):
     from tests.llm.test_queries import kept_lines
 
