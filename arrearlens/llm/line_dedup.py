@@ -6,9 +6,9 @@ one (by doc_id, then place) is removed, and of equal lines the first stays.
 
 A prefix filter needs one order of all tokens: two lines that match share a token among the first
 n - ceil(t * n) + 1 of each. Tokens stand in the order of their rarity, so that a passage that many lines
-hold comes last in each and does not bring them together: a token's level is the logarithm of how many
-lines hold it, counted on all lines with their repeats and kept in a field of fixed size, which
-every task has. Any order is exact; a level that is off only costs work. Among equals the hash decides. Lines
+hold comes last in each and does not bring them together: a token's level is the logarithm of how often
+it occurs, counted on all lines with their repeats in counters that tokens share, and kept in a field of
+fixed size, which every task has. Any order is exact; a level that is off only costs work. Among equals the hash decides. Lines
 meet on the tokens that their prefixes share under length and positional bounds, then on how far their
 prefixes differ, and the pairs that are left are verified on the full sets.
 
@@ -24,6 +24,8 @@ table gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -41,6 +43,8 @@ BROADCAST_TOKENS = 4_000_000
 
 #: Cells of the field of levels; lines that count as one, so that levels tell up to 2**19 lines apart.
 CELLS, UNIT = 1 << 14, 16
+#: Counters of runs, from which the levels are taken: a task passes on this many rows at most.
+COUNTERS = 1 << 16
 #: Levels take the highest bits of a token but the sign.
 _HIGHEST, _LEVEL_BITS = 15, 4
 
@@ -63,43 +67,63 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _runs(line: Column) -> Column:
-    """The hashed runs of a line's words."""
+def _words(line: Column) -> Column:
+    """A line's words; where nothing but spaces parts them, they are found without a regular expression."""
+    plain = ~F.contains(line, F.lit("\t")) & ~F.contains(line, F.lit("\x0b")) & ~F.contains(line, F.lit("\x0c")) & ~F.contains(line, F.lit("\r"))
+    return F.array_remove(F.when(plain, F.split(line, " ")).otherwise(F.split(line, _SPACES)), "")
 
-    def runs(hashes: Column) -> Column:
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SHINGLE), lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(SHINGLE)]))
 
-    def of_words(words: Column) -> Column:
-        return F.when(F.size(words) >= SHINGLE, _let(F.transform(words, lambda w: F.xxhash64(w)), runs)).otherwise(F.array(F.xxhash64(words)))
+def _last_run(words: Column) -> Column:
+    """Where the last run of a line's words begins, from 0; fewer words than a run's make one run."""
+    return F.greatest(F.size(words) - SHINGLE, F.lit(0))
+
+
+def _run(words: Column, at: Column) -> list[Column]:
+    """The words of a run; behind the last word null, which isn't hashed."""
+    return [F.get(words, at + k) for k in range(SHINGLE)]
+
 
-    return _let(F.array_remove(F.split(line, _SPACES), ""), of_words)
+def run_counts(docs: DataFrame) -> DataFrame:
+    """(at, n): how many runs of all lines fall into each of COUNTERS counters.
+
+    In compiled code alone, and added up before the shuffle: a task passes on COUNTERS rows at most."""
+    lines = docs.where("doc_id is not null").select(F.explode(F.split("text", "\n", -1)).alias("line"))
+    words = lines.select(_words(F.col("line")).alias("words"))
+    runs = words.select("words", F.explode(F.sequence(F.lit(0), _last_run(F.col("words")))).alias("at"))
+    run = [F.get("words", F.col("at") + k) for k in range(SHINGLE)]
+    hashed = F.xxhash64(*[F.when(word.isNotNull(), F.xxhash64(word)) for word in run])  # as in `tokens`
+    return runs.where(run[0].isNotNull()).groupBy(hashed.bitwiseAND(F.lit(COUNTERS - 1)).alias("at")).agg(F.count("*").alias("n"))
 
 
 def levels(docs: DataFrame) -> Column:
-    """An array of CELLS levels: how common tokens are, as a power of two of the lines that hold them.
+    """An array of CELLS levels: how common tokens are, as a power of two of the places that hold them, less what
+    a counter holds by chance.
 
     It stands in the plan as a literal, so it is kept short."""
-    every = _lines(docs).select(F.explode(F.array_distinct(_runs(F.col("line")))).alias("token"))
-    # 32 bits tell tokens well enough apart to count them, and shuffle in little more than half the room
-    held = every.groupBy(F.col("token").bitwiseAND(F.lit(0xFFFFFFFF)).alias("token")).agg(F.floor(F.count("*") / UNIT).alias("n")).where("n > 0")
-    cell = F.col("token").bitwiseAND(F.lit(CELLS - 1))
-    of_cell = held.groupBy(cell.alias("cell")).agg(F.least(F.length(F.bin(F.max("n"))) - 1, F.lit(_HIGHEST)).alias("level"))
+    of_cell = run_counts(docs).groupBy(F.col("at").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.max("n").alias("most"), F.sum("n").alias("runs"))
+    rows = of_cell.collect()  # CELLS rows of three numbers at most
+    mean = sum(r.runs for r in rows) / COUNTERS
+    chance = int(mean + 4 * math.sqrt(mean))
     found = [0] * CELLS
-    for r in of_cell.collect():  # CELLS rows of two small numbers at most
-        found[r.cell] = r.level
-    del every, held, of_cell
-    release(docs.sparkSession)  # a shuffle of all tokens
+    for r in rows:
+        found[r.cell] = min(_HIGHEST, max(1, (r.most - chance) // UNIT).bit_length() - 1)
+    del of_cell
+    release(docs.sparkSession)
     return F.from_json(F.lit(str(found).replace(" ", "")), "array<bigint>")
 
 
 def tokens(line: Column, common: Column) -> Column:
     """The distinct hashed runs of a line's words, the rarest first: a token is its level, then 59 bits of its hash."""
 
+    def runs(hashes: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), _last_run(hashes)), lambda at: F.xxhash64(*_run(hashes, at)))
+
     def ranked(token: Column) -> Column:
         level = F.get(common, token.bitwiseAND(F.lit(CELLS - 1)).cast("int"))
         return F.shiftleft(level, 63 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(token, 1 + _LEVEL_BITS))
 
-    return F.sort_array(F.array_distinct(F.transform(_runs(line), ranked)))
+    hashed = _let(F.transform(_words(line), lambda word: F.xxhash64(word)), runs)
+    return F.sort_array(F.array_distinct(F.transform(hashed, ranked)))
 
 
 def _prefix_length(n: Column, similar: int) -> Column:

@@ -230,6 +230,26 @@ def test_levels_count_every_line(spark):
     assert [r.t >> (63 - line_dedup._LEVEL_BITS) for r in first.collect()] == [2] * 20
 
 
+def test_runs_are_counted_before_the_shuffle(spark):
+    # runs of all lines, as often as they occur; a line of fewer words is one run, a line without words none
+    texts = [" ".join(f"w{i % 7}x{k}" for k in range(i)) + "\n \t\n" + "same words\there" for i in range(200)]
+    docs = spark.createDataFrame([*enumerate(texts), (None, "x y"), (900, None)], "doc_id long, text string")
+    counts = line_dedup.run_counts(docs)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan  # these run uncompiled, row by row
+    assert f"& {line_dedup.COUNTERS - 1})" in plan.split("Exchange")[1]  # the partial count lies below it
+    n = sum(max(len(line.split()) - 4, 1) for t in texts for line in t.split("\n") if line.split())
+    assert counts.agg(F.sum("n")).first()[0] == n
+
+
+def test_words_are_parted_by_any_space(spark):
+    rows = [(0, "a b c d e f  g"), (1, "a\tb c\x0bd e\x0c f\r g "), (2, " a b c d e f g"), (3, "a b c d e f\u00a0g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r.t) for r in docs.select("doc_id", line_dedup.tokens(F.col("text"), line_dedup.levels(docs)).alias("t")).orderBy("doc_id").collect()]
+    assert got[0] == got[1] == got[2] != got[3]
+    assert [len(t) for t in got] == [3, 3, 3, 2]
+
+
 def test_finished_steps_leave_the_disk(spark, monkeypatch):
     disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
     docs = spark.createDataFrame([(i, f"{i} a b c d e f\n{i} g h i j k l") for i in range(50)], "doc_id long, text string")
