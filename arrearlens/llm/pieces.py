@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, ship
+from .common import id_and_text, remember, ship
 
 BOUNDARY = "▁"
 #: Stretches, and parts of stretches, remembered by each Python worker (about 350 and 240 bytes each); a memory
@@ -197,6 +197,7 @@ class PieceCodec:
 
 @lru_cache(maxsize=4)
 def codec(path: str) -> PieceCodec:
+    remember("pieces", codec.cache_clear)
     return PieceCodec(path)
 
 

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, ship, shingle_hashes, utf8, word_hashes
+from .common import forget_others, id_and_text, ship, shingle_hashes, utf8, word_hashes
 
 #: Window of the base rule, and its limits.
 BASE_WINDOW, LEAST_WORDS, MOST_REPEATED_PERCENT = 8, 20, 30
@@ -89,6 +89,7 @@ def judged(text_col: F.Column, coverage: dict[int, float] | None = None, line_co
 
     @F.pandas_udf(", ".join(f"{k} {v}" for k, v in FIELDS.items()))
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        forget_others("repetition")
         for texts in batches:
             rows = [measures(t if isinstance(t, str) else None) for t in texts]
             for r in rows:

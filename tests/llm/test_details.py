@@ -4,11 +4,12 @@ import itertools
 import random
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from arrearlens.llm import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, reshard
-from arrearlens.llm.common import release, unused
+from arrearlens.llm import compression_language, decontaminate, line_dedup, minhash_join, pieces, prefix_counts, repetition, reshard
+from arrearlens.llm.common import forget_others, release, unused
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 MODEL = "piece_bpe_32k.model"
@@ -200,6 +201,25 @@ def test_both_agendas_join_alike(codec, monkeypatch):
     assert short == [codec.merged(s) for s in some]
 
 
+def test_the_next_operator_gives_a_workers_memory_back(spark, monkeypatch):
+    # Spark's Python workers serve one stage after another: what `pieces` remembers is of no use to the quality rules
+    path, found = public_tokenizers.path(MODEL), []
+    monkeypatch.setattr(repetition.F, "pandas_udf", lambda schema: lambda run: found.append(run) or (lambda col: col))
+    repetition.judged(F.lit(""))
+    pieces.codec.cache_clear()
+    kept = pieces.codec(path)
+    kept.encode("some words")
+    assert pieces.codec(path) is kept and kept.seen
+    forget_others("pieces")
+    assert pieces.codec(path) is kept  # its own tasks find it again
+    rows = [r for batch in found[0](iter([pd.Series(["one two", None])])) for r in batch["n_words"]]
+    assert rows == [2, 0]
+    assert pieces.codec.cache_info().currsize == 0
+    assert pieces.codec(path).encode("some words") == kept.encode("some words")
+    forget_others("repetition")
+    assert pieces.codec.cache_info().currsize == 0  # noted anew with each codec
+
+
 # -- lines, documents, windows --------------------------------------------------------------------------
 
 
