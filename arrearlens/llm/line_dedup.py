@@ -24,8 +24,6 @@ table gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -97,13 +95,12 @@ def run_counts(docs: DataFrame) -> DataFrame:
 
 def levels(docs: DataFrame) -> Column:
     """An array of CELLS levels: how common tokens are, as a power of two of the places that hold them, less what
-    a counter holds by chance.
+    a counter holds on average.
 
     It stands in the plan as a literal, so it is kept short."""
     of_cell = run_counts(docs).groupBy(F.col("at").bitwiseAND(F.lit(CELLS - 1)).alias("cell")).agg(F.max("n").alias("most"), F.sum("n").alias("runs"))
     rows = of_cell.collect()  # CELLS rows of three numbers at most
-    mean = sum(r.runs for r in rows) / COUNTERS
-    chance = int(mean + 4 * math.sqrt(mean))
+    chance = sum(r.runs for r in rows) // COUNTERS
     found = [0] * CELLS
     for r in rows:
         found[r.cell] = min(_HIGHEST, max(1, (r.most - chance) // UNIT).bit_length() - 1)
