@@ -87,6 +87,42 @@ def test_wide_account_months_are_not_shuffled(spark, without_broadcasts):
     assert "Generate explode" in above and "SortMergeJoin" in above
 
 
+def test_events_are_shuffled_once_behind_their_deduplication(spark, without_broadcasts):
+    b = book(spark, SF)
+    for frame in (b.gold(), b.features(), b.enriched()):
+        lines = [x for x in frame._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in x]
+        by_account = [x for x in lines if "hashpartitioning(account_id" in x]
+        # one for the accounts, one for all their events; none by month or by a value to be counted once
+        assert len(by_account) == 2 and not any("month_start" in x or "sub" in x for x in lines)
+
+
+def test_only_codes_that_count_look_up_their_call(spark, without_broadcasts):
+    plan = book(spark, SF).gold()._jdf.queryExecution().executedPlan().toString()
+    lookup = next(x for x in plan.splitlines() if "hashpartitioning(call_id" in x and "__event_hash" in x)
+    below = plan[plan.index(lookup) + len(lookup) :].split("Exchange")[0]
+    assert "INVALID" in below and "Filter" in below  # codes are mapped and chosen below the shuffle
+
+
+def test_each_value_of_a_month_counts_once(spark):
+    raw = {t: f.limit(0) for t, f in ((t, book(spark, SF).raw(t)) for t in TABLES)}
+    made = lambda table, rows: spark.createDataFrame([tuple((dict.fromkeys(raw[table].columns) | r).values()) for r in rows], ", ".join(" ".join(t) for t in raw[table].dtypes))
+    raw["accounts"] = made("accounts", [{"account_id": a, "opened_at": date(2026, 1, 5)} for a in "ab"])
+    days = [(1, "a", "x", 3), (1, "a", "x", 9), (2, "a", "x", 9), (3, "a", "y", 11), (4, "a", None, 20), (5, "c", "z", 20), (6, None, "z", 20)]
+    raw["daily_targeting"] = made("daily_targeting", [{"target_id": str(k), "account_id": a, "campaign_id": c, "target_date": date(2026, 2, d)} for k, a, c, d in days])
+    raw["call_attempts"] = made("call_attempts", [{"attempt_id": str(k), "account_id": "a", "call_id": c, "event_at": datetime(2026, 2, 3, 4)} for k, c in enumerate(("p", "p", "q", None))])
+    raw["calls"] = made("calls", [{"call_id": k, "account_id": "a", "call_status": "answered", "duration_sec": 7, "campaign_id": c, "timezone": "UTC", "event_at": datetime(2026, 2, 3, 4)} for k, c in (("p", "x"), ("q", "x"), ("r", None))])
+    codes = [("p", "rpc"), ("p", "PTP"), ("q", "callback"), ("r", "rpc"), ("s", "rpc")]
+    raw["call_dispositions"] = made("call_dispositions", [{"disposition_id": str(k), "account_id": "a", "call_id": c, "disposition_code": code, "event_at": datetime(2026, 2, 4)} for k, (c, code) in enumerate(codes)])
+    b = Book(raw.__getitem__, date(2026, 1, 1), date(2026, 3, 1))
+    got = {(r.account_id, r.month_start.month): r for r in b.enriched().collect()}
+    assert set(got) == {(a, m) for a in "ab" for m in (1, 2, 3)}
+    counted = {"target_events": 4, "target_campaigns": 2, "attempts": 4, "attempted_calls": 2, "calls": 3, "answered_seconds": 21, "campaigns_touched": 1, "rpc_events": 2, "ptp_events": 1}
+    for at, r in got.items():
+        assert {m: r[m] for m in counted} == (counted if at == ("a", 2) else dict.fromkeys(counted, 0))
+        assert r.last_target_date == (date(2026, 2, 20) if at == ("a", 2) else None)
+        assert r.first_target_date == (date(2026, 2, 3) if at[0] == "a" else None)
+
+
 def test_gold_agrees_however_facts_are_joined(spark):
     b = book(spark, SF)
     whole = b.gold()
